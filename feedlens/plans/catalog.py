@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.dates import iso_string
 from feedlens.functions.lexicon import FALLBACK_THEME_ID
-from feedlens.operators import ingest, metrics, privacy, search, themes
-from feedlens.plans.params import PLAYSTORE_CAP, QUOTE_K, SEARCH_PATTERN, TOP_K, WEEKS
+from feedlens.operators import ingest, metrics, privacy, prompts, search, themes
+from feedlens.plans.params import (FAIR_K, HEAD_SIZE, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
+                                   SEARCH_PATTERN, TOP_K, WEEKS)
 from feedlens.session import ensure_utc
 from feedlens.sources import tables
 
@@ -277,3 +278,76 @@ def channel_overview(spark: SparkSession, sf: str) -> DataFrame:
                 F.round(F.avg("rating"), 2).alias("avg_rating"),
                 F.count_if(has_mask_marker("text")).alias("masked_rows")))
     return per.withColumn("share", F.col("n_reviews") / F.sum("n_reviews").over(Window.partitionBy()))
+
+
+# ---------------------------------------------------------------- prompts
+
+def _numbered(spark, sf) -> DataFrame:
+    return prompts.number_reviews(_clean(spark, sf))
+
+
+def _batches(spark, sf):
+    numbered = _numbered(spark, sf)
+    return numbered, prompts.pack_prompts(numbered, PACK_SIZE)
+
+
+def _parsed(spark, sf):
+    numbered, batches = _batches(spark, sf)
+    return numbered, prompts.parse_responses(prompts.annotate_batches(batches))
+
+
+@register("number_reviews")
+def q_number_reviews(spark, sf):
+    return _numbered(spark, sf).select("review_id", "source", "date", "rn")
+
+
+@register("prompt_lines")
+def q_prompt_lines(spark, sf):
+    return prompts.prompt_lines(_numbered(spark, sf))
+
+
+@register("pack_prompts")
+def q_pack_prompts(spark, sf):
+    return _batches(spark, sf)[1]
+
+
+@register("subsample_head")
+def q_subsample_head(spark, sf):
+    play, app, dump = _crawl_and_dump(spark, sf)
+    primary = play.select("source").unionByName(app.select("source"))
+    union = ingest.union_sources(play, app, ingest.source_precedence(primary, dump))
+    cols = ["review_id", "source", "priority", "rank"]
+    head = prompts.subsample_head(union, HEAD_SIZE).select(F.lit("head").alias("variant"), *cols)
+    fair = prompts.subsample_fair(union, FAIR_K).select(F.lit("fair").alias("variant"), *cols)
+    return head.unionByName(fair)
+
+
+@register("preview_head")
+def q_preview_head(spark, sf):
+    return prompts.preview_head(_reviews(spark, sf))
+
+
+@register("annotate_batches")
+def q_annotate_batches(spark, sf):
+    return prompts.annotate_batches(_batches(spark, sf)[1])
+
+
+@register("parse_responses")
+def q_parse_responses(spark, sf):
+    parsed = _parsed(spark, sf)[1]
+    return parsed.select("source", "batch", "status",
+                         F.size(F.col("payload.themes")).cast("bigint").alias("n_themes"),
+                         F.size(F.col("payload.clustering")).cast("bigint").alias("n_assignments"))
+
+
+@register("explode_payload")
+def q_explode_payload(spark, sf):
+    return prompts.payload_rows(prompts.explode_payload(_parsed(spark, sf)[1]))
+
+
+@register("theme_back_join")
+def q_theme_back_join(spark, sf):
+    numbered, parsed = _parsed(spark, sf)
+    parts = prompts.explode_payload(parsed)
+    pos = prompts.assign_batches(numbered).select("source", "batch", "review_index", "review_id")
+    return themes.theme_back_join(pos, parts["assignments"], parts["themes"])

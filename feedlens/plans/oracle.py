@@ -275,3 +275,102 @@ SELECT qq.q_order, qq.question_key, qq.question, CAST(coalesce(m.n_matched, 0) A
             ELSE m.n_matched || ' matching reviews; top evidence: ' || t.top_review_ids END AS answer
 FROM (VALUES {_QROWS}) AS qq(q_order, question_key, question)
 LEFT JOIN qmatched m USING (question_key) LEFT JOIN qtop t USING (question_key)"""
+
+# ---------------------------------------------------------------- prompts
+
+NUMBERED = """numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY date DESC, review_id) AS rn FROM clean)"""
+
+SQL["number_reviews"] = with_(REVIEWS, CLEAN, NUMBERED) + "SELECT review_id, source, date, rn FROM numbered"
+
+
+def line_sql(idx: str) -> str:
+    return (f"'Review #' || {idx} || ' [Source: ' || source"
+            " || CASE WHEN coalesce(rating, 0) <> 0 THEN ' | Rating: ' || rating || '/5' ELSE '' END"
+            " || CASE WHEN length(title) > 0 THEN ' | Title: ' || title ELSE '' END"
+            f" || ' | Date: ' || coalesce(strftime(date, {ISO}), '') || ']:' || chr(10) || '\"'"
+            " || text || '\"' || chr(10) || chr(10)")
+
+
+SQL["prompt_lines"] = with_(REVIEWS, CLEAN, NUMBERED) + f"""
+SELECT review_id, source, rn, {line_sql('rn')} AS line FROM numbered"""
+
+BATCHED = f"""batched AS (
+  SELECT *, CAST((rn - 1) // {PACK_SIZE} AS BIGINT) AS batch,
+         CAST(rn - ((rn - 1) // {PACK_SIZE}) * {PACK_SIZE} AS INT) AS review_index
+  FROM numbered)"""
+
+SQL["pack_prompts"] = with_(REVIEWS, CLEAN, NUMBERED, BATCHED) + f"""
+SELECT source, batch, count(*) AS n_reviews,
+       string_agg({line_sql('review_index')}, '' ORDER BY review_index) AS body
+FROM batched GROUP BY source, batch"""
+
+SQL["subsample_head"] = with_(REVIEWS, FEED, PLAY, SURVIVORS) + f"""
+, u AS (
+  SELECT review_id, source, date, 1 AS priority FROM play
+  UNION ALL SELECT review_id, 'appstore', date, 2 FROM feed_kept
+  UNION ALL SELECT review_id, source, date, 3 FROM social)
+SELECT 'head' AS variant, review_id, source, priority, rank FROM (
+  SELECT *, row_number() OVER (ORDER BY priority, date DESC, review_id) AS rank FROM u)
+WHERE rank <= 35
+UNION ALL
+SELECT 'fair', review_id, source, priority, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY date DESC, review_id) AS rank FROM u)
+WHERE rank <= 7"""
+
+SQL["preview_head"] = with_(REVIEWS, CLEAN) + "SELECT * FROM clean ORDER BY review_id LIMIT 3"
+
+# The default completion function, spelled out relationally: its themes,
+# assignments, answers and note per (source, batch).
+BATCH_THEMES = f"""bt AS (
+  SELECT b.source, b.batch, b.review_index, b.text, t.theme_id, {_name_case('t.theme_id')} AS theme_name
+  FROM batched b JOIN themed t USING (review_id)),
+bn AS (SELECT source, batch, count(*) AS n FROM bt GROUP BY ALL),
+bc AS (
+  SELECT source, batch, theme_id, any_value(theme_name) AS theme_name, count(*) AS c,
+         arg_min(text, review_index) AS first_text
+  FROM bt GROUP BY source, batch, theme_id),
+btop AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, batch ORDER BY c DESC, theme_id) AS r
+                 FROM bc) WHERE r <= 3),
+bq AS (
+  SELECT b.source, b.batch, lex.question_key, count(DISTINCT b.review_index) AS m
+  FROM (SELECT source, batch, review_index, unnest({_TOKS}) AS term FROM batched) b
+  JOIN {lexicon_values(QUESTION_TERMS, 'question_key')} USING (term)
+  GROUP BY ALL)"""
+
+_QKEYS = ", ".join(f"({q(k)})" for k, _ in QUESTIONS)
+
+PARSED_CTES = with_(REVIEWS, CLEAN, THEMED, NUMBERED, BATCHED, BATCH_THEMES)
+
+SQL["parse_responses"] = PARSED_CTES + f"""
+SELECT bn.source, bn.batch, 'ok' AS status,
+  CAST((SELECT count(*) FROM bc WHERE bc.source = bn.source AND bc.batch = bn.batch
+        AND bc.theme_id <> {q(FALLBACK_THEME_ID)}) AS BIGINT) AS n_themes,
+  CAST(bn.n AS BIGINT) AS n_assignments
+FROM bn"""
+
+SQL["explode_payload"] = PARSED_CTES + f"""
+SELECT 'theme' AS kind, source, batch,
+       CAST(row_number() OVER (PARTITION BY source, batch ORDER BY theme_id) - 1 AS BIGINT) AS pos,
+       theme_id AS key, theme_name AS value
+FROM bc WHERE theme_id <> {q(FALLBACK_THEME_ID)}
+UNION ALL
+SELECT 'assignment', source, batch, CAST(review_index - 1 AS BIGINT), CAST(review_index AS VARCHAR), theme_id
+FROM bt
+UNION ALL
+SELECT 'answer', bn.source, bn.batch, NULL, k.question_key,
+       coalesce(bq.m, 0) || ' of ' || bn.n || ' reviews'
+FROM bn CROSS JOIN (VALUES {_QKEYS}) AS k(question_key)
+LEFT JOIN bq ON bq.source = bn.source AND bq.batch = bn.batch AND bq.question_key = k.question_key
+UNION ALL
+SELECT 'top_theme', source, batch, CAST(r - 1 AS BIGINT), CAST(r AS VARCHAR), theme_name FROM btop
+UNION ALL
+SELECT 'quote', source, batch, CAST(r - 1 AS BIGINT), NULL, first_text FROM btop
+UNION ALL
+SELECT 'action', source, batch, CAST(r - 1 AS BIGINT), NULL, 'Review the ' || theme_name || ' feedback'
+FROM btop"""
+
+SQL["theme_back_join"] = PARSED_CTES + """
+SELECT b.source, b.batch, b.review_index, b.review_id, t.theme_id, """ + _name_case("t.theme_id") + """ AS theme
+FROM batched b JOIN themed t USING (review_id)"""

@@ -9,4 +9,6 @@ WEEKS = 1
 TOP_K = 3
 QUOTE_K = 3
 PACK_SIZE = 35
+HEAD_SIZE = 35
+FAIR_K = 7
 SEARCH_PATTERN = "ver(y|s)|email"
