@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.dates import iso_string
 from feedlens.functions.lexicon import FALLBACK_THEME_ID
-from feedlens.operators import ingest, metrics, privacy, prompts, search, themes
+from feedlens.operators import ingest, metrics, privacy, prompts, reports, search, themes
 from feedlens.plans.params import (FAIR_K, HEAD_SIZE, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
                                    SEARCH_PATTERN, TOP_K, WEEKS)
 from feedlens.session import ensure_utc
@@ -351,3 +351,26 @@ def q_theme_back_join(spark, sf):
     parts = prompts.explode_payload(parsed)
     pos = prompts.assign_batches(numbered).select("source", "batch", "review_index", "review_id")
     return themes.theme_back_join(pos, parts["assignments"], parts["themes"])
+
+
+# ---------------------------------------------------------------- reports
+
+def _notes(spark, sf) -> DataFrame:
+    return reports.weekly_note(_themed(spark, sf), TOP_K)
+
+
+@register("weekly_note")
+def q_weekly_note(spark, sf):
+    return _notes(spark, sf)
+
+
+@register("parse_action_items")
+def q_parse_action_items(spark, sf):
+    return reports.parse_action_items(_notes(spark, sf))
+
+
+@register("first_wins_dedupe")
+def q_first_wins_dedupe(spark, sf):
+    items = reports.parse_action_items(_notes(spark, sf))
+    return reports.first_wins_dedupe(items, "item", ["report_key", "item_no"],
+                                     add=list(reports.FALLBACK_ACTIONS))

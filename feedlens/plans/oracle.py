@@ -10,6 +10,7 @@ from __future__ import annotations
 from feedlens.functions.lexicon import (FALLBACK_THEME, FALLBACK_THEME_ID, NO_ANSWER,
                                         QUESTION_TERMS, QUESTIONS, THEME_NAMES, THEME_TERMS)
 from feedlens.functions.text import EMAIL_PATTERN, PHONE_PATTERN
+from feedlens.operators.reports import FALLBACK_ACTIONS
 from feedlens.plans.params import (FEED_PAGE_HOURS, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
                                    SEARCH_PATTERN, TOP_K, WEEKS)
 
@@ -374,3 +375,105 @@ FROM btop"""
 SQL["theme_back_join"] = PARSED_CTES + """
 SELECT b.source, b.batch, b.review_index, b.review_id, t.theme_id, """ + _name_case("t.theme_id") + """ AS theme
 FROM batched b JOIN themed t USING (review_id)"""
+
+# ---------------------------------------------------------------- reports
+
+NOTES = f"""wk AS (SELECT *, date_trunc('week', date) AS week FROM themed_named),
+nsev AS (
+  SELECT source, week, theme_id, theme, count(*) AS n_reviews, count(*) FILTER (WHERE rating <= 2) AS n_low,
+         round(avg(rating), 4) AS avg_rating
+  FROM wk GROUP BY source, week, theme_id, theme),
+ntop AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, week ORDER BY n_reviews DESC,
+                                              avg_rating ASC NULLS LAST, theme_id) AS rank FROM nsev)
+  WHERE rank <= {TOP_K}),
+nquo AS (
+  SELECT source, week, theme_id, text AS quote FROM (
+    SELECT *, row_number() OVER (PARTITION BY source, week, theme_id
+                                 ORDER BY theme_score DESC, length(text), review_id) AS rn FROM wk)
+  WHERE rn = 1),
+nsec AS (
+  SELECT t.source, t.week,
+    string_agg('### ' || t.rank || '. ' || t.theme || chr(10) || '> ' || t.n_reviews || ' reviews, '
+               || t.n_low || ' rated 1 or 2' || chr(10) || chr(10), '' ORDER BY t.rank) AS themes_md,
+    string_agg('- *"' || coalesce(q.quote, '') || '"*' || chr(10), '' ORDER BY t.rank) AS quotes_md,
+    string_agg(t.rank || '. **Investigate ' || t.theme || '**' || chr(10), '' ORDER BY t.rank) AS actions_md
+  FROM ntop t LEFT JOIN nquo q ON q.source = t.source AND q.week = t.week AND q.theme_id = t.theme_id
+  GROUP BY t.source, t.week),
+nqp AS (
+  SELECT w.source, w.week, w.review_id, lex.question_key
+  FROM (SELECT source, week, review_id, unnest({_TOKS}) AS term FROM wk) w
+  JOIN {lexicon_values(QUESTION_TERMS, 'question_key')} USING (term)),
+nqs AS (SELECT source, week, question_key, review_id, count(*) AS score FROM nqp GROUP BY ALL),
+nqm AS (SELECT source, week, question_key, count(*) AS n_matched FROM nqs GROUP BY ALL),
+nqt AS (
+  SELECT source, week, question_key, string_agg('#' || review_id, ', ' ORDER BY rank) AS top_ids
+  FROM (SELECT *, row_number() OVER (PARTITION BY source, week, question_key
+                                     ORDER BY score DESC, review_id) AS rank FROM nqs)
+  WHERE rank <= {QUOTE_K} GROUP BY ALL),
+ngrp AS (SELECT source, week, count(*) AS n_reviews FROM wk GROUP BY ALL),
+nqa AS (
+  SELECT g.source, g.week,
+    string_agg('### ' || qq.q_order || '. ' || qq.question || chr(10)
+               || CASE WHEN coalesce(m.n_matched, 0) = 0 THEN {q(NO_ANSWER)}
+                       ELSE m.n_matched || ' matching reviews; top evidence: ' || t.top_ids END
+               || chr(10) || chr(10), '' ORDER BY qq.q_order) AS answers_md
+  FROM ngrp g CROSS JOIN (VALUES {_QROWS}) AS qq(q_order, question_key, question)
+  LEFT JOIN nqm m ON m.source = g.source AND m.week = g.week AND m.question_key = qq.question_key
+  LEFT JOIN nqt t ON t.source = g.source AND t.week = g.week AND t.question_key = qq.question_key
+  GROUP BY g.source, g.week),
+notes AS (
+  SELECT g.source || '/' || strftime(g.week, '%Y-%m-%d') AS report_key, g.source, g.week, g.n_reviews,
+    '# Feedback Pulse Note - ' || g.source || chr(10) || '**Week of**: ' || strftime(g.week, '%B %d, %Y')
+    || chr(10) || '**Reviews**: ' || g.n_reviews || chr(10) || chr(10) || '---' || chr(10) || chr(10)
+    || '## Top Themes' || chr(10) || s.themes_md || '---' || chr(10) || chr(10) || '## User Quotes' || chr(10)
+    || s.quotes_md || chr(10) || '---' || chr(10) || chr(10) || '## Strategic Action Ideas' || chr(10)
+    || s.actions_md || chr(10) || '---' || chr(10) || chr(10) || '## Product Questions' || chr(10)
+    || a.answers_md AS note
+  FROM ngrp g JOIN nsec s ON s.source = g.source AND s.week = g.week
+  JOIN nqa a ON a.source = g.source AND a.week = g.week)"""
+
+SQL["weekly_note"] = with_(REVIEWS, CLEAN, THEMED, NOTES) + "SELECT * FROM notes"
+
+_FALLBACK_ROWS = ", ".join(f"({i + 1}, {q(t)})" for i, t in enumerate(FALLBACK_ACTIONS))
+
+ITEMS = f"""nlines AS (
+  SELECT report_key, generate_subscripts(string_split(note, chr(10)), 1) - 1 AS pos,
+         unnest(string_split(note, chr(10))) AS line FROM notes),
+nev AS (
+  SELECT *, CASE WHEN contains(line, 'Action Ideas') THEN 1 WHEN starts_with(line, '#') THEN 0 END AS event,
+         regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS s
+  FROM nlines),
+nst AS (
+  SELECT *, last_value(event IGNORE NULLS) OVER (PARTITION BY report_key ORDER BY pos
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS state
+  FROM nev),
+nit AS (
+  SELECT report_key, pos, line,
+    CASE WHEN starts_with(s, '-') THEN regexp_replace(regexp_replace(s, '^-+', ''), '^\\s+|\\s+$', '', 'g')
+         WHEN regexp_matches(s, '^[0-9]') AND contains(line, '.')
+         THEN regexp_replace(substr(line, strpos(line, '.') + 1), '^\\s+|\\s+$', '', 'g') END AS item,
+    state
+  FROM nst),
+nfirst AS (
+  SELECT report_key, item, min(pos) AS pos FROM nit
+  WHERE state = 1 AND NOT contains(line, 'Action Ideas') AND length(item) > 0
+  GROUP BY report_key, item),
+nfound AS (
+  SELECT report_key, CAST(row_number() OVER (PARTITION BY report_key ORDER BY pos) AS INT) AS item_no, item
+  FROM nfirst),
+items AS (
+  SELECT * FROM nfound
+  UNION ALL
+  SELECT n.report_key, f.item_no, f.item FROM notes n CROSS JOIN (VALUES {_FALLBACK_ROWS}) AS f(item_no, item)
+  WHERE n.report_key NOT IN (SELECT report_key FROM nfound))"""
+
+SQL["parse_action_items"] = with_(REVIEWS, CLEAN, THEMED, NOTES, ITEMS) + "SELECT * FROM items"
+
+SQL["first_wins_dedupe"] = with_(REVIEWS, CLEAN, THEMED, NOTES, ITEMS) + f"""
+, firsts AS (
+  SELECT item, min({{'k': report_key, 'n': item_no}}) AS f FROM items GROUP BY item)
+SELECT item, f.k AS first_report_key, f.n AS first_item_no FROM firsts
+UNION ALL
+SELECT item, NULL, NULL FROM (VALUES {_FALLBACK_ROWS}) AS a(i, item)
+WHERE item NOT IN (SELECT item FROM firsts)"""
