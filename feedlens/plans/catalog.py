@@ -18,8 +18,9 @@ from feedlens.functions.lexicon import FALLBACK_THEME_ID
 from feedlens.operators import ingest, metrics, privacy, prompts, reports, search, themes
 from feedlens.plans.params import (FAIR_K, HEAD_SIZE, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
                                    SEARCH_PATTERN, TOP_K, WEEKS)
-from feedlens.session import ensure_utc
-from feedlens.sources import tables
+from feedlens.operators.ordering import number_within
+from feedlens.session import ensure_utc, scratch_path
+from feedlens.sources import readers, sinks, tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -374,3 +375,186 @@ def q_first_wins_dedupe(spark, sf):
     items = reports.parse_action_items(_notes(spark, sf))
     return reports.first_wins_dedupe(items, "item", ["report_key", "item_no"],
                                      add=list(reports.FALLBACK_ACTIONS))
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+FEED_PAGE_SIZE = 50
+
+
+@register("scan_reviews_json")
+def q_scan_reviews_json(spark, sf):
+    path = scratch_path(spark, "reviews-json")
+    dump = _dump(spark, sf).select("review_id", "source", F.col("rating").cast("string").alias("rating"),
+                                   "title", "text", F.col("date_raw").alias("date"))
+    dump.write.mode("overwrite").json(path)
+    return readers.scan_reviews_json(spark, path)
+
+
+def _feed_pages(spark, sf) -> DataFrame:
+    """App-store rows as the feed serves them: pages of 50 entries, newest
+    first, each page one JSON body."""
+    app = _reviews(spark, sf).where(F.col("source") == "appstore")
+    numbered = number_within(app, [], [F.col("date").desc(), F.col("review_id")], name="rn")
+    entry = F.struct(
+        F.struct(F.col("review_id").cast("string").alias("label")).alias("id"),
+        F.struct(iso_string("date").alias("label")).alias("updated"),
+        F.struct(F.col("rating").cast("string").alias("label")).alias("im:rating"),
+        F.struct(F.col("title").alias("label")).alias("title"),
+        F.struct(F.col("text").alias("label")).alias("content"))
+    page = (F.floor((F.col("rn") - 1) / F.lit(FEED_PAGE_SIZE)) + 1).cast("bigint")
+    return (numbered.select(page.alias("page"), entry.alias("entry"))
+            .groupBy("page")
+            .agg(F.to_json(F.struct(F.struct(F.collect_list("entry").alias("entry")).alias("feed")))
+                 .alias("body")))
+
+
+@register("scan_appstore_feed")
+def q_scan_appstore_feed(spark, sf):
+    return readers.scan_appstore_feed(_feed_pages(spark, sf))
+
+
+@register("scan_playstore")
+def q_scan_playstore(spark, sf):
+    path = scratch_path(spark, "playstore")
+    recs = _reviews(spark, sf).where(F.col("source") == "playstore").select(
+        "review_id", F.col("rating").alias("score"), F.col("text").alias("content"),
+        F.col("date").alias("at"))
+    recs.write.mode("overwrite").parquet(path)
+    return readers.scan_playstore(spark, path)
+
+
+def _labelled(spark, sf) -> DataFrame:
+    return _themed(spark, sf).select("review_id", "source", "rating", "title", "text", "date", "theme")
+
+
+@register("sink_reviews_json")
+def q_sink_reviews_json(spark, sf):
+    path = scratch_path(spark, "labelled")
+    sinks.sink_reviews_json(_labelled(spark, sf), path)
+    return (spark.read.schema(_labelled_schema()).option("timestampNTZFormat", readers.NTZ_FORMAT)
+            .json(path))
+
+
+def _labelled_schema() -> str:
+    return ("review_id bigint, rating int, title string, text string, date timestamp_ntz, "
+            "theme string, source string")
+
+
+@register("scan_labelled_reviews")
+def q_scan_labelled_reviews(spark, sf):
+    path = scratch_path(spark, "labelled")
+    sinks.sink_reviews_json(_labelled(spark, sf), path, partition_by=None)
+    return readers.scan_labelled_reviews(spark, path)
+
+
+def _payload_themes(spark, sf) -> DataFrame:
+    parts = prompts.explode_payload(_parsed(spark, sf)[1])
+    return parts["themes"].select(F.col("id").alias("theme_id"), "name", "description").distinct()
+
+
+@register("sink_themes_csv")
+def q_sink_themes_csv(spark, sf):
+    path = scratch_path(spark, "themes-csv")
+    sinks.sink_themes_csv(_payload_themes(spark, sf), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@register("scan_themes_csv")
+def q_scan_themes_csv(spark, sf):
+    path = scratch_path(spark, "themes-csv")
+    sinks.sink_themes_csv(_payload_themes(spark, sf), path)
+    return readers.scan_themes_csv(spark, path)
+
+
+def _report_answers(spark, sf) -> DataFrame:
+    wk = _clean(spark, sf).withColumn("week", F.date_trunc("week", "date"))
+    qa = themes.question_evidence(wk, QUOTE_K, by=("source", "week"))
+    key = F.concat(F.col("source"), F.lit("/"), F.date_format("week", "yyyy-MM-dd"))
+    return qa.select(key.alias("report_key"), "q_order", "question_key", "answer")
+
+
+@register("sink_qa_json")
+def q_sink_qa_json(spark, sf):
+    path = scratch_path(spark, "qa-json")
+    sinks.sink_qa_json(_report_answers(spark, sf), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@register("scan_qa_json")
+def q_scan_qa_json(spark, sf):
+    path = scratch_path(spark, "qa-json")
+    sinks.sink_qa_json(_report_answers(spark, sf), path)
+    return readers.scan_qa_json(spark, path)
+
+
+@register("sink_notes_text")
+def q_sink_notes_text(spark, sf):
+    path = scratch_path(spark, "notes")
+    notes = _notes(spark, sf).withColumn("week_label", F.date_format("week", "yyyy-MM-dd"))
+    sinks.sink_notes_text(notes, path)
+    back = (spark.read.schema("value string, source string, week_label string")
+            .text(path, wholetext=True))
+    return back.select(F.concat("source", F.lit("/"), "week_label").alias("report_key"),
+                       F.regexp_replace("value", r"\n\z", "").alias("note"))
+
+
+@register("sink_filtered_csv")
+def q_sink_filtered_csv(spark, sf):
+    path = scratch_path(spark, "filtered-csv")
+    cols = ["review_id", "source", "rating", "theme", "title", "text", "date"]
+    filtered = search.search_reviews(search.facet_filter(_themed(spark, sf), source="reddit"),
+                                     SEARCH_PATTERN).select(*cols)
+    sinks.sink_filtered_csv(filtered, path)
+    schema = "review_id bigint, source string, rating int, theme string, title string, text string, " \
+             "date timestamp_ntz"
+    return spark.read.schema(schema).options(**readers.CSV_OPTIONS).csv(path)
+
+
+# ---------------------------------------------------------------- projections
+
+@register("normalize_reviews")
+def q_normalize_reviews(spark, sf):
+    r = _reviews(spark, sf)
+    play = r.where(F.col("source") == "playstore").select(
+        "review_id", F.col("rating").alias("score"), F.col("text").alias("content"), F.col("date").alias("at"))
+    social = r.where(~F.col("source").isin("playstore", "appstore")).select(
+        "review_id", "source", F.col("rating").cast("string").alias("rating"), "title", "text",
+        iso_string("date").alias("date"))
+    return readers.normalize_reviews(play=play, app=_feed_pages(spark, sf), social=social)
+
+
+def _raw_ratings(spark, sf) -> DataFrame:
+    """Ratings as the channels export them: numbers from the stores, an
+    empty field from reddit, 'N/A' from linkedin, nothing from twitter."""
+    r = _reviews(spark, sf)
+    raw = (F.when(F.col("source").isin("playstore", "appstore"), F.col("rating").cast("string"))
+           .when(F.col("source") == "reddit", F.lit(""))
+           .when(F.col("source") == "linkedin", F.lit("N/A")))
+    return r.select("review_id", "source", raw.alias("rating_raw"))
+
+
+@register("coerce_rating")
+def q_coerce_rating(spark, sf):
+    return _raw_ratings(spark, sf).withColumn("rating", readers.coerce_rating("rating_raw"))
+
+
+def _raw_dates(spark, sf) -> DataFrame:
+    """Dates as the channels export them: UTC with 'Z', local time with an
+    offset, naive, date only, and a human-readable form."""
+    from feedlens.functions.dates import parse_date  # noqa: F401
+    r = _reviews(spark, sf)
+    d = F.col("date")
+    raw = (F.when(F.col("source") == "playstore", F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+           .when(F.col("source") == "appstore",
+                 F.date_format(d - F.expr("INTERVAL 7 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'-07:00'"))
+           .when(F.col("source") == "reddit", F.date_format(d, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+           .when(F.col("source") == "linkedin", F.date_format(d, "yyyy-MM-dd"))
+           .otherwise(F.date_format(d, "MMMM dd, yyyy")))
+    return r.select("review_id", "source", raw.alias("date_raw"))
+
+
+@register("parse_dates")
+def q_parse_dates(spark, sf):
+    from feedlens.functions.dates import parse_date
+    return _raw_dates(spark, sf).withColumn("date", parse_date("date_raw"))

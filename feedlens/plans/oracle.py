@@ -477,3 +477,101 @@ SELECT item, f.k AS first_report_key, f.n AS first_item_no FROM firsts
 UNION ALL
 SELECT item, NULL, NULL FROM (VALUES {_FALLBACK_ROWS}) AS a(i, item)
 WHERE item NOT IN (SELECT item FROM firsts)"""
+
+# ---------------------------------------------------------------- sources and sinks
+
+SQL["scan_reviews_json"] = BASE + "SELECT * FROM reviews WHERE source <> 'linkedin'"
+
+SQL["scan_appstore_feed"] = BASE + """
+SELECT review_id, CAST((row_number() OVER (ORDER BY date DESC, review_id) - 1) // 50 + 1 AS BIGINT) AS page,
+       'appstore' AS source, coalesce(rating, 0) AS rating, coalesce(title, '') AS title,
+       coalesce(text, '') AS text, date
+FROM reviews WHERE source = 'appstore'"""
+
+SQL["scan_playstore"] = BASE + """
+SELECT review_id, 'playstore' AS source, rating, CAST(NULL AS VARCHAR) AS title, text, date
+FROM reviews WHERE source = 'playstore'"""
+
+SQL["sink_reviews_json"] = BASE_THEMED + """
+SELECT review_id, source, rating, title, text, date, theme FROM themed_named"""
+
+SQL["scan_labelled_reviews"] = SQL["sink_reviews_json"]
+
+PAYLOAD_THEMES = f"""pthemes AS (
+  SELECT DISTINCT theme_id, {_name_case('theme_id')} AS name FROM batched b JOIN themed t USING (review_id)
+  WHERE theme_id <> {q(FALLBACK_THEME_ID)})"""
+
+_DESC_CASE = "CASE theme_id " + " ".join(
+    f"WHEN {q(k)} THEN {q(v[1])}" for k, v in sorted(THEME_NAMES.items())) + " END"
+
+SQL["scan_themes_csv"] = with_(REVIEWS, CLEAN, THEMED, NUMBERED, BATCHED, PAYLOAD_THEMES) + f"""
+SELECT theme_id, name, {_DESC_CASE} AS description FROM pthemes"""
+
+SQL["sink_themes_csv"] = with_(REVIEWS, CLEAN, THEMED, NUMBERED, BATCHED, PAYLOAD_THEMES) + f"""
+SELECT 'Theme ID,Theme Name,Description' AS line
+UNION ALL
+SELECT theme_id || ',' || name || ',' || {_DESC_CASE} FROM pthemes"""
+
+REPORT_ANSWERS = f"""wk AS (SELECT *, date_trunc('week', date) AS week FROM clean),
+nqp AS (
+  SELECT w.source, w.week, w.review_id, lex.question_key
+  FROM (SELECT source, week, review_id, unnest({_TOKS}) AS term FROM wk) w
+  JOIN {lexicon_values(QUESTION_TERMS, 'question_key')} USING (term)),
+nqs AS (SELECT source, week, question_key, review_id, count(*) AS score FROM nqp GROUP BY ALL),
+nqm AS (SELECT source, week, question_key, count(*) AS n_matched FROM nqs GROUP BY ALL),
+nqt AS (
+  SELECT source, week, question_key, string_agg('#' || review_id, ', ' ORDER BY rank) AS top_ids
+  FROM (SELECT *, row_number() OVER (PARTITION BY source, week, question_key
+                                     ORDER BY score DESC, review_id) AS rank FROM nqs)
+  WHERE rank <= {QUOTE_K} GROUP BY ALL),
+ngrp AS (SELECT DISTINCT source, week FROM wk),
+ranswers AS (
+  SELECT g.source || '/' || strftime(g.week, '%Y-%m-%d') AS report_key, qq.q_order, qq.question_key,
+    CASE WHEN coalesce(m.n_matched, 0) = 0 THEN {q(NO_ANSWER)}
+         ELSE m.n_matched || ' matching reviews; top evidence: ' || t.top_ids END AS answer
+  FROM ngrp g CROSS JOIN (VALUES {_QROWS}) AS qq(q_order, question_key, question)
+  LEFT JOIN nqm m ON m.source = g.source AND m.week = g.week AND m.question_key = qq.question_key
+  LEFT JOIN nqt t ON t.source = g.source AND t.week = g.week AND t.question_key = qq.question_key)"""
+
+SQL["scan_qa_json"] = with_(REVIEWS, CLEAN, REPORT_ANSWERS) + "SELECT * FROM ranswers"
+
+SQL["sink_qa_json"] = with_(REVIEWS, CLEAN, REPORT_ANSWERS) + """
+SELECT '{"report_key":"' || report_key || '","question_answers":{'
+       || string_agg('"' || question_key || '":"' || answer || '"', ',' ORDER BY q_order) || '}}' AS line
+FROM ranswers GROUP BY report_key"""
+
+SQL["sink_notes_text"] = with_(REVIEWS, CLEAN, THEMED, NOTES) + "SELECT report_key, note FROM notes"
+
+SQL["sink_filtered_csv"] = BASE_THEMED + f"""
+SELECT review_id, source, rating, theme, title, text, date FROM themed_named
+WHERE source = 'reddit'
+  AND (coalesce(regexp_matches(text, {q(SEARCH_PATTERN)}, 'i'), false)
+       OR coalesce(regexp_matches(title, {q(SEARCH_PATTERN)}, 'i'), false))"""
+
+# ---------------------------------------------------------------- projections
+
+SQL["normalize_reviews"] = BASE + """
+SELECT review_id, source, CASE WHEN source = 'appstore' THEN coalesce(rating, 0) ELSE rating END AS rating,
+       CASE WHEN source = 'playstore' THEN NULL WHEN source = 'appstore' THEN coalesce(title, '')
+            ELSE title END AS title,
+       text, date
+FROM reviews"""
+
+SQL["coerce_rating"] = BASE + """
+SELECT review_id, source, rating_raw,
+       CASE WHEN TRY_CAST(rating_raw AS INTEGER) BETWEEN 1 AND 5 THEN TRY_CAST(rating_raw AS INTEGER) END AS rating
+FROM (SELECT review_id, source,
+        CASE WHEN source IN ('playstore', 'appstore') THEN CAST(rating AS VARCHAR)
+             WHEN source = 'reddit' THEN '' WHEN source = 'linkedin' THEN 'N/A' END AS rating_raw
+      FROM reviews)"""
+
+SQL["parse_dates"] = BASE + """
+SELECT review_id, source,
+  CASE source WHEN 'playstore' THEN strftime(date, '%Y-%m-%dT%H:%M:%S.%fZ')
+              WHEN 'appstore' THEN strftime(date - INTERVAL 7 HOUR, '%Y-%m-%dT%H:%M:%S.%f-07:00')
+              WHEN 'reddit' THEN strftime(date, '%Y-%m-%d %H:%M:%S.%f')
+              WHEN 'linkedin' THEN strftime(date, '%Y-%m-%d')
+              ELSE strftime(date, '%B %d, %Y') END AS date_raw,
+  CASE WHEN source = 'linkedin' THEN date_trunc('day', date)
+       WHEN source = 'twitter' THEN NULL ELSE date END AS date
+FROM reviews"""
