@@ -558,3 +558,9 @@ def _raw_dates(spark, sf) -> DataFrame:
 def q_parse_dates(spark, sf):
     from feedlens.functions.dates import parse_date
     return _raw_dates(spark, sf).withColumn("date", parse_date("date_raw"))
+
+
+@register("discover_themes")
+def q_discover_themes(spark, sf):
+    from feedlens.operators.discover import discover_themes
+    return discover_themes(_clean(spark, sf))
