@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedlens.functions.text import tokens
+from feedlens.functions.text import let, tokens
 
 # --- fixed values: theme lexicon of the bundled data (FIXTURES F-2) ---
 THEME_TERMS = {
@@ -86,22 +86,30 @@ def term_count(tok: Column, terms) -> Column:
     return F.size(F.array_intersect(tok, F.array(*[F.lit(t) for t in sorted(set(terms))])))
 
 
-def best_key(text: Column, lexicon: dict, fallback: str | None) -> Column:
-    """Argmax of matched-term counts over lexicon keys; ties go to the
-    smallest key; no match gives ``fallback``.  A pure projection."""
+def best_match(text: Column, lexicon: dict, fallback: str | None) -> Column:
+    """``struct(key, score)``: the key with the most distinct matched terms
+    (ties to the smallest key; ``fallback`` and 0 when nothing matches).
+    A pure projection; the token array is built once per row."""
     n_terms = sum(len(v) for v in lexicon.values())
     if n_terms > INLINE_TERM_LIMIT:
         raise ValueError("lexicon too large for the inline form; use the join form")
-    tok = tokens(text)
-    cands = F.array(*[
-        F.struct((-term_count(tok, lexicon[k])).alias("neg"), F.lit(k).alias("key"))
-        for k in sorted(lexicon)
-    ])
-    best = F.array_min(cands)
-    return F.when(best["neg"] < 0, best["key"]).otherwise(F.lit(fallback))
+
+    def pick(tok):
+        cands = F.array(*[
+            F.struct((-term_count(tok, lexicon[k])).alias("neg"), F.lit(k).alias("key"))
+            for k in sorted(lexicon)
+        ])
+        return let(F.array_min(cands), lambda b: F.struct(
+            F.when(b["neg"] < 0, b["key"]).otherwise(F.lit(fallback)).alias("key"),
+            (-b["neg"]).cast("int").alias("score")))
+
+    return let(tokens(text), pick)
+
+
+def best_key(text: Column, lexicon: dict, fallback: str | None) -> Column:
+    return best_match(text, lexicon, fallback)["key"]
 
 
 def best_score(text: Column, lexicon: dict) -> Column:
     """The matched-term count of the winning key (0 when nothing matches)."""
-    tok = tokens(text)
-    return F.greatest(*[term_count(tok, lexicon[k]) for k in sorted(lexicon)], F.lit(0))
+    return best_match(text, lexicon, None)["score"]

@@ -37,18 +37,30 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a "let" binding).
+
+    Catalyst inlines projected expressions into filters it pushes down, and
+    a filter gets no common-subexpression elimination; an expensive value
+    used several times would then run several times per row.  Binding it
+    through a one-element array keeps it to one evaluation.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _guarded_replace(c: Column, guard, pattern: str, marker: str) -> Column:
+    return let(c, lambda x: F.when(guard(x), F.regexp_replace(x, F.lit(pattern), F.lit(marker)))
+               .otherwise(x))
+
+
 def mask_emails(c) -> Column:
-    c = _col(c)
     # '@' is required by the pattern: skip the regex on rows without one.
-    return F.when(F.instr(c, "@") > 0,
-                  F.regexp_replace(c, F.lit(EMAIL_RE), F.lit(EMAIL_MARKER))).otherwise(c)
+    return _guarded_replace(_col(c), lambda x: F.instr(x, "@") > 0, EMAIL_RE, EMAIL_MARKER)
 
 
 def mask_phones(c) -> Column:
-    c = _col(c)
-    # Every alternative needs at least ten digits in a row (modulo separators).
-    return F.when(c.rlike(r"\d"),
-                  F.regexp_replace(c, F.lit(PHONE_RE), F.lit(PHONE_MARKER))).otherwise(c)
+    # Every alternative needs digits: skip the regex on rows without one.
+    return _guarded_replace(_col(c), lambda x: x.rlike(r"\d"), PHONE_RE, PHONE_MARKER)
 
 
 def mask_pii(c) -> Column:

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.lexicon import (BROADCAST_TERM_LIMIT, FALLBACK_THEME, FALLBACK_THEME_ID,
                                         INLINE_TERM_LIMIT, NO_ANSWER, QUESTION_TERMS, QUESTIONS,
-                                        THEME_NAMES, THEME_TERMS, best_key, best_score,
-                                        lexicon_frame)
-from feedlens.functions.text import tokens
+                                        THEME_NAMES, THEME_TERMS, best_match, lexicon_frame)
+from feedlens.functions.text import let, tokens
 from feedlens.operators.ordering import top_k_within
 
 
@@ -58,10 +57,13 @@ def assign_themes(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEM
 
     Adds ``theme_id``, ``theme`` (name) and ``theme_score``; a projection,
     so it fuses into the scan stage."""
-    tid = best_key(F.col(text_col), lexicon, FALLBACK_THEME_ID)
-    out = df.withColumn("theme_id", tid).withColumn("theme_score", best_score(F.col(text_col), lexicon))
+    best = best_match(F.col(text_col), lexicon, FALLBACK_THEME_ID)
+    out = df.withColumn("_best", best)
     name = F.coalesce(F.element_at(_name_map(names), F.col("theme_id")), F.lit(FALLBACK_THEME))
-    return out.withColumn("theme", name)
+    return (out.withColumn("theme_id", F.col("_best.key"))
+            .withColumn("theme_score", F.col("_best.score"))
+            .withColumn("theme", name)
+            .drop("_best"))
 
 
 def theme_volume_severity(themed: DataFrame, by: tuple = ()) -> DataFrame:
