@@ -86,24 +86,36 @@ def term_count(tok: Column, terms) -> Column:
     return F.size(F.array_intersect(tok, F.array(*[F.lit(t) for t in sorted(set(terms))])))
 
 
-def best_match(text: Column, lexicon: dict, fallback: str | None) -> Column:
-    """``struct(key, score)``: the key with the most distinct matched terms
-    (ties to the smallest key; ``fallback`` and 0 when nothing matches).
-    A pure projection; the token array is built once per row."""
-    n_terms = sum(len(v) for v in lexicon.values())
-    if n_terms > INLINE_TERM_LIMIT:
+def _check_inline(lexicon: dict) -> None:
+    if sum(len(v) for v in lexicon.values()) > INLINE_TERM_LIMIT:
         raise ValueError("lexicon too large for the inline form; use the join form")
 
-    def pick(tok):
-        cands = F.array(*[
-            F.struct((-term_count(tok, lexicon[k])).alias("neg"), F.lit(k).alias("key"))
-            for k in sorted(lexicon)
-        ])
-        return let(F.array_min(cands), lambda b: F.struct(
-            F.when(b["neg"] < 0, b["key"]).otherwise(F.lit(fallback)).alias("key"),
-            (-b["neg"]).cast("int").alias("score")))
 
-    return let(tokens(text), pick)
+def pick_best(tok: Column, lexicon: dict, fallback: str | None) -> Column:
+    """``struct(key, score)`` from a distinct-token array: the key with the
+    most matched terms, ties to the smallest key, ``fallback``/0 if none."""
+    _check_inline(lexicon)
+    cands = F.array(*[
+        F.struct((-term_count(tok, lexicon[k])).alias("neg"), F.lit(k).alias("key"))
+        for k in sorted(lexicon)
+    ])
+    return let(F.array_min(cands), lambda b: F.struct(
+        F.when(b["neg"] < 0, b["key"]).otherwise(F.lit(fallback)).alias("key"),
+        (-b["neg"]).cast("int").alias("score")))
+
+
+def key_scores(tok: Column, lexicon: dict, name: str = "question_key") -> Column:
+    """``array<struct<name, score>>`` of the keys with at least one matched
+    term (score = distinct matched terms), in key order."""
+    _check_inline(lexicon)
+    arr = F.array(*[F.struct(F.lit(k).alias(name), term_count(tok, lexicon[k]).alias("score"))
+                    for k in sorted(lexicon)])
+    return F.filter(arr, lambda s: s["score"] > 0)
+
+
+def best_match(text: Column, lexicon: dict, fallback: str | None) -> Column:
+    """``pick_best`` on a text; the token array is built once per row."""
+    return let(tokens(text), lambda tok: pick_best(tok, lexicon, fallback))
 
 
 def best_key(text: Column, lexicon: dict, fallback: str | None) -> Column:

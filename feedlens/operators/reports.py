@@ -11,7 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.dates import week_start
-from feedlens.operators.themes import question_evidence, representative_quotes, top_themes
+from feedlens.functions.lexicon import QUESTION_TERMS, QUESTIONS, key_scores
+from feedlens.functions.text import let, tokens
+from feedlens.operators.ordering import top_k_within
+from feedlens.operators.themes import answer_text, question_scores, top_evidence
+from feedlens.session import checkpoint_root
 
 # --- fixed values: action tracker fallback when a note lists no action ---
 FALLBACK_ACTIONS = (
@@ -31,6 +35,10 @@ def _ordered_join(pos: Column, text: Column, sep: str = "") -> Column:
                                     lambda x: x["t"]), sep)
 
 
+def _is_question(key: str):
+    return lambda x: x["question_key"] == F.lit(key)
+
+
 def weekly_note(themed: DataFrame, k: int = 3) -> DataFrame:
     """One Markdown note per (source, week): top themes with volume
     and low-rating counts, one quote per top theme, one action per top
@@ -39,10 +47,26 @@ def weekly_note(themed: DataFrame, k: int = 3) -> DataFrame:
     Output: ``report_key, source, week, n_reviews, note``.
     """
     by = list(NOTE_KEYS)
+    if "q_scores" not in themed.columns:
+        themed = themed.withColumn("q_scores", let(tokens("text"), lambda t: key_scores(t, QUESTION_TERMS)))
     wk = themed.withColumn("week", week_start("date"))
-    top = top_themes(wk, k, by=by)
-    quotes = representative_quotes(wk, by=by).select(*by, "theme_id", "quote")
-    top = top.join(quotes, on=[*by, "theme_id"], how="left")
+    # Pass 1 over the text: one aggregate per (note, theme) carries the
+    # theme statistics, the theme's quote candidate (a bounded struct) and
+    # per-question match counts.  It is small (notes x themes rows) and is
+    # checkpointed, so every section below reads it instead of the text.
+    qcount = [F.count_if(F.exists("q_scores", _is_question(q))).alias(f"q_{q}") for q, _ in QUESTIONS]
+    stats = (wk.groupBy(*by, "theme_id", "theme")
+             .agg(F.count(F.lit(1)).alias("n_reviews"),
+                  F.count_if(F.col("rating") <= 2).alias("n_low"),
+                  F.round(F.avg("rating"), 4).alias("avg_rating"),
+                  F.min(F.struct((-F.col("theme_score")).alias("neg_score"), F.length("text").alias("len"),
+                                 F.col("review_id").alias("review_id"), F.col("text").alias("quote")))
+                  .alias("_q"),
+                  *qcount))
+    checkpoint_root(stats.sparkSession)
+    stats = stats.checkpoint(eager=True)
+    order = [F.col("n_reviews").desc(), F.col("avg_rating").asc_nulls_last(), F.col("theme_id")]
+    top = top_k_within(stats, by, order, k, name="rank").withColumn("quote", F.col("_q.quote"))
     rank = F.col("rank")
     theme_line = F.concat(F.lit("### "), rank.cast("string"), F.lit(". "), F.col("theme"), F.lit("\n> "),
                           F.col("n_reviews").cast("string"), F.lit(" reviews, "),
@@ -52,11 +76,20 @@ def weekly_note(themed: DataFrame, k: int = 3) -> DataFrame:
     sections = top.groupBy(*by).agg(_ordered_join(rank, theme_line).alias("themes_md"),
                                     _ordered_join(rank, quote_line).alias("quotes_md"),
                                     _ordered_join(rank, action_line).alias("actions_md"))
-    qa = question_evidence(wk, k, by=by)
+    per_note = stats.groupBy(*by).agg(F.sum("n_reviews").cast("bigint").alias("n_reviews"),
+                                      *[F.sum(f"q_{q}").alias(f"q_{q}") for q, _ in QUESTIONS])
+    matched = per_note.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("q_order"), F.lit(q).alias("question_key"), F.lit(label).alias("question"),
+                 F.col(f"q_{q}").cast("bigint").alias("n_matched"))
+        for i, (q, label) in enumerate(QUESTIONS)])))
+    # Pass 2 over the text: top evidence per (note, question); the partial
+    # window-group limit keeps k rows per task and group before the shuffle.
+    ids = top_evidence(question_scores(wk, by), by, k)
+    qa = (matched.join(ids, on=[*by, "question_key"], how="left").withColumn("answer", answer_text()))
     qa_line = F.concat(F.lit("### "), F.col("q_order").cast("string"), F.lit(". "), F.col("question"),
                        F.lit("\n"), F.col("answer"), F.lit("\n\n"))
     answers = qa.groupBy(*by).agg(_ordered_join(F.col("q_order"), qa_line).alias("answers_md"))
-    counts = wk.groupBy(*by).agg(F.count(F.lit(1)).alias("n_reviews"))
+    counts = per_note.select(*by, "n_reviews")
     week_label = F.date_format("week", "MMMM dd, yyyy")
     note = F.concat(
         F.lit("# Feedback Pulse Note - "), F.col("source"), F.lit("\n**Week of**: "), week_label,

@@ -7,12 +7,13 @@ forms broadcast the lexicon only under ``BROADCAST_TERM_LIMIT`` terms.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.lexicon import (BROADCAST_TERM_LIMIT, FALLBACK_THEME, FALLBACK_THEME_ID,
                                         INLINE_TERM_LIMIT, NO_ANSWER, QUESTION_TERMS, QUESTIONS,
-                                        THEME_NAMES, THEME_TERMS, best_match, lexicon_frame)
+                                        THEME_NAMES, THEME_TERMS, best_match, key_scores,
+                                        lexicon_frame, pick_best)
 from feedlens.functions.text import let, tokens
 from feedlens.operators.ordering import top_k_within
 
@@ -51,14 +52,24 @@ def _name_map(names: dict):
 
 
 def assign_themes(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEME_NAMES,
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", questions: dict | None = None) -> DataFrame:
     """Every row gets exactly one theme: the key with the most distinct
     matched terms, ties to the smallest key, no match to the fallback.
 
     Adds ``theme_id``, ``theme`` (name) and ``theme_score``; a projection,
-    so it fuses into the scan stage."""
-    best = best_match(F.col(text_col), lexicon, FALLBACK_THEME_ID)
-    out = df.withColumn("_best", best)
+    so it fuses into the scan stage.  With ``questions`` it also adds
+    ``q_scores`` (matched-term count per question) from the same token
+    array, so later question evidence needs no second pass over the text.
+    """
+    if questions is None:
+        best = best_match(F.col(text_col), lexicon, FALLBACK_THEME_ID)
+        out = df.withColumn("_best", best)
+    else:
+        both = let(tokens(text_col), lambda tok: F.struct(
+            pick_best(tok, lexicon, FALLBACK_THEME_ID).alias("best"),
+            key_scores(tok, questions).alias("q")))
+        out = (df.withColumn("_both", both).withColumn("_best", F.col("_both.best"))
+               .withColumn("q_scores", F.col("_both.q")).drop("_both"))
     name = F.coalesce(F.element_at(_name_map(names), F.col("theme_id")), F.lit(FALLBACK_THEME))
     return (out.withColumn("theme_id", F.col("_best.key"))
             .withColumn("theme_score", F.col("_best.score"))
@@ -112,39 +123,70 @@ def questions_frame(spark) -> DataFrame:
                                  "q_order int, question_key string, question string")
 
 
+def question_scores(df: DataFrame, by: list, lexicon: dict = QUESTION_TERMS,
+                    text_col: str = "text") -> DataFrame:
+    """(group, question, review, score) with score = distinct matched terms.
+
+    From ``q_scores`` when the caller computed it with the themes (no second
+    pass over the text); otherwise from the lexicon join (J3)."""
+    if "q_scores" in df.columns:
+        # inline_outer + filter rather than inline: an inner generator makes
+        # Catalyst infer a non-empty-array filter and push it, i.e. the whole
+        # token expression, into the scan as a second evaluation.
+        return (df.select(*by, "review_id", F.inline_outer("q_scores"))
+                .where(F.col("question_key").isNotNull()))
+    pairs = question_evidence_join(df, lexicon, text_col, carry=tuple(by))
+    return pairs.groupBy(*by, "question_key", "review_id").agg(F.count(F.lit(1)).alias("score"))
+
+
+def top_evidence(scored: DataFrame, by: list, k: int) -> DataFrame:
+    """Top k review ids per (group, question) by score, then id, as text."""
+    top = top_k_within(scored, [*by, "question_key"],
+                       [F.col("score").desc(), F.col("review_id")], k, name="rank")
+    return (top.groupBy(*by, "question_key")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "review_id"))),
+                                          lambda x: F.concat(F.lit("#"), x["review_id"].cast("string"))),
+                              ", ").alias("top_review_ids")))
+
+
+def answer_text() -> Column:
+    return F.when(F.col("n_matched") == 0, F.lit(NO_ANSWER)).otherwise(
+        F.concat(F.col("n_matched").cast("string"), F.lit(" matching reviews; top evidence: "),
+                 F.col("top_review_ids")))
+
+
 def question_evidence(df: DataFrame, k: int = 3, by: tuple = (),
                       lexicon: dict = QUESTION_TERMS, text_col: str = "text") -> DataFrame:
     """T4: per question (and group): matched reviews, and the top k review
     ids by matched-term count (ties by id).  Every question appears; one
-    without evidence answers 'No analysis available.'."""
+    without evidence answers 'No analysis available.'.
+
+    The matched count and the top k read the same scored rows; the count
+    uses every scored column so both branches plan the same exchange and
+    Spark reuses it instead of scoring the text twice."""
     by = list(by)
-    pairs = question_evidence_join(df, lexicon, text_col, carry=tuple(by))
-    scored = pairs.groupBy(*by, "question_key", "review_id").agg(F.count(F.lit(1)).alias("score"))
-    matched = scored.groupBy(*by, "question_key").agg(F.count(F.lit(1)).alias("n_matched"))
-    top = top_k_within(scored, [*by, "question_key"],
-                       [F.col("score").desc(), F.col("review_id")], k, name="rank")
-    ids = (top.groupBy(*by, "question_key")
-           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "review_id"))),
-                                         lambda x: F.concat(F.lit("#"), x["review_id"].cast("string"))),
-                             ", ").alias("top_review_ids")))
+    scored = question_scores(df, by, lexicon, text_col)
+    matched = scored.groupBy(*by, "question_key").agg(
+        F.count(F.struct("review_id", "score")).alias("n_matched"))
+    ids = top_evidence(scored, by, k)
     q = _groups_x_questions(df, by)
     out = (q.join(matched, on=[*by, "question_key"], how="left")
            .join(ids, on=[*by, "question_key"], how="left")
            .withColumn("n_matched", F.coalesce(F.col("n_matched"), F.lit(0)).cast("bigint")))
-    answer = F.when(F.col("n_matched") == 0, F.lit(NO_ANSWER)).otherwise(
-        F.concat(F.col("n_matched").cast("string"), F.lit(" matching reviews; top evidence: "),
-                 F.col("top_review_ids")))
-    return out.withColumn("answer", answer)
+    return out.withColumn("answer", answer_text())
+
+
+def questions_array() -> Column:
+    return F.array(*[F.struct(F.lit(i + 1).alias("q_order"), F.lit(k).alias("question_key"),
+                              F.lit(label).alias("question"))
+                     for i, (k, label) in enumerate(QUESTIONS)])
 
 
 def _groups_x_questions(df: DataFrame, by: list) -> DataFrame:
     """Every (group, question) pair: the six questions are a literal array
     exploded per distinct group, not a join."""
-    arr = F.array(*[F.struct(F.lit(i + 1).alias("q_order"), F.lit(k).alias("question_key"),
-                             F.lit(label).alias("question"))
-                    for i, (k, label) in enumerate(QUESTIONS)])
     groups = df.select(*by).distinct() if by else df.sparkSession.range(1)
-    return groups.select(*by, F.inline(arr))
+    return groups.select(*by, F.inline(questions_array()))
 
 
 def theme_back_join(numbered: DataFrame, assignments: DataFrame, themes: DataFrame,

@@ -357,7 +357,8 @@ def q_theme_back_join(spark, sf):
 # ---------------------------------------------------------------- reports
 
 def _notes(spark, sf) -> DataFrame:
-    return reports.weekly_note(_themed(spark, sf), TOP_K)
+    from feedlens.functions.lexicon import QUESTION_TERMS
+    return reports.weekly_note(themes.assign_themes(_clean(spark, sf), questions=QUESTION_TERMS), TOP_K)
 
 
 @register("weekly_note")
