@@ -226,18 +226,26 @@ def explode_payload(parsed: DataFrame, keys=("source", "batch")) -> dict[str, Da
     keys = list(keys)
     ok = parsed.where(F.col("payload").isNotNull())
     p = F.col("payload")
-    themes = ok.select(*keys, F.posexplode(p["themes"]).alias("pos", "t")).select(
+
+    def rows(arr, *names):
+        # posexplode_outer + filter: with the inner form Catalyst would
+        # push a non-empty filter, i.e. a second JSON parse, below.
+        return (ok.select(*keys, F.posexplode_outer(arr).alias("pos", *names))
+                .where(F.col("pos").isNotNull()))
+
+    themes = rows(p["themes"], "t").select(
         *keys, "pos", F.col("t.id").alias("id"), F.col("t.name").alias("name"),
         F.col("t.description").alias("description"))
-    assignments = ok.select(*keys, F.posexplode(p["clustering"]).alias("pos", "c")).select(
+    assignments = rows(p["clustering"], "c").select(
         *keys, "pos", F.col("c.review_index").alias("review_index"), F.col("c.theme_id").alias("theme_id"))
-    answers = ok.select(*keys, F.explode(p["question_answers"]).alias("question_key", "answer"))
+    answers = (ok.select(*keys, F.explode_outer(p["question_answers"]).alias("question_key", "answer"))
+               .where(F.col("question_key").isNotNull()))
     note = p["weekly_note"]
-    top = ok.select(*keys, F.posexplode(note["top_themes"]).alias("pos", "t")).select(
+    top = rows(note["top_themes"], "t").select(
         *keys, "pos", F.col("t.rank").alias("rank"), F.col("t.name").alias("name"),
         F.col("t.rationale").alias("rationale"))
-    quotes = ok.select(*keys, F.posexplode(note["user_quotes"]).alias("pos", "quote"))
-    actions = ok.select(*keys, F.posexplode(note["action_ideas"]).alias("pos", "action"))
+    quotes = rows(note["user_quotes"], "quote")
+    actions = rows(note["action_ideas"], "action")
     return {"themes": themes, "assignments": assignments, "answers": answers,
             "top_themes": top, "quotes": quotes, "actions": actions}
 

@@ -119,7 +119,8 @@ def parse_action_items(notes: DataFrame, key: str = "report_key", text_col: str
     first of duplicate items is kept, and a note with no item gets the
     fallback list.  Output: ``key, item_no, item``.
     """
-    lines = notes.select(key, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
+    lines = (notes.select(key, F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("pos", "line"))
+             .where(F.col("pos").isNotNull()))
     line = F.col("line")
     is_start = line.contains(ACTION_SECTION_MARK)
     event = F.when(is_start, F.lit(1)).when(line.startswith("#"), F.lit(0))

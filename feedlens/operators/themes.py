@@ -27,7 +27,10 @@ def _term_join(df: DataFrame, lexicon: dict, key: str, text_col: str, id_col: st
         # Keep only tokens that are lexicon terms before exploding: the
         # intermediate is (row, matched term), not (row, every token).
         tok = F.array_intersect(tok, F.array(*[F.lit(t) for t in terms]))
-    pairs = df.select(F.col(id_col), *carry, F.explode(tok).alias("term"))
+    # explode_outer + filter: an inner explode would make Catalyst push a
+    # non-empty-array filter (a second token evaluation) into the scan.
+    pairs = (df.select(F.col(id_col), *carry, F.explode_outer(tok).alias("term"))
+             .where(F.col("term").isNotNull()))
     lex = lexicon_frame(spark, lexicon, key)
     if len(terms) <= BROADCAST_TERM_LIMIT:
         lex = F.broadcast(lex)

@@ -100,7 +100,7 @@ def scan_appstore_feed(pages: DataFrame, body_col: str = "body", keep=("page",))
     """
     entries = F.from_json(F.get_json_object(F.col(body_col), "$.feed.entry"),
                           T.ArrayType(FEED_ENTRY_WITH_ID))
-    e = pages.select(*keep, F.explode(entries).alias("e"))
+    e = pages.select(*keep, F.explode_outer(entries).alias("e")).where(F.col("e").isNotNull())
     return e.select(
         F.col("e.id.label").try_cast("bigint").alias("review_id"),
         *keep,
