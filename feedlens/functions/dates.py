@@ -46,5 +46,6 @@ def window_start(as_of, weeks: int) -> Column:
 
 
 def week_start(c) -> Column:
-    """Monday 00:00 of the week containing the timestamp."""
-    return F.date_trunc("week", _col(c))
+    """Monday 00:00 of the week containing the timestamp (TIMESTAMP_NTZ;
+    ``date_trunc`` returns a zoned TIMESTAMP, read back in session UTC)."""
+    return F.date_trunc("week", _col(c)).cast("timestamp_ntz")

@@ -101,7 +101,7 @@ def pick_best(tok: Column, lexicon: dict, fallback: str | None) -> Column:
     ])
     return let(F.array_min(cands), lambda b: F.struct(
         F.when(b["neg"] < 0, b["key"]).otherwise(F.lit(fallback)).alias("key"),
-        (-b["neg"]).cast("int").alias("score")))
+        (-b["neg"]).cast("bigint").alias("score")))
 
 
 def key_scores(tok: Column, lexicon: dict, name: str = "question_key") -> Column:

@@ -246,8 +246,8 @@ SEV_BY_SOURCE = """sev AS (
 
 SQL["top_themes"] = with_(REVIEWS, CLEAN, THEMED, SEV_BY_SOURCE) + f"""
 SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_reviews DESC,
-                               avg_rating ASC NULLS LAST, theme_id) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY n_reviews DESC,
+                                    avg_rating ASC NULLS LAST, theme_id) AS INTEGER) AS rank
   FROM sev) WHERE rank <= {TOP_K}"""
 
 SQL["representative_quotes"] = BASE_THEMED + """
@@ -311,11 +311,11 @@ SQL["subsample_head"] = with_(REVIEWS, FEED, PLAY, SURVIVORS) + f"""
   SELECT review_id, source, date, 1 AS priority FROM play
   UNION ALL SELECT review_id, 'appstore', date, 2 FROM feed_kept
   UNION ALL SELECT review_id, source, date, 3 FROM social)
-SELECT 'head' AS variant, review_id, source, priority, rank FROM (
+SELECT 'head' AS variant, review_id, source, priority, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (ORDER BY priority, date DESC, review_id) AS rank FROM u)
 WHERE rank <= 35
 UNION ALL
-SELECT 'fair', review_id, source, priority, rank FROM (
+SELECT 'fair', review_id, source, priority, CAST(rank AS INTEGER) FROM (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY date DESC, review_id) AS rank FROM u)
 WHERE rank <= 7"""
 
