@@ -44,7 +44,8 @@ def number_reviews(df: DataFrame, by=("source",), name: str = "rn") -> DataFrame
 
     Uses the range-partitioned numbering of ``ordering.number_within``:
     a channel holding a third of the rows is spread over all tasks."""
-    return number_within(df, list(by), newest_first(), name=name)
+    return number_within(df, list(by), newest_first(), name=name, id_col="review_id",
+                         key_cols=[*by, "date"])
 
 
 def prompt_line(index: Column) -> Column:
@@ -181,11 +182,17 @@ def lexicon_completion(prompt: str) -> str:
 
 
 def annotate_batches(batches: DataFrame, complete: Callable[[str], str] = lexicon_completion,
-                     keys=("source", "batch"), instructions: str = INSTRUCTIONS) -> DataFrame:
+                     keys=("source", "batch"), instructions: str = INSTRUCTIONS,
+                     materialize: bool = True) -> DataFrame:
     """Apply ``complete(prompt) -> response`` to every batch inside the
     executors.  Batches are spread by hash of their keys first, so the
-    calls run in parallel across the cluster; Arrow carries the rows."""
-    from feedlens.session import ship_package
+    calls run in parallel across the cluster; Arrow carries the rows.
+
+    A model call is slow, metered and not repeatable, so by default the
+    responses are written once (a reliable checkpoint in the shared folder):
+    every later branch reads them, and a lost executor never re-issues
+    calls that already returned."""
+    from feedlens.session import checkpoint_root, ship_package
 
     ship_package(batches.sparkSession)
     keys = list(keys)
@@ -199,7 +206,11 @@ def annotate_batches(batches: DataFrame, complete: Callable[[str], str] = lexico
             out["response"] = resp
             yield out
 
-    return batches.select(*keys, "body").repartition(*keys).mapInPandas(run, schema)
+    out = batches.select(*keys, "body").repartition(*keys).mapInPandas(run, schema)
+    if materialize:
+        checkpoint_root(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 _PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}

@@ -144,16 +144,19 @@ def parse_action_items(notes: DataFrame, key: str = "report_key", text_col: str
 
 def first_wins_dedupe(items: DataFrame, key: str, order: list[str],
                       add: list[str] | None = None) -> DataFrame:
-    """Collapse duplicate ``key`` values keeping the first by ``order``
-    (a ``min`` over a struct: one partial aggregate, no window), then add
-    each of ``add`` that is absent (left-anti + union)."""
-    first = items.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
-    out = first.select(key, *[F.col(f"_first.{c}").alias(f"first_{c}") for c in order])
+    """Collapse duplicate ``key`` values keeping the first by ``order``,
+    then add each of ``add`` that is absent.
+
+    One partial aggregate does both: the items to add join the input as
+    candidates that sort after every real row (``_added`` = 1), and the
+    ``min`` over ``struct(_added, order...)`` keeps a real row when there is
+    one.  No window, no anti join, one pass over the input."""
+    cand = items.select(key, F.lit(0).alias("_added"), *order)
     if add:
         spark = items.sparkSession
-        extra = spark.createDataFrame([(a,) for a in add], f"{key} string")
-        extra = extra.dropDuplicates([key]).join(out.select(key), on=key, how="left_anti")
-        for c in order:
-            extra = extra.withColumn(f"first_{c}", F.lit(None).cast(items.schema[c].dataType))
-        out = out.unionByName(extra)
-    return out
+        extra = spark.createDataFrame([(a,) for a in add], f"{key} string").select(
+            key, F.lit(1).alias("_added"),
+            *[F.lit(None).cast(items.schema[c].dataType).alias(c) for c in order])
+        cand = cand.unionByName(extra)
+    first = cand.groupBy(key).agg(F.min(F.struct("_added", *order)).alias("_first"))
+    return first.select(key, *[F.col(f"_first.{c}").alias(f"first_{c}") for c in order])

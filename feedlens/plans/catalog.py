@@ -396,7 +396,8 @@ def _feed_pages(spark, sf) -> DataFrame:
     """App-store rows as the feed serves them: pages of 50 entries, newest
     first, each page one JSON body."""
     app = _reviews(spark, sf).where(F.col("source") == "appstore")
-    numbered = number_within(app, [], [F.col("date").desc(), F.col("review_id")], name="rn")
+    numbered = number_within(app, [], [F.col("date").desc(), F.col("review_id")], name="rn",
+                             id_col="review_id", key_cols=["date"])
     entry = F.struct(
         F.struct(F.col("review_id").cast("string").alias("label")).alias("id"),
         F.struct(iso_string("date").alias("label")).alias("updated"),
