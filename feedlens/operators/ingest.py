@@ -40,13 +40,13 @@ def source_precedence(primary: DataFrame, fallback: DataFrame,
                       store_sources=("playstore", "appstore")) -> DataFrame:
     """drop fallback rows of a store source that has any primary rows.
 
-    A left-anti join against the distinct sources of ``primary``.  That side
-    is one row per source after a partial aggregate, so the join is a
-    broadcast in practice, but no broadcast is forced: AQE picks it from the
-    measured size.
+    A left-anti join against the distinct store sources of ``primary``.
+    That side has at most ``len(store_sources)`` rows (an ``isin`` filter
+    and a distinct), a proven bound, so it is broadcast: a shuffle join on
+    a five-valued key would put a whole channel into one task.
     """
     present = primary.select("source").where(F.col("source").isin(*store_sources)).distinct()
-    return fallback.join(present, on="source", how="left_anti")
+    return fallback.join(F.broadcast(present), on="source", how="left_anti")
 
 
 def union_sources(play: DataFrame, app: DataFrame, social: DataFrame) -> DataFrame:
