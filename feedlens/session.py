@@ -38,6 +38,30 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Settings sized from the input for a cluster run.
+
+    Shuffle partitions hold about ``target_partition_bytes`` each (and are
+    never fewer than twice the cores), file splits use the same target, AQE
+    coalesces small partitions and splits skewed join partitions.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Review dates are UTC instants; keep the session clock in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
