@@ -11,16 +11,22 @@ aggregate of the centres, and only the k centres reach the driver.
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, RegexTokenizer,
+                                StopWordsRemover)
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import TOKEN_SPLIT
+from feedlens.session import checkpoint_root
 
 K_RANGE = (3, 4, 5)
 MIN_TOKEN_CHARS = 3
@@ -39,36 +45,48 @@ def discover_themes(df: DataFrame, text_col: str = "text", seed: int = 42,
     stop = StopWordsRemover.loadDefaultStopWords("english")
     for lang in ("german", "spanish", "french"):
         stop += StopWordsRemover.loadDefaultStopWords(lang)
-    prep = Pipeline(stages=[
+    terms_of = Pipeline(stages=[
         RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN_SPLIT, toLowercase=True,
                        minTokenLength=MIN_TOKEN_CHARS),
         StopWordsRemover(inputCol="_tok", outputCol="_terms", stopWords=stop),
-        CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=VOCAB_SIZE, minDF=MIN_DOC_SHARE,
-                        maxDF=MAX_DOC_SHARE),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
     ])
     base = df.select("review_id", F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
     base = base.withColumn(text_col, F.regexp_replace(
         text_col, rf"\b[a-z]{{{MAX_TOKEN_CHARS + 1},}}\b", " "))
-    model = prep.fit(base)
-    vocab = model.stages[2].vocabulary
-    feats = model.transform(base).select("review_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    n = feats.count()
+    # Masking and tokenising is the expensive part: it runs once, and the
+    # term arrays are written to the shared checkpoint folder.  The
+    # vocabulary, the document frequencies and the vectors all read them.
+    checkpoint_root(df.sparkSession)
+    terms = (terms_of.fit(base).transform(base).select("review_id", "_terms")
+             .checkpoint(eager=True))
+    n_docs = terms.count()
+    vocab, idf = _vocabulary(terms, n_docs)
+    weigh = Pipeline(stages=[
+        CountVectorizerModel.from_vocabulary(vocab, inputCol="_terms", outputCol="_tf"),
+        ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf"),
+        Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
+    ])
+    feats = (weigh.fit(terms).transform(terms).select("review_id", "features")
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    n = n_docs
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
                                     distanceMeasure="squaredEuclidean")
-    best = None
-    for k in k_range:
+
+    def fit_one(k):
         km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="prediction")
         fitted = km.fit(feats)
         sizes = fitted.summary.clusterSizes
-        pred = fitted.transform(feats)
-        score = evaluator.evaluate(pred) if min(sizes) > 0 else -1.0
+        score = evaluator.evaluate(fitted.transform(feats)) if min(sizes) > 0 else -1.0
         ok = n == 0 or min(sizes) >= min_share * n
-        cand = (ok, score, -k)
-        if best is None or cand > best[0]:
-            best = (cand, k, fitted)
-    _, k, fitted = best
+        return (ok, score, -k), k, fitted
+
+    # The candidate k are independent fits over the same cached vectors:
+    # they run as concurrent Spark jobs (as CrossValidator's ``parallelism``
+    # does), and the choice is made from their results in k order, so it
+    # does not depend on which job finishes first.
+    with ThreadPoolExecutor(max_workers=len(k_range)) as pool:
+        results = list(pool.map(fit_one, k_range))
+    _, k, fitted = max(results, key=lambda r: r[0])
     centres = [list(map(float, c)) for c in fitted.clusterCenters()]
     sizes = fitted.summary.clusterSizes
     keep = [c for c in range(k) if sizes[c] >= min_share * n] or list(range(k))
@@ -90,6 +108,26 @@ def discover_themes(df: DataFrame, text_col: str = "text", seed: int = 42,
     return out
 
 
+def _vocabulary(terms: DataFrame, n_docs: int) -> tuple[list[str], list[float]]:
+    """The ``VOCAB_SIZE`` most frequent terms whose document share lies in
+    [``MIN_DOC_SHARE``, ``MAX_DOC_SHARE``] (ties by term), and their inverse
+    document frequencies ``log((n + 1) / (df + 1))``.
+
+    Two hash aggregates: (review, term) counts first (partial aggregation
+    collapses a review's repeats map-side), then per term the corpus count
+    and the document count.  Only the bounded vocabulary reaches the driver.
+    """
+    per_doc = (terms.select("review_id", F.explode("_terms").alias("term"))
+               .groupBy("review_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    per_term = per_doc.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    lo, hi = MIN_DOC_SHARE * n_docs, MAX_DOC_SHARE * n_docs
+    top = (per_term.where((F.col("df") >= lo) & (F.col("df") <= hi))
+           .orderBy(F.col("tf").desc(), F.col("term")).limit(VOCAB_SIZE).collect())
+    vocab = [r["term"] for r in top]
+    idf = [math.log((n_docs + 1.0) / (r["df"] + 1.0)) for r in top]
+    return vocab, idf
+
+
 def _nearest(keep: list[int], centres: list[list[float]]):
     """Index of the nearest kept centre, with built-in array functions:
     argmax of 2 x.c - |c|^2 (x is unit length).  Rows of a dropped (too

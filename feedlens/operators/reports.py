@@ -99,8 +99,12 @@ def weekly_note(themed: DataFrame, k: int = 3) -> DataFrame:
         F.lit("\n---\n\n## Strategic Action Ideas\n"), F.col("actions_md"),
         F.lit("\n---\n\n## Product Questions\n"), F.col("answers_md"))
     key = F.concat(F.col("source"), F.lit("/"), F.date_format("week", "yyyy-MM-dd"))
-    return (counts.join(sections, on=by).join(answers, on=by)
-            .select(key.alias("report_key"), *by, "n_reviews", note.alias("note")))
+    notes = (counts.join(sections, on=by).join(answers, on=by)
+             .select(key.alias("report_key"), *by, "n_reviews", note.alias("note")))
+    # The notes are the report: written once to the shared folder, so the
+    # parsers and sinks that read them (several branches each) never re-run
+    # the evidence pass over the text.  One short row per (source, week).
+    return notes.checkpoint(eager=True)
 
 
 def _strip(c: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.lexicon import (BROADCAST_TERM_LIMIT, FALLBACK_THEME, FALLBACK_THEME_ID,
                                         INLINE_TERM_LIMIT, NO_ANSWER, QUESTION_TERMS, QUESTIONS,
-                                        THEME_NAMES, THEME_TERMS, best_match, key_scores,
+                                        THEME_NAMES, THEME_TERMS, best_key, best_match, key_scores,
                                         lexicon_frame, pick_best)
 from feedlens.functions.text import let, tokens
 from feedlens.operators.ordering import top_k_within
@@ -80,6 +80,13 @@ def assign_themes(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEM
             .drop("_best"))
 
 
+def theme_names_or_null(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEME_NAMES,
+                        text_col: str = "text") -> DataFrame:
+    """Adds ``theme`` = the name of the best-matching theme, NULL when no
+    term matches (the raw label that P5's default fills in)."""
+    return df.withColumn("theme", F.element_at(_name_map(names), best_key(F.col(text_col), lexicon, None)))
+
+
 def theme_volume_severity(themed: DataFrame, by: tuple = ()) -> DataFrame:
     """Per theme: rows, share of rows (within ``by``), mean rating,
     rated rows and the share of rated rows with rating <= 2."""

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions.dates import iso_string
-from feedlens.functions.lexicon import FALLBACK_THEME_ID
 from feedlens.operators import ingest, metrics, privacy, prompts, reports, search, themes
 from feedlens.plans.params import (FAIR_K, HEAD_SIZE, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
                                    SEARCH_PATTERN, TOP_K, WEEKS)
@@ -209,12 +208,9 @@ def q_search_reviews(spark, sf):
 
 @register("default_theme")
 def q_default_theme(spark, sf):
-    clean = _clean(spark, sf)
-    # Theme names from the join form: reviews without any term get no row.
-    pairs = themes.theme_lexicon_join(clean)
-    matched = (themes.assign_themes(clean.join(pairs.select("review_id").distinct(), "review_id"))
-               .where(F.col("theme_id") != FALLBACK_THEME_ID).select("review_id", "theme"))
-    return search.default_theme(clean.select("review_id").join(matched, "review_id", "left"))
+    # The theme name as a lookup gives it: NULL for a review without any
+    # lexicon term; the default fills those.  One pass over the text.
+    return search.default_theme(themes.theme_names_or_null(_clean(spark, sf)).select("review_id", "theme"))
 
 
 @register("display_projection")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.session import checkpoint_root
 from feedlens.sources.readers import CSV_OPTIONS, NTZ_FORMAT
 
 THEME_CSV_HEADER = ("Theme ID", "Theme Name", "Description")
@@ -37,6 +38,11 @@ def sink_themes_csv(themes: DataFrame, path: str) -> bool:
         F.coalesce(F.col("theme_id"), F.lit("")).alias(THEME_CSV_HEADER[0]),
         F.coalesce(F.col("name"), F.lit("")).alias(THEME_CSV_HEADER[1]),
         F.coalesce(F.col("description"), F.lit("")).alias(THEME_CSV_HEADER[2]))
+    # Materialise once (a reliable checkpoint in the shared folder): the
+    # size check and the write then read the same rows instead of running
+    # the upstream plan twice.
+    checkpoint_root(themes.sparkSession)
+    out = out.checkpoint(eager=True)
     n = out.limit(MAX_THEME_ROWS + 1).count()
     if n == 0:
         return False
@@ -59,7 +65,8 @@ def qa_json_lines(answers: DataFrame, key: str = "report_key") -> DataFrame:
 def sink_qa_json(answers: DataFrame, path: str, key: str = "report_key") -> bool:
     """K3: answers as JSON lines, one object per report (six entries at
     most per object).  Returns False when there is nothing to write."""
-    lines = qa_json_lines(answers, key)
+    checkpoint_root(answers.sparkSession)
+    lines = qa_json_lines(answers, key).checkpoint(eager=True)
     if lines.isEmpty():
         return False
     lines.select("value").write.mode("overwrite").text(path)
