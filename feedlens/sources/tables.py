@@ -55,12 +55,19 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     rating = F.when(etype.isin(*RATED_EVENTS),
                     (F.lit(1) + F.floor(F.abs(F.col("value"))).cast("bigint") % 5).cast("int"))
     title = F.when(etype != UNTITLED_EVENT, F.substring("text", 1, TITLE_CHARS))
+    # The text is taken from the joined row (the join key is never NULL
+    # there, so the value is unchanged).  A predicate on a text-derived
+    # value (theme, search pattern, mask marker) then references both sides
+    # and stays above the join: it runs on the rows the selective event-side
+    # filters leave, not on every document before the join.  Catalyst
+    # treats every filter as cheap; masking and tokenising are not.
+    text = F.when(F.col("event_id").isNotNull(), F.col("text"))
     return joined.select(
         F.col("doc_id").alias("review_id"),
         source.alias("source"),
         rating.alias("rating"),
         title.alias("title"),
-        F.col("text"),
+        text.alias("text"),
         F.col("ts").alias("date"),
     )
 
