@@ -37,17 +37,35 @@ def coerce_rating(c) -> "F.Column":
     return F.when(v.between(RATING_MIN, RATING_MAX), v)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` (a file, folder or glob) matches anything, asked of
+    the file system that holds it (local, HDFS or an object store)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(hpath)
+    return found is not None and len(found) > 0
+
+
+def _raw_reviews(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """The dump as string-typed rows; a missing dump reads as no rows and a
+    malformed record as a row of NULLs (PERMISSIVE), which the date check
+    then drops."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], REVIEW_RAW)
+    return spark.read.schema(REVIEW_RAW).option("multiLine", str(multi_line).lower()).json(path)
+
+
 def scan_reviews_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Reviews from a JSON dump.  Ratings are coerced, dates parsed; a
     row whose date does not parse is dropped (see ``scan_reviews_json_rejects``).
+    A missing dump gives no rows.
     """
-    raw = spark.read.schema(REVIEW_RAW).option("multiLine", str(multi_line).lower()).json(path)
-    return (normalize_raw(raw).where(F.col("date").isNotNull()))
+    return normalize_raw(_raw_reviews(spark, path, multi_line)).where(F.col("date").isNotNull())
 
 
 def scan_reviews_json_rejects(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    raw = spark.read.schema(REVIEW_RAW).option("multiLine", str(multi_line).lower()).json(path)
-    return normalize_raw(raw).where(F.col("date").isNull())
+    return normalize_raw(_raw_reviews(spark, path, multi_line)).where(F.col("date").isNull())
 
 
 def normalize_reviews(play: DataFrame | None = None, app: DataFrame | None = None,

@@ -125,3 +125,12 @@ def test_json_array_dump(spark, tmp_path):
     assert [r.source for r in rows] == ["appstore", "reddit"]
     assert rows[0].rating is None  # 9 is outside 1..5
     assert readers.scan_reviews_json_rejects(spark, str(p), multi_line=True).count() == 1
+
+
+def test_missing_or_malformed_dump_gives_no_rows(spark, tmp_path):
+    assert readers.scan_reviews_json(spark, str(tmp_path / "absent.json")).count() == 0
+    assert readers.scan_reviews_json(spark, str(tmp_path / "absent-*.json"), multi_line=True).count() == 0
+    bad = tmp_path / "bad.json"
+    bad.write_text("this is not json\n{\"source\": \"reddit\", \"text\": \"x\", \"date\": \"2026-07-01\"}\n")
+    rows = readers.scan_reviews_json(spark, str(bad)).collect()
+    assert [r.source for r in rows] == ["reddit"]
