@@ -234,8 +234,14 @@ def parse_responses(df: DataFrame, col: str = "response") -> DataFrame:
 def explode_payload(parsed: DataFrame, keys=("source", "batch")) -> dict[str, DataFrame]:
     """Flatten parsed payloads to their row sets (0-based ``pos`` keeps
     the order given in the payload)."""
+    from feedlens.session import checkpoint_root
+
     keys = list(keys)
-    ok = parsed.where(F.col("payload").isNotNull())
+    # Six row sets read the payload, and each would otherwise parse every
+    # response again (twice: strict, then the recovered block).  The parsed
+    # payloads are written once to the shared folder and read six times.
+    checkpoint_root(parsed.sparkSession)
+    ok = parsed.where(F.col("payload").isNotNull()).select(*keys, "payload").checkpoint(eager=True)
     p = F.col("payload")
 
     def rows(arr, *names):
