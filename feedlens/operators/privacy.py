@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import (EMAIL_RE, MARKER_RE, PHONE_RE, has_mask_marker,
-                                     mask_emails, mask_pii)
+from feedlens.functions.text import (EMAIL_RE, MARKER_RE, PHONE_RE, has_mask_marker, let,
+                                     mask_emails, mask_phones, mask_pii)
 
 UNKNOWN_SOURCE = "unknown"
 
@@ -56,11 +56,16 @@ def pii_incident_counts(df: DataFrame, by: str = "source", col: str = "text") ->
     """
     raw = F.coalesce(F.col(col), F.lit(""))
     email_n = F.when(F.instr(raw, "@") > 0, F.regexp_count(raw, F.lit(EMAIL_RE))).otherwise(0)
-    phone_n = F.regexp_count(mask_emails(raw), F.lit(PHONE_RE))
-    masked = mask_pii(col)
-    return (df.select(F.col(by), email_n.alias("_e"), phone_n.alias("_p"),
-                      (masked != raw).alias("_changed"),
-                      masked.rlike(MARKER_RE).alias("_marked"))
+    # The email-masked text is bound once: the phone count and the fully
+    # masked text (equal to ``mask_pii``, NULL input included) both come
+    # from it, and the masked text is bound once for both flags.
+    step = let(mask_emails(raw), lambda e: F.struct(
+        F.regexp_count(e, F.lit(PHONE_RE)).alias("p"),
+        let(mask_phones(e), lambda m: F.struct((m != raw).alias("changed"),
+                                                m.rlike(MARKER_RE).alias("marked"))).alias("m")))
+    return (df.select(F.col(by), email_n.alias("_e"), step.alias("_s"))
+            .select(by, "_e", F.col("_s.p").alias("_p"), F.col("_s.m.changed").alias("_changed"),
+                    F.col("_s.m.marked").alias("_marked"))
             .groupBy(by)
             .agg(F.count(F.lit(1)).alias("n_rows"),
                  F.count_if("_changed").alias("masked_rows"),
