@@ -93,9 +93,13 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``feedlens`` importable in Python workers (once per context).
 
     Python-side operators (``mapInPandas``) unpickle functions of this
-    package on the executors; the package is zipped into the shared folder
-    and added with ``addPyFile``.
+    package on the executors.  The package is zipped in memory, written
+    through the Hadoop file system of the shared checkpoint folder (HDFS,
+    an object store, or a local folder in tests) and added with
+    ``addPyFile``, from where every executor, including a replacement for a
+    lost one, fetches it.
     """
+    import io
     import os
     import zipfile
 
@@ -103,14 +107,20 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = scratch_path(spark, "pyfiles")
-    os.makedirs(target, exist_ok=True)
-    zpath = os.path.join(target, "feedlens.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _, files in os.walk(pkg_dir):
-            for name in files:
+            for name in sorted(files):
                 if name.endswith(".py"):
                     full = os.path.join(root, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
+    target = f"{scratch_path(spark, 'pyfiles')}/feedlens.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    out = hpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(hpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
