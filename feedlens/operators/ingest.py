@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.dates import parse_date, window_start
 
+# --- fixed values: the stores' fetch limits, the top-up target, the window ---
 DEFAULT_WEEKS = 7
 PLAYSTORE_CAP = 600
+FEED_MAX_PAGES = 10
 TOPUP_TARGET = 550
+# --- end of fixed values ---
 # Source priority of the consolidated list: play store, app store, social.
 PRIORITY = {"playstore": 1, "appstore": 2}
 SOCIAL_PRIORITY = 3
@@ -59,11 +62,12 @@ def union_sources(play: DataFrame, app: DataFrame, social: DataFrame) -> DataFra
 
 
 def feed_take_while(feed: DataFrame, as_of, weeks: int = DEFAULT_WEEKS,
-                    by: tuple = ()) -> DataFrame:
+                    by: tuple = (), max_pages: int | None = FEED_MAX_PAGES) -> DataFrame:
     """Pages are read in order and reading stops at the first page that
-    contributes no in-window row (an empty or missing page stops it too).
-    A row survives when it is in the window and every earlier page
-    contributed at least one row.
+    contributes no in-window row (an empty or missing page stops it too),
+    or after ``max_pages`` pages (the store feed serves 10; None reads on).
+    A row survives when it is in the window, its page is within the page
+    limit, and every earlier page contributed at least one row.
 
     The stop page is the smallest positive page number that is not a
     "good" page (a page with an in-window row).  It is found without a sort:
@@ -84,7 +88,10 @@ def feed_take_while(feed: DataFrame, as_of, weeks: int = DEFAULT_WEEKS,
     stop = (cands.join(good, on=[*by, "page"], how="left_anti")
             .groupBy(*by).agg(F.min("page").alias("stop_page")))
     kept = _join_single(in_win, stop, by)
-    return kept.where(F.col("page") < F.col("stop_page")).drop("stop_page")
+    kept = kept.where(F.col("page") < F.col("stop_page")).drop("stop_page")
+    if max_pages is not None:
+        kept = kept.where(F.col("page") <= F.lit(int(max_pages)))
+    return kept
 
 
 def _join_single(rows: DataFrame, stop: DataFrame, by: list) -> DataFrame:

@@ -11,7 +11,7 @@ from feedlens.functions.lexicon import (FALLBACK_THEME, FALLBACK_THEME_ID, NO_AN
                                         QUESTION_TERMS, QUESTIONS, THEME_NAMES, THEME_TERMS)
 from feedlens.functions.text import EMAIL_PATTERN, PHONE_PATTERN
 from feedlens.operators.reports import FALLBACK_ACTIONS
-from feedlens.plans.params import (FEED_PAGE_HOURS, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
+from feedlens.plans.params import (FEED_MAX_PAGES, FEED_PAGE_HOURS, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
                                    SEARCH_PATTERN, TOP_K, WEEKS)
 
 
@@ -152,7 +152,8 @@ feed_stop AS (
     SELECT page + 1 AS page FROM feed_good UNION ALL SELECT 1) c
   WHERE page NOT IN (SELECT page FROM feed_good)),
 feed_kept AS (
-  SELECT * FROM feed WHERE date >= {START} AND page < (SELECT stop_page FROM feed_stop))"""
+  SELECT * FROM feed WHERE date >= {START} AND page < (SELECT stop_page FROM feed_stop)
+    AND page <= {FEED_MAX_PAGES})"""
 
 SQL["feed_take_while"] = with_(REVIEWS, FEED) + "SELECT * FROM feed_kept"
 

@@ -1,6 +1,6 @@
 """Parameters of the registered queries (shared by Spark plans and oracle)."""
 
-from feedlens.operators.ingest import PLAYSTORE_CAP, TOPUP_TARGET  # noqa: F401
+from feedlens.operators.ingest import FEED_MAX_PAGES, PLAYSTORE_CAP, TOPUP_TARGET  # noqa: F401
 from feedlens.sources.tables import FEED_PAGE_HOURS  # noqa: F401
 
 # The bundled events span 15-30 days, so window tests use one week back

@@ -74,6 +74,15 @@ def test_take_while_gap_and_empty(spark):
     assert ingest.feed_take_while(_feed(spark, rows), GOLDEN_AS_OF, weeks=1).count() == 0
 
 
+def test_take_while_reads_at_most_max_pages(spark):
+    new = dt.datetime(2026, 7, 6)
+    rows = [(i, i, new) for i in range(1, 14)]  # 13 good pages in a row
+    assert sorted(r.page for r in ingest.feed_take_while(_feed(spark, rows), GOLDEN_AS_OF, weeks=1).collect()) \
+        == list(range(1, 11))
+    out = ingest.feed_take_while(_feed(spark, rows), GOLDEN_AS_OF, weeks=1, max_pages=None)
+    assert out.count() == 13
+
+
 def test_take_while_per_app(spark):
     new, old = dt.datetime(2026, 7, 6), dt.datetime(2026, 1, 1)
     df = spark.createDataFrame(
