@@ -59,6 +59,11 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
+        # Streaming dedupe state (every review id inside the watermark) is
+        # kept in RocksDB: off-heap and on local disk, checkpointed to the
+        # shared folder, so it does not have to fit in executor heaps.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
 
 
