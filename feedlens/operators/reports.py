@@ -50,23 +50,34 @@ def weekly_note(themed: DataFrame, k: int = 3) -> DataFrame:
     if "q_scores" not in themed.columns:
         themed = themed.withColumn("q_scores", let(tokens("text"), lambda t: key_scores(t, QUESTION_TERMS)))
     wk = themed.withColumn("week", week_start("date"))
-    # Pass 1 over the text: one aggregate per (note, theme) carries the
-    # theme statistics, the theme's quote candidate (a bounded struct) and
-    # per-question match counts.  It is small (notes x themes rows) and is
-    # checkpointed, so every section below reads it instead of the text.
+    # The one full pass over the text: per review, the narrow values every
+    # section needs (theme, score, rating, text length, per-question scores)
+    # are written once to the shared folder.  No text is kept.
+    checkpoint_root(themed.sparkSession)
+    narrow = (wk.select(*by, "review_id", "theme_id", "theme", "theme_score", "rating",
+                        F.length("text").alias("len"), "q_scores")
+              .checkpoint(eager=True))
+    # Per (note, theme): statistics, the quote candidate (highest score,
+    # then shortest text, then smallest id) and per-question match counts.
     qcount = [F.count_if(F.exists("q_scores", _is_question(q))).alias(f"q_{q}") for q, _ in QUESTIONS]
-    stats = (wk.groupBy(*by, "theme_id", "theme")
+    stats = (narrow.groupBy(*by, "theme_id", "theme")
              .agg(F.count(F.lit(1)).alias("n_reviews"),
                   F.count_if(F.col("rating") <= 2).alias("n_low"),
                   F.round(F.avg("rating"), 4).alias("avg_rating"),
-                  F.min(F.struct((-F.col("theme_score")).alias("neg_score"), F.length("text").alias("len"),
-                                 F.col("review_id").alias("review_id"), F.col("text").alias("quote")))
-                  .alias("_q"),
+                  F.min(F.struct((-F.col("theme_score")).alias("neg_score"), F.col("len"),
+                                 F.col("review_id"))).alias("_q"),
                   *qcount))
-    checkpoint_root(stats.sparkSession)
-    stats = stats.checkpoint(eager=True)
     order = [F.col("n_reviews").desc(), F.col("avg_rating").asc_nulls_last(), F.col("theme_id")]
-    top = top_k_within(stats, by, order, k, name="rank").withColumn("quote", F.col("_q.quote"))
+    top = top_k_within(stats, by, order, k, name="rank").withColumn("quote_id", F.col("_q.review_id"))
+    # Only the texts of the chosen quotes (k per note) are read back.  As an
+    # IN-subquery filter (not a join) Catalyst pushes it through the masking
+    # projection and the review join down to the documents scan, so only
+    # the chosen rows are shuffled, joined and masked.
+    quotes = themed.sparkSession.sql(
+        "SELECT review_id AS quote_id, text AS quote FROM {reviews} "
+        "WHERE review_id IN (SELECT quote_id FROM {picked})",
+        reviews=wk.select("review_id", "text"), picked=top.select("quote_id"))
+    top = top.join(quotes, "quote_id", "left")
     rank = F.col("rank")
     theme_line = F.concat(F.lit("### "), rank.cast("string"), F.lit(". "), F.col("theme"), F.lit("\n> "),
                           F.col("n_reviews").cast("string"), F.lit(" reviews, "),
@@ -82,9 +93,9 @@ def weekly_note(themed: DataFrame, k: int = 3) -> DataFrame:
         F.struct(F.lit(i + 1).alias("q_order"), F.lit(q).alias("question_key"), F.lit(label).alias("question"),
                  F.col(f"q_{q}").cast("bigint").alias("n_matched"))
         for i, (q, label) in enumerate(QUESTIONS)])))
-    # Pass 2 over the text: top evidence per (note, question); the partial
+    # Top evidence per (note, question) from the narrow rows; the partial
     # window-group limit keeps k rows per task and group before the shuffle.
-    ids = top_evidence(question_scores(wk, by), by, k)
+    ids = top_evidence(question_scores(narrow, by), by, k)
     qa = (matched.join(ids, on=[*by, "question_key"], how="left").withColumn("answer", answer_text()))
     qa_line = F.concat(F.lit("### "), F.col("q_order").cast("string"), F.lit(". "), F.col("question"),
                        F.lit("\n"), F.col("answer"), F.lit("\n\n"))
