@@ -51,3 +51,20 @@ def test_text_predicates_run_after_the_review_join(spark):
         assert not any("array_distinct" in f or "RLIKE" in f or "regexp_replace" in f for f in filters), filters
         # the event-side filters still reach the events scan
         assert "event_type" in " ".join(filters)
+
+
+def test_quote_read_back_filters_at_the_documents_scan(spark):
+    """The weekly note reads back only its chosen quotes: the IN-subquery
+    filter must become a semi join on the documents side, below the
+    repartition and the masking projection."""
+    themed = themes.assign_themes(clean_reviews(tables.reviews(spark, SF001)))
+    picked = spark.range(3).select((F.col("id") + 5).alias("quote_id"))
+    quotes = spark.sql("SELECT review_id AS quote_id, text AS quote FROM {reviews} "
+                       "WHERE review_id IN (SELECT quote_id FROM {picked})",
+                       reviews=themed.select("review_id", "text"), picked=picked)
+    plan = quotes._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    semi = next(i for i, line in enumerate(plan) if "LeftSemi" in line)
+    repart = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+    masking = next(i for i, line in enumerate(plan) if "regexp_replace" in line)
+    assert masking < repart < semi  # printed top-down: the semi join is the deepest
+    assert sorted(r.quote_id for r in quotes.collect()) == [5, 6, 7]
