@@ -156,20 +156,29 @@ def _may_link(x: str, xpos: str, y: str, ypos: str, percent: int) -> F.Column:
             & (F.col(x) - F.col(xpos) >= need) & (F.col(y) - F.col(ypos) >= need))
 
 
-def posting_lists(sets: DataFrame) -> DataFrame:
-    """Postings of lists with two entries or more:
-    ``(token, grp, n, pos, lead, lead_n, lead_pos, parts)``."""
+def posting_lists(sets: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
+    """Postings of lists with two groups or more (several tasks may send the
+    same group):
+    ``(token, grp, n, pos, lead, lead_n, lead_pos, parts, entries)``.
+
+    A posting stays only where its position lets it link with the smallest
+    set of its list."""
     postings = (sets.where("prefix is not null")
                 .select("grp", "n", F.posexplode(F.arrays_zip("prefix", "part")).alias("pos", "e"))
                 .select(F.col("e.prefix").alias("token"), F.col("e.part").alias("part"), "grp", "n", "pos"))
     ranked = Window.partitionBy("token", "part").orderBy("pos", "grp")
+    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (postings
             .withColumns({"lead": F.first("grp").over(ranked), "lead_n": F.first("n").over(ranked),
-                          "lead_pos": F.first("pos").over(ranked), "at": F.row_number().over(ranked),
-                          "after": F.lead("grp").over(ranked)})
+                          "lead_pos": F.first("pos").over(ranked), "low": F.min("grp").over(whole),
+                          "high": F.max("grp").over(whole), "entries": F.count("*").over(whole),
+                          "least": F.min("n").over(whole)})
             .withColumn("parts", F.expr("part % 65536"))
-            .where("at > 1 or after is not null or parts > 1")
-            .drop("at", "after", "part"))
+            .withColumn("least", F.when(F.col("parts") == 1, F.col("least")).otherwise(0))
+            .where("low <> high or parts > 1")
+            .withColumn("least", F.greatest("least", F.ceil(F.expr(f"{percent}D * n / 100") - F.lit(1e-6))))
+            .where(F.col("n") - F.col("pos") >= _needed("n", "least", percent))
+            .drop("low", "high", "part", "least"))
 
 
 def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -203,8 +212,11 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(build, "sig binary, size int, shingles array<long>")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of set digests whose sets link."""
+def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of set digests whose whole sets link."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    wanted = materialize(nodes.join(ends, "sig", "left_semi").select("doc"), "jaccard-wanted")
+    sets = materialize(_whole_sets(docs, wanted, k), "jaccard-whole")
     left = sets.select(F.col("sig").alias("a"), F.col("size").alias("a_size"), F.col("shingles").alias("a_set"))
     right = sets.select(F.col("sig").alias("b"), F.col("size").alias("b_size"), F.col("shingles").alias("b_set"))
     return (pairs.join(right, "b").join(left, "a")
@@ -217,16 +229,15 @@ def _cross_pairs(lists: DataFrame, nodes: DataFrame, components: DataFrame, done
                  percent: int) -> DataFrame:
     """Pairs of sets that meet in a list, may link, lie in different
     components and were not verified before."""
-    members = (lists.select("token", "grp", "n", "pos").distinct()
-               .join(nodes.select("grp", "sig"), "grp")
+    # A list of two groups is settled by its one pair, unless a group holds
+    # several sets; other lists are settled where all sets are in one component.
+    several = materialize(nodes.groupBy("grp").count().where("count > 1").select("grp"), "jaccard-several")
+    with_several = materialize(lists.join(bounded(several), "grp", "left_semi").select("token").distinct(), "jaccard-tokens")
+    rest = lists.where("entries <= 2 and parts = 1").join(bounded(with_several), "token", "left_semi")
+    open_lists = lists.where("entries > 2 or parts > 1").unionByName(rest).select("token", "grp", "n", "pos").distinct()
+    members = (open_lists.join(nodes.select("grp", "sig"), "grp")
                .join(components.select(F.col("node").alias("sig"), "component"), "sig", "left")
                .withColumn("component", F.coalesce("component", "sig")))
-    # A posting stays only where its position lets it link with the smallest
-    # set of its list, and a list only where components differ.
-    least = members.groupBy("token").agg(F.min("n").alias("low"))
-    members = (members.join(least, "token")
-               .withColumn("low", F.greatest("low", F.ceil(F.expr(f"{percent}D * n / 100") - F.lit(1e-6))))
-               .where(F.col("n") - F.col("pos") >= _needed("n", "low", percent)).drop("low"))
     members = materialize(members, "jaccard-members")
     mixed = (members.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
              .where("x <> y").select("token"))
@@ -257,7 +268,7 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = materialize(document_sets(docs, shingle_counts(docs, k), k, percent), "jaccard-sets")
     nodes = materialize(sets.where("n > 0").groupBy("grp", "sig").agg(F.min("doc_id").alias("doc")), "jaccard-nodes")
-    lists = materialize(posting_lists(sets), "jaccard-lists")
+    lists = materialize(posting_lists(sets, percent), "jaccard-lists")
 
     first = nodes.groupBy("grp").agg(F.min("sig").alias("head"), F.max("sig").alias("tail"))
     star = _star_pairs(lists, percent)
@@ -268,13 +279,9 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS,
               .select(F.col("head").alias("a"), F.col("sig").alias("b")))
     pairs = materialize(pairs.union(inside), "jaccard-star")
 
-    meeting = lists.select("grp").union(first.where("head <> tail").select("grp")).distinct()
-    wanted = materialize(nodes.join(meeting, "grp", "left_semi").select("doc"), "jaccard-wanted")
-    whole = materialize(_whole_sets(docs, wanted, k), "jaccard-whole")
-
-    links = materialize(_verify(pairs, whole, percent), "jaccard-links")
+    links = materialize(_verify(docs, nodes, pairs, k, percent), "jaccard-links")
     cross = materialize(_cross_pairs(lists, nodes, connected_components(links), pairs, percent), "jaccard-cross")
-    links = links.union(_verify(cross, whole, percent))
+    links = links.union(_verify(docs, nodes, cross, k, percent))
     components = connected_components(links)
 
     linked = components.join(nodes.select(F.col("sig").alias("node"), "doc"), "node")
