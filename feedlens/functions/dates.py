@@ -12,6 +12,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Date, or date and time of day with optional seconds, fraction and offset.  Spark
+# alone would also read a bare time as today, a year, or a zone name.
+ISO_SHAPE = (r"^\s*\d{4}-\d{2}-\d{2}"
+             r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?\s*$")
+
+
 def parse_date(c) -> Column:
     """ISO-8601 string -> UTC wall-clock TIMESTAMP_NTZ; empty or bad -> NULL.
 
@@ -21,7 +27,8 @@ def parse_date(c) -> Column:
     cast to UTC wall-clock time without a zone (the session clock is UTC,
     see ``feedlens.session.ensure_utc``).
     """
-    return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
+    c = _col(c)
+    return F.when(c.rlike(ISO_SHAPE), F.try_to_timestamp(c)).cast("timestamp_ntz")
 
 
 def iso_string(c) -> Column:

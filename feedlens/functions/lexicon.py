@@ -75,12 +75,6 @@ def lexicon_frame(spark: SparkSession, lexicon: dict, key: str = "theme_id") ->
     return spark.createDataFrame(lexicon_rows(lexicon), schema)
 
 
-def theme_frame(spark: SparkSession, names: dict = THEME_NAMES) -> DataFrame:
-    """The theme dimension ``theme_id, name, description``."""
-    rows = [(k, v[0], v[1]) for k, v in sorted(names.items())]
-    return spark.createDataFrame(rows, "theme_id string, name string, description string")
-
-
 def term_count(tok: Column, terms) -> Column:
     """Number of distinct ``terms`` present in a distinct-token array."""
     return F.size(F.array_intersect(tok, F.array(*[F.lit(t) for t in sorted(set(terms))])))
@@ -88,7 +82,7 @@ def term_count(tok: Column, terms) -> Column:
 
 def _check_inline(lexicon: dict) -> None:
     if sum(len(v) for v in lexicon.values()) > INLINE_TERM_LIMIT:
-        raise ValueError("lexicon too large for the inline form; use the join form")
+        raise ValueError("lexicon too large for the inline form; use themes.assign_themes_by_join")
 
 
 def pick_best(tok: Column, lexicon: dict, fallback: str | None) -> Column:
@@ -120,8 +114,3 @@ def best_match(text: Column, lexicon: dict, fallback: str | None) -> Column:
 
 def best_key(text: Column, lexicon: dict, fallback: str | None) -> Column:
     return best_match(text, lexicon, fallback)["key"]
-
-
-def best_score(text: Column, lexicon: dict) -> Column:
-    """The matched-term count of the winning key (0 when nothing matches)."""
-    return best_match(text, lexicon, None)["score"]

@@ -1,5 +1,5 @@
 """Ingestion operators: window, date rejects, source precedence, union,
-feed take-while, newest-N, top-up resampling and per-source counts."""
+feed take-while, newest-N, resampling and per-source counts."""
 
 from __future__ import annotations
 
@@ -7,12 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.dates import parse_date, window_start
+from feedlens.session import checkpoint_root
 
-# --- fixed values: the stores' fetch limits, the top-up target, the window ---
+# --- fixed values: the window ---
 DEFAULT_WEEKS = 7
-PLAYSTORE_CAP = 600
-FEED_MAX_PAGES = 10
-TOPUP_TARGET = 550
 # --- end of fixed values ---
 # Source priority of the consolidated list: play store, app store, social.
 PRIORITY = {"playstore": 1, "appstore": 2}
@@ -52,6 +50,19 @@ def source_precedence(primary: DataFrame, fallback: DataFrame,
     return fallback.join(F.broadcast(present), on="source", how="left_anti")
 
 
+def consolidate(tagged: DataFrame, store_sources=("playstore", "appstore")) -> DataFrame:
+    """U1 and F3 in one pass: ``tagged`` holds crawl and dump rows with a
+    boolean ``crawled``.  Dump rows of a store that was crawled go; the rest
+    gets ``priority`` (1 play store, 2 app store, 3 the others, and all dump
+    rows).  Which stores were crawled is one row of at most two names."""
+    present = (tagged.where("crawled").where(F.col("source").isin(*store_sources))
+               .agg(F.collect_set("source").alias("present")).scalar())
+    priority = F.when(F.col("crawled") & (F.col("source") == "playstore"), 1).when(
+        F.col("crawled") & (F.col("source") == "appstore"), 2).otherwise(SOCIAL_PRIORITY)
+    return (tagged.where(F.col("crawled") | ~F.coalesce(F.array_contains(present, F.col("source")), F.lit(False)))
+            .withColumn("priority", priority))
+
+
 def union_sources(play: DataFrame, app: DataFrame, social: DataFrame) -> DataFrame:
     """Bag union of the three inputs with a ``priority`` column
     (1 play store, 2 app store, 3 the rest)."""
@@ -61,37 +72,31 @@ def union_sources(play: DataFrame, app: DataFrame, social: DataFrame) -> DataFra
             .unionByName(social.select(*cols).withColumn("priority", F.lit(SOCIAL_PRIORITY))))
 
 
-def feed_take_while(feed: DataFrame, as_of, weeks: int = DEFAULT_WEEKS,
-                    by: tuple = (), max_pages: int | None = FEED_MAX_PAGES) -> DataFrame:
+def feed_take_while(feed: DataFrame, as_of, weeks: int = DEFAULT_WEEKS, by: tuple = ()) -> DataFrame:
     """Pages are read in order and reading stops at the first page that
-    contributes no in-window row (an empty or missing page stops it too),
-    or after ``max_pages`` pages (the store feed serves 10; None reads on).
-    A row survives when it is in the window, its page is within the page
-    limit, and every earlier page contributed at least one row.
-
-    The stop page is the smallest positive page number that is not a
-    "good" page (a page with an in-window row).  It is found without a sort:
-    the candidates are page 1 and every good page + 1; the first candidate
-    that is not itself good is the stop.  Every step is a hash aggregate or
-    a hash join on (group, page), so a feed of any length spreads over all
-    tasks.
+    contributes no in-window row (an empty or missing page stops it too).
+    A row survives when it is in the window and every page up to its own
+    contributed at least one row.
+
+    The stop page follows the first good page whose successor is not good,
+    if page 1 is good.  The good pages are one row per page, written once;
+    what follows are hash joins and aggregates on (group, page), so a feed of
+    any length spreads over all tasks.
     """
     by = list(by)
-    start = window_start(as_of, weeks)
-    in_win = feed.where(F.col("date") >= start)
-    good = in_win.select(*by, "page").distinct()
+    checkpoint_root(feed.sparkSession)
+    in_win = feed.where(F.col("date") >= window_start(as_of, weeks))
+    good = in_win.select(*by, "page").distinct().checkpoint()
+    before = good.select(*by, (F.col("page") - 1).alias("page"))
+    ends = good.join(before, on=[*by, "page"], how="left_anti")
+    stop = (ends.groupBy(*by).agg((F.min("page") + 1).alias("stop_page"))
+            if by else ends.agg((F.min("page") + 1).alias("stop_page")))
     if by:
-        firsts = feed.select(*by).distinct().withColumn("page", F.lit(1).cast("bigint"))
-    else:
-        firsts = feed.sparkSession.range(1).select(F.lit(1).cast("bigint").alias("page"))
-    cands = good.select(*by, (F.col("page") + 1).alias("page")).unionByName(firsts)
-    stop = (cands.join(good, on=[*by, "page"], how="left_anti")
-            .groupBy(*by).agg(F.min("page").alias("stop_page")))
+        stop = stop.join(good.where("page = 1").select(*by), on=by, how="left_semi")
+    elif good.where("page = 1").isEmpty():
+        return in_win.where(F.lit(False))
     kept = _join_single(in_win, stop, by)
-    kept = kept.where(F.col("page") < F.col("stop_page")).drop("stop_page")
-    if max_pages is not None:
-        kept = kept.where(F.col("page") <= F.lit(int(max_pages)))
-    return kept
+    return kept.where(F.col("page") < F.col("stop_page")).drop("stop_page")
 
 
 def _join_single(rows: DataFrame, stop: DataFrame, by: list) -> DataFrame:
@@ -102,36 +107,23 @@ def _join_single(rows: DataFrame, stop: DataFrame, by: list) -> DataFrame:
     return rows.withColumn("stop_page", stop.select("stop_page").scalar())
 
 
-def newest_n(df: DataFrame, n: int = PLAYSTORE_CAP) -> DataFrame:
-    """L1: newest first, cap ``n`` (the store's fetch size).
+def newest_n(df: DataFrame, n: int) -> DataFrame:
+    """L1: the ``n`` newest rows.
 
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: every task
     keeps its own top n and only those reach the final merge."""
     return df.orderBy(F.col("date").desc(), F.col("review_id")).limit(n)
 
 
-def topup_resample(df: DataFrame, target: int = TOPUP_TARGET, seed: int = 42,
-                   order_col: str = "review_id") -> DataFrame:
-    """Fewer than ``target`` rows -> keep all rows and add draws with
-    replacement up to ``target``; otherwise unchanged; empty -> empty.
+def resample(df: DataFrame, rate: float, seed: int, id_col: str = "review_id") -> DataFrame:
+    """Every row once (``draw`` 0) and a further copy (``draw`` 1) of the
+    rows whose draw, a hash of seed and id, falls below ``rate``.
 
-    The only driver action is one count.  Below the target the base has
-    fewer than ``target`` rows by definition, so numbering it and
-    broadcasting it are bounded by ``target``.  Draw i picks base row
-    ``xxhash64(seed, i) mod n``: deterministic and repeatable.
-    """
-    n = df.count()
-    if n == 0 or n >= target:
-        return df.withColumn("draw", F.lit(None).cast("bigint"))
-    spark = df.sparkSession
-    from pyspark.sql import Window
-    # Fewer than ``target`` rows: a single ordered window is bounded.
-    base = df.withColumn("_slot", F.row_number().over(Window.orderBy(order_col)) - 1)
-    draws = (spark.range(target - n).withColumnRenamed("id", "draw")
-             .withColumn("_slot", F.pmod(F.xxhash64(F.lit(seed), F.col("draw")), F.lit(n))))
-    extra = draws.join(F.broadcast(base), on="_slot").drop("_slot")
-    return (base.drop("_slot").withColumn("draw", F.lit(None).cast("bigint"))
-            .unionByName(extra.select(*df.columns, "draw")))
+    Values are not altered.  The same rule holds at every size; it is a
+    projection without a count or a shuffle."""
+    limit = format(int(rate * 16 ** 8), "08x")
+    drawn = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string"))), 1, 8) < F.lit(limit)
+    return df.withColumn("draw", F.explode(F.when(drawn, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
 
 
 def source_window_counts(df: DataFrame, as_of, weeks: int = DEFAULT_WEEKS,

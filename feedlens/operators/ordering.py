@@ -22,19 +22,13 @@ def _cols(cols) -> list[Column]:
 
 
 def number_within(df: DataFrame, by: list[str], order: list, name: str = "rn",
-                  partitions: int | None = None, id_col: str | None = None,
-                  key_cols: list[str] | None = None) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its ``by`` group
-    in ``order`` (which must be a total order, e.g. end with a unique id).
+    in ``order``.
 
-    With ``id_col`` (a unique key) and ``key_cols`` (the columns ``by`` and
-    ``order`` read), only those narrow columns are sorted and checkpointed;
-    the numbers are joined back to the wide rows on the id.
+    Every input row gets one number: rows with a NULL id, equal ids or equal
+    values are numbered next to each other, none is lost or repeated.
     """
-    if id_col is not None and key_cols is not None:
-        narrow = df.select(id_col, *[c for c in key_cols if c != id_col])
-        numbers = number_within(narrow, by, order, name, partitions).select(id_col, name)
-        return df.join(numbers, on=id_col)
     spark = df.sparkSession
     checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -44,8 +44,7 @@ def number_reviews(df: DataFrame, by=("source",), name: str = "rn") -> DataFrame
 
     Uses the range-partitioned numbering of ``ordering.number_within``:
     a channel holding a third of the rows is spread over all tasks."""
-    return number_within(df, list(by), newest_first(), name=name, id_col="review_id",
-                         key_cols=[*by, "date"])
+    return number_within(df, list(by), newest_first(), name=name)
 
 
 def prompt_line(index: Column) -> Column:
@@ -102,6 +101,22 @@ def subsample_fair(union: DataFrame, k: int = 7) -> DataFrame:
     return top_k_within(union, ["source"], newest_first(), k, name="rank")
 
 
+def subsample(union: DataFrame, n: int, k: int) -> DataFrame:
+    """L2, both variants from one read of the union: ``variant`` 'head' with
+    the first ``n`` rows in list order, 'fair' with the newest ``k`` of every
+    source.  Either is among the newest ``max(n, k)`` of a (priority, source),
+    so only that many rows of each reach the two final ranks."""
+    near = top_k_within(union, ["priority", "source"], newest_first(), max(n, k), name="near")
+    order = [F.col("priority"), *newest_first()]
+    ranked = near.withColumns({
+        "head": F.row_number().over(Window.orderBy(*order)),
+        "fair": F.row_number().over(Window.partitionBy("source").orderBy(*newest_first()))})
+    picks = F.array(F.struct(F.lit("head").alias("variant"), F.col("head").alias("rank"), (F.col("head") <= n).alias("in")),
+                    F.struct(F.lit("fair").alias("variant"), F.col("fair").alias("rank"), (F.col("fair") <= k).alias("in")))
+    return (ranked.withColumn("pick", F.explode(picks)).where("pick.in")
+            .select(*union.columns, "pick.variant", "pick.rank"))
+
+
 def preview_head(df: DataFrame, k: int = PREVIEW_ROWS) -> DataFrame:
     """L4: the first k reviews (by id), masked."""
     return clean_reviews(df.orderBy("review_id").limit(k))

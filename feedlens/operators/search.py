@@ -37,7 +37,7 @@ def facet_filter(df: DataFrame, source: str = ALL, rating=ALL, theme: str = ALL)
 def search_reviews(df: DataFrame, pattern: str, literal: bool = False) -> DataFrame:
     """case-insensitive regex match on text OR title; NULL never matches.
 
-    The pattern is compiled on the driver first, so a bad pattern fails
+    The pattern is compiled once first, so a bad pattern fails
     before a job starts.  ``literal=True`` searches for the plain string.
     """
     if not pattern:
@@ -45,7 +45,7 @@ def search_reviews(df: DataFrame, pattern: str, literal: bool = False) -> DataFr
     if literal:
         import re
         pattern = re.escape(pattern)
-    check_regex(pattern)
+    check_regex(df.sparkSession, pattern)
     rx = "(?iu)" + pattern
     hit = (F.coalesce(F.col("text").rlike(rx), F.lit(False))
            | F.coalesce(F.col("title").rlike(rx), F.lit(False)))

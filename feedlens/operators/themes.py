@@ -16,6 +16,7 @@ from feedlens.functions.lexicon import (BROADCAST_TERM_LIMIT, FALLBACK_THEME, FA
                                         lexicon_frame, pick_best)
 from feedlens.functions.text import let, tokens
 from feedlens.operators.ordering import top_k_within
+from feedlens.session import checkpoint_root
 
 
 def _term_join(df: DataFrame, lexicon: dict, key: str, text_col: str, id_col: str,
@@ -80,6 +81,30 @@ def assign_themes(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEM
             .drop("_best"))
 
 
+def assign_themes_by_join(df: DataFrame, lexicon: DataFrame, names: DataFrame | None = None,
+                          text_col: str = "text") -> DataFrame:
+    """T2 with the lexicon as a table ``theme_id, term`` of any size: the same
+    result as ``assign_themes``, by a token join.
+
+    Rows get a number of their own (written with them once), so NULL or
+    repeated review ids neither lose nor multiply rows.  ``names`` is an
+    optional table ``theme_id, name``.  Spark picks the join strategies.
+    """
+    checkpoint_root(df.sparkSession)
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    found = (rows.select("_row", F.explode_outer(tokens(text_col)).alias("term")).where(F.col("term").isNotNull())
+             .join(lexicon.select("theme_id", "term").distinct(), on="term"))
+    best = (found.groupBy("_row", "theme_id").agg(F.count("*").alias("n"))
+            .groupBy("_row").agg(F.min(F.struct((-F.col("n")).alias("neg"), "theme_id")).alias("b")))
+    out = (rows.join(best, on="_row", how="left")
+           .withColumn("theme_id", F.coalesce("b.theme_id", F.lit(FALLBACK_THEME_ID)))
+           .withColumn("theme_score", F.coalesce(-F.col("b.neg"), F.lit(0)).cast("bigint")).drop("_row", "b"))
+    if names is None:
+        return out
+    return out.join(names.select("theme_id", F.col("name").alias("theme")), on="theme_id", how="left").withColumn(
+        "theme", F.coalesce("theme", F.lit(FALLBACK_THEME)))
+
+
 def theme_names_or_null(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEME_NAMES,
                         text_col: str = "text") -> DataFrame:
     """Adds ``theme`` = the name of the best-matching theme, NULL when no
@@ -128,11 +153,6 @@ def representative_quotes(themed: DataFrame, by: tuple = ("source",),
                     F.col("_b.quote").alias("quote")))
 
 
-def questions_frame(spark) -> DataFrame:
-    return spark.createDataFrame([(i + 1, k, label) for i, (k, label) in enumerate(QUESTIONS)],
-                                 "q_order int, question_key string, question string")
-
-
 def question_scores(df: DataFrame, by: list, lexicon: dict = QUESTION_TERMS,
                     text_col: str = "text") -> DataFrame:
     """(group, question, review, score) with score = distinct matched terms.

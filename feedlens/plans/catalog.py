@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.dates import iso_string
 from feedlens.operators import ingest, metrics, privacy, prompts, reports, search, themes
-from feedlens.plans.params import (FAIR_K, HEAD_SIZE, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
-                                   SEARCH_PATTERN, TOP_K, WEEKS)
+from feedlens.plans.params import (FAIR_K, FEED_PAGE_SIZE, HEAD_SIZE, NEWEST_N, PACK_SIZE, QUOTE_K, RESAMPLE_RATE,
+                                   RESAMPLE_SEED, SEARCH_PATTERN, STRAY_EVERY, TOP_K, WEEKS)
 from feedlens.operators.ordering import number_within
 from feedlens.session import ensure_utc, scratch_path
 from feedlens.sources import readers, sinks, tables
@@ -113,55 +113,47 @@ def q_source_window_counts(spark, sf):
     return ingest.source_window_counts(parsed, as_of, WEEKS)
 
 
-def _feed_kept(r: DataFrame, as_of) -> DataFrame:
-    return ingest.feed_take_while(tables.appstore_feed(r, as_of), as_of, WEEKS)
-
-
-def _play(r: DataFrame, as_of) -> DataFrame:
-    newest = ingest.newest_n(r.where(F.col("source") == "playstore"), PLAYSTORE_CAP)
-    return ingest.rolling_window(newest, as_of, WEEKS)
-
-
 @register("feed_take_while")
 def q_feed_take_while(spark, sf):
     r = _reviews(spark, sf)
-    return _feed_kept(r, _asof(r))
+    return ingest.feed_take_while(tables.appstore_feed(r, FEED_PAGE_SIZE, STRAY_EVERY), _asof(r), WEEKS)
 
 
 @register("newest_n")
 def q_newest_n(spark, sf):
     r = _reviews(spark, sf)
-    return _play(r, _asof(r))
+    newest = ingest.newest_n(r.where(F.col("source") == "playstore"), NEWEST_N)
+    return ingest.rolling_window(newest, _asof(r), WEEKS)
 
 
-def _crawl_and_dump(spark, sf):
+def _tagged(spark, sf):
+    """Crawl and dump rows in the window, from one read of the view: the two
+    stores are crawled whole, and the dump holds every channel."""
     r = _reviews(spark, sf)
-    as_of = _asof(r)
-    play = _play(r, as_of)
-    app = _feed_kept(r, as_of).withColumn("source", F.lit("appstore"))
-    dump = ingest.rolling_window(r, as_of, WEEKS)
-    return play, app, dump
+    rows = ingest.rolling_window(r, _asof(r), WEEKS)
+    both = F.when(F.col("source").isin("playstore", "appstore"), F.array(F.lit(True), F.lit(False)))
+    return rows.withColumn("crawled", F.explode(F.coalesce(both, F.array(F.lit(False)))))
 
 
 @register("source_precedence")
 def q_source_precedence(spark, sf):
-    play, app, dump = _crawl_and_dump(spark, sf)
-    primary = play.select("source").unionByName(app.select("source"))
-    return ingest.source_precedence(primary, dump)
+    tagged = _tagged(spark, sf)
+    return ingest.source_precedence(tagged.where("crawled"), tagged.where("not crawled")).drop("crawled")
+
+
+def _union(spark, sf):
+    return ingest.consolidate(_tagged(spark, sf)).drop("crawled")
 
 
 @register("union_sources")
 def q_union_sources(spark, sf):
-    play, app, dump = _crawl_and_dump(spark, sf)
-    primary = play.select("source").unionByName(app.select("source"))
-    social = ingest.source_precedence(primary, dump)
-    return ingest.union_sources(play, app, social)
+    return _union(spark, sf)
 
 
 @register("topup_resample")
 def q_topup_resample(spark, sf):
     r = _reviews(spark, sf)
-    return ingest.topup_resample(ingest.rolling_window(r, _asof(r), WEEKS))
+    return ingest.resample(ingest.rolling_window(r, _asof(r), WEEKS), RESAMPLE_RATE, RESAMPLE_SEED)
 
 
 # ---------------------------------------------------------------- metrics
@@ -310,13 +302,8 @@ def q_pack_prompts(spark, sf):
 
 @register("subsample_head")
 def q_subsample_head(spark, sf):
-    play, app, dump = _crawl_and_dump(spark, sf)
-    primary = play.select("source").unionByName(app.select("source"))
-    union = ingest.union_sources(play, app, ingest.source_precedence(primary, dump))
-    cols = ["review_id", "source", "priority", "rank"]
-    head = prompts.subsample_head(union, HEAD_SIZE).select(F.lit("head").alias("variant"), *cols)
-    fair = prompts.subsample_fair(union, FAIR_K).select(F.lit("fair").alias("variant"), *cols)
-    return head.unionByName(fair)
+    return prompts.subsample(_union(spark, sf), HEAD_SIZE, FAIR_K).select(
+        "variant", "review_id", "source", "priority", "rank")
 
 
 @register("preview_head")
@@ -324,11 +311,6 @@ def q_preview_head(spark, sf):
     return prompts.preview_head(_reviews(spark, sf))
 
 
-@register("annotate_batches")
-def q_annotate_batches(spark, sf):
-    return prompts.annotate_batches(_batches(spark, sf)[1])
-
-
 @register("parse_responses")
 def q_parse_responses(spark, sf):
     parsed = _parsed(spark, sf)[1]
@@ -376,8 +358,6 @@ def q_first_wins_dedupe(spark, sf):
 
 # ---------------------------------------------------------------- sources and sinks
 
-FEED_PAGE_SIZE = 50
-
 
 @register("scan_reviews_json")
 def q_scan_reviews_json(spark, sf):
@@ -385,15 +365,14 @@ def q_scan_reviews_json(spark, sf):
     dump = _dump(spark, sf).select("review_id", "source", F.col("rating").cast("string").alias("rating"),
                                    "title", "text", F.col("date_raw").alias("date"))
     dump.write.mode("overwrite").json(path)
-    return readers.scan_reviews_json(spark, path)
+    return readers.scan_reviews_json(spark, path, multi_line=False)
 
 
 def _feed_pages(spark, sf) -> DataFrame:
     """App-store rows as the feed serves them: pages of 50 entries, newest
     first, each page one JSON body."""
     app = _reviews(spark, sf).where(F.col("source") == "appstore")
-    numbered = number_within(app, [], [F.col("date").desc(), F.col("review_id")], name="rn",
-                             id_col="review_id", key_cols=["date"])
+    numbered = number_within(app, [], [F.col("date").desc(), F.col("review_id")], name="rn")
     entry = F.struct(
         F.struct(F.col("review_id").cast("string").alias("label")).alias("id"),
         F.struct(iso_string("date").alias("label")).alias("updated"),
@@ -540,7 +519,6 @@ def q_coerce_rating(spark, sf):
 def _raw_dates(spark, sf) -> DataFrame:
     """Dates as the channels export them: UTC with 'Z', local time with an
     offset, naive, date only, and a human-readable form."""
-    from feedlens.functions.dates import parse_date  # noqa: F401
     r = _reviews(spark, sf)
     d = F.col("date")
     raw = (F.when(F.col("source") == "playstore", F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))

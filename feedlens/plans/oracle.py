@@ -11,8 +11,8 @@ from feedlens.functions.lexicon import (FALLBACK_THEME, FALLBACK_THEME_ID, NO_AN
                                         QUESTION_TERMS, QUESTIONS, THEME_NAMES, THEME_TERMS)
 from feedlens.functions.text import EMAIL_PATTERN, PHONE_PATTERN
 from feedlens.operators.reports import FALLBACK_ACTIONS
-from feedlens.plans.params import (FEED_MAX_PAGES, FEED_PAGE_HOURS, PACK_SIZE, PLAYSTORE_CAP, QUOTE_K,
-                                   SEARCH_PATTERN, TOP_K, WEEKS)
+from feedlens.plans.params import (FEED_PAGE_SIZE, NEWEST_N, PACK_SIZE, QUOTE_K, RESAMPLE_RATE, RESAMPLE_SEED,
+                                   SEARCH_PATTERN, STRAY_EVERY, TOP_K, WEEKS)
 
 
 def q(s: str) -> str:
@@ -141,39 +141,43 @@ SELECT source, count(*) AS seen, count(*) FILTER (WHERE date >= {START}) AS kept
        count(*) FILTER (WHERE date IS NULL) AS rejected
 FROM dump GROUP BY source"""
 
-_US_PER_PAGE = FEED_PAGE_HOURS * 3600 * 1_000_000
-FEED = f"""feed AS (
-  SELECT review_id, 1 + CAST(floor(date_diff('microsecond', date, {ASOF}) / {_US_PER_PAGE}) AS BIGINT) AS page,
-         rating, title, text, date
+FEED = f"""feed0 AS (
+  SELECT *, review_id % {STRAY_EVERY} = 0 AS stray, row_number() OVER (
+    PARTITION BY review_id % {STRAY_EVERY} = 0 ORDER BY date DESC, review_id) AS rn
   FROM reviews WHERE source = 'appstore'),
+feed1 AS (SELECT *, CAST(floor((rn - 1) / {FEED_PAGE_SIZE}) AS BIGINT) + 1 AS p FROM feed0),
+feed AS (
+  SELECT review_id, CASE WHEN stray THEN (SELECT coalesce(max(p), 0) + 1 FROM feed1 WHERE NOT stray) ELSE p END AS page,
+         rating, title, text, date
+  FROM feed1),
 feed_good AS (SELECT DISTINCT page FROM feed WHERE date >= {START}),
 feed_stop AS (
   SELECT min(page) AS stop_page FROM (
     SELECT page + 1 AS page FROM feed_good UNION ALL SELECT 1) c
   WHERE page NOT IN (SELECT page FROM feed_good)),
-feed_kept AS (
-  SELECT * FROM feed WHERE date >= {START} AND page < (SELECT stop_page FROM feed_stop)
-    AND page <= {FEED_MAX_PAGES})"""
+feed_kept AS (SELECT * FROM feed WHERE date >= {START} AND page < (SELECT stop_page FROM feed_stop))"""
 
 SQL["feed_take_while"] = with_(REVIEWS, FEED) + "SELECT * FROM feed_kept"
 
-PLAY = f"""play AS (
-  SELECT * FROM (SELECT * FROM reviews WHERE source = 'playstore'
-                 ORDER BY date DESC, review_id LIMIT {PLAYSTORE_CAP})
-  WHERE date >= {START})"""
+SQL["newest_n"] = BASE + f"""
+SELECT * FROM (SELECT * FROM reviews WHERE source = 'playstore' ORDER BY date DESC, review_id LIMIT {NEWEST_N})
+WHERE date >= {START}"""
 
-SQL["newest_n"] = with_(REVIEWS, PLAY) + "SELECT * FROM play"
+# Both stores are crawled whole; the dump holds every channel.
+CRAWL = f"""win AS (SELECT * FROM reviews WHERE date >= {START}),
+crawl AS (SELECT *, CASE source WHEN 'playstore' THEN 1 ELSE 2 END AS priority FROM win
+          WHERE source IN ('playstore', 'appstore')),
+social AS (SELECT * FROM win WHERE source NOT IN (SELECT source FROM crawl)),
+u AS (SELECT * FROM crawl UNION ALL SELECT *, 3 FROM social)"""
 
-SURVIVORS = f"""social AS (
-  SELECT * FROM reviews WHERE date >= {START}
-    AND source NOT IN (SELECT source FROM play UNION SELECT 'appstore' FROM feed_kept))"""
+SQL["source_precedence"] = with_(REVIEWS, CRAWL) + "SELECT * FROM social"
 
-SQL["source_precedence"] = with_(REVIEWS, FEED, PLAY, SURVIVORS) + "SELECT * FROM social"
+SQL["union_sources"] = with_(REVIEWS, CRAWL) + "SELECT * FROM u"
 
-SQL["union_sources"] = with_(REVIEWS, FEED, PLAY, SURVIVORS) + """
-SELECT review_id, source, rating, title, text, date, 1 AS priority FROM play
-UNION ALL SELECT review_id, 'appstore', rating, title, text, date, 2 FROM feed_kept
-UNION ALL SELECT review_id, source, rating, title, text, date, 3 FROM social"""
+SQL["topup_resample"] = BASE + f"""
+SELECT r.*, CAST(d.draw AS INT) AS draw FROM reviews r JOIN (VALUES (0), (1)) d(draw)
+  ON d.draw = 0 OR substr(md5('{RESAMPLE_SEED}|' || r.review_id), 1, 8) < '{format(int(RESAMPLE_RATE * 16 ** 8), "08x")}'
+WHERE r.date >= {START}"""
 
 SQL["dashboard_kpis"] = BASE_CLEAN + """
 SELECT count(*) AS total_reviews, round(avg(rating), 2) AS avg_rating,
@@ -307,11 +311,7 @@ SELECT source, batch, count(*) AS n_reviews,
        string_agg({line_sql('review_index')}, '' ORDER BY review_index) AS body
 FROM batched GROUP BY source, batch"""
 
-SQL["subsample_head"] = with_(REVIEWS, FEED, PLAY, SURVIVORS) + f"""
-, u AS (
-  SELECT review_id, source, date, 1 AS priority FROM play
-  UNION ALL SELECT review_id, 'appstore', date, 2 FROM feed_kept
-  UNION ALL SELECT review_id, source, date, 3 FROM social)
+SQL["subsample_head"] = with_(REVIEWS, CRAWL) + """
 SELECT 'head' AS variant, review_id, source, priority, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (ORDER BY priority, date DESC, review_id) AS rank FROM u)
 WHERE rank <= 35

@@ -1,12 +1,16 @@
 """Parameters of the registered queries (shared by Spark plans and oracle)."""
 
-from feedlens.operators.ingest import FEED_MAX_PAGES, PLAYSTORE_CAP, TOPUP_TARGET  # noqa: F401
-from feedlens.sources.tables import FEED_PAGE_HOURS  # noqa: F401
-
 # The bundled events span 15-30 days, so window tests use one week back
 # from the newest review.
 WEEKS = 1
 TOP_K = 3
+# The newest rows that the top-n query reports.
+NEWEST_N = 600
+# Entries of a feed page; reviews with an id divisible by STRAY_EVERY come on a
+# page behind all others.
+FEED_PAGE_SIZE = 50
+STRAY_EVERY = 10
+RESAMPLE_RATE, RESAMPLE_SEED = 0.25, 42
 QUOTE_K = 3
 PACK_SIZE = 35
 HEAD_SIZE = 35

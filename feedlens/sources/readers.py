@@ -29,12 +29,13 @@ RATING_MIN, RATING_MAX = 1, 5
 
 
 def coerce_rating(c) -> "F.Column":
-    """Numeric coercion: a value that is not an integer, or lies outside
-    1..5, becomes NULL (``try_cast``: a plain cast fails the task under ANSI
-    mode)."""
+    """Numeric coercion.  Decimal text counts as its number (``4.0`` is
+    4), a part of a star goes to the nearer whole one (halves up); what is not
+    a number, or lies outside 1..5, becomes NULL (``try_cast``: a plain cast
+    fails the task under ANSI mode)."""
     c = F.col(c) if isinstance(c, str) else c
-    v = c.try_cast("int")
-    return F.when(v.between(RATING_MIN, RATING_MAX), v)
+    v = c.try_cast("double")
+    return F.when(v.between(RATING_MIN, RATING_MAX), F.floor(v + F.lit(0.5)).cast("int"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -47,25 +48,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+CORRUPT = "_corrupt"
+
+
 def _raw_reviews(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    """The dump as string-typed rows; a missing dump reads as no rows and a
-    malformed record as a row of NULLs (PERMISSIVE), which the date check
-    then drops."""
+    """The dump as string-typed rows and, for a record that is not JSON, its
+    text in ``_corrupt``; a missing dump reads as no rows."""
+    schema = T.StructType([*REVIEW_RAW.fields, T.StructField(CORRUPT, T.StringType())])
     if not path_exists(spark, path):
-        return spark.createDataFrame([], REVIEW_RAW)
-    return spark.read.schema(REVIEW_RAW).option("multiLine", str(multi_line).lower()).json(path)
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("multiLine", str(multi_line).lower())
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
-def scan_reviews_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Reviews from a JSON dump.  Ratings are coerced, dates parsed; a
-    row whose date does not parse is dropped (see ``scan_reviews_json_rejects``).
-    A missing dump gives no rows.
+def scan_reviews_json(spark: SparkSession, path: str, *, multi_line: bool) -> DataFrame:
+    """Reviews from a JSON dump: JSON lines, or with ``multi_line`` files
+    that hold one array.  Ratings are coerced, dates parsed; records that are
+    not JSON and rows whose date does not parse are left out (see
+    ``scan_reviews_json_rejects``).  A missing dump gives no rows.
     """
     return normalize_raw(_raw_reviews(spark, path, multi_line)).where(F.col("date").isNotNull())
 
 
-def scan_reviews_json_rejects(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    return normalize_raw(_raw_reviews(spark, path, multi_line)).where(F.col("date").isNull())
+def scan_reviews_json_rejects(spark: SparkSession, path: str, *, multi_line: bool) -> DataFrame:
+    """``reason, record``: every record that ``scan_reviews_json`` leaves out,
+    as it came (the text, or the row as JSON)."""
+    raw = _raw_reviews(spark, path, multi_line)
+    reason = F.when(F.col(CORRUPT).isNotNull(), "not JSON").when(parse_date("date").isNull(), "no ISO date")
+    record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*REVIEW_RAW.fieldNames())))
+    return raw.select(reason.alias("reason"), record.alias("record")).where("reason is not null")
 
 
 def normalize_reviews(play: DataFrame | None = None, app: DataFrame | None = None,

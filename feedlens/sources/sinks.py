@@ -14,9 +14,6 @@ from feedlens.session import checkpoint_root
 from feedlens.sources.readers import CSV_OPTIONS, NTZ_FORMAT
 
 THEME_CSV_HEADER = ("Theme ID", "Theme Name", "Description")
-# The theme dimension is bounded by the number of themes a lexicon or a
-# model names; refuse to funnel anything bigger into one file.
-MAX_THEME_ROWS = 100_000
 
 
 def sink_reviews_json(df: DataFrame, path: str, partition_by: str | None = "source") -> None:
@@ -31,7 +28,7 @@ def sink_reviews_json(df: DataFrame, path: str, partition_by: str | None = "sour
 
 
 def sink_themes_csv(themes: DataFrame, path: str) -> bool:
-    """K2: the theme dimension as one CSV file with the header
+    """K2: the theme dimension as CSV, files of even size (one, as a rule), each with the header
     ``Theme ID,Theme Name,Description``; missing fields become ''.
     Returns False (and writes nothing) when there is no theme."""
     out = themes.select(
@@ -39,16 +36,13 @@ def sink_themes_csv(themes: DataFrame, path: str) -> bool:
         F.coalesce(F.col("name"), F.lit("")).alias(THEME_CSV_HEADER[1]),
         F.coalesce(F.col("description"), F.lit("")).alias(THEME_CSV_HEADER[2]))
     # Materialise once (a reliable checkpoint in the shared folder): the
-    # size check and the write then read the same rows instead of running
-    # the upstream plan twice.
+    # test for emptiness and the write then read the same rows instead of
+    # running the upstream plan twice.
     checkpoint_root(themes.sparkSession)
     out = out.checkpoint(eager=True)
-    n = out.limit(MAX_THEME_ROWS + 1).count()
-    if n == 0:
+    if out.isEmpty():
         return False
-    if n > MAX_THEME_ROWS:
-        raise ValueError("theme dimension too large for a single CSV file")
-    (out.coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS)
+    (out.hint("rebalance").write.mode("overwrite").options(**CSV_OPTIONS)
      .option("emptyValue", "").csv(path))
     return True
 

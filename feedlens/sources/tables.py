@@ -22,6 +22,7 @@ CHANNEL_OF_EVENT = {"click": "playstore", "view": "appstore",
 OTHER_CHANNEL = "twitter"
 RATED_EVENTS = ("click", "view")
 UNTITLED_EVENT = "error"
+# The bundled texts have no title; the first characters serve as one.
 TITLE_CHARS = 40
 DOC_EVENT_STRIDE = 5
 # --- end of fixed values ---
@@ -79,18 +80,17 @@ def latest_date(df: DataFrame, col: str = "date") -> _dt.datetime:
     return df.agg(F.max(col)).first()[0]
 
 
-# Paged app-store feed: the crawl returns pages newest first.  Here a page is
-# a fixed span of hours counted back from ``anchor``.
-FEED_PAGE_HOURS = 6
-
-
-def appstore_feed(reviews_df: DataFrame, anchor, page_hours: int = FEED_PAGE_HOURS) -> DataFrame:
-    """``review_id, page, rating, title, text, date`` of the appstore channel."""
-    from feedlens.functions.dates import as_literal
-
-    span_us = int(page_hours) * 3600 * 1_000_000
-    age_us = F.timestamp_diff("MICROSECOND", F.col("date"), as_literal(anchor))
-    return (reviews_df.where(F.col("source") == "appstore")
-            .select("review_id",
-                    (F.lit(1) + F.floor(age_us / F.lit(span_us)).cast("bigint")).alias("page"),
-                    "rating", "title", "text", "date"))
+def appstore_feed(reviews_df: DataFrame, page_size: int, stray_every: int) -> DataFrame:
+    """``review_id, page, rating, title, text, date`` of the appstore channel
+    as a paged feed: pages of ``page_size`` rows, newest first; reviews with
+    an id divisible by ``stray_every`` are stray rows on a page behind all
+    others, which a reader that stops early never sees."""
+    from feedlens.operators.ordering import number_within
+
+    app = reviews_df.where(F.col("source") == "appstore").withColumn(
+        "stray", F.col("review_id") % stray_every == 0)
+    rows = number_within(app, ["stray"], [F.col("date").desc(), "review_id"], name="rn")
+    page = F.floor((F.col("rn") - 1) / F.lit(page_size)) + 1
+    last = rows.where("not stray").agg(F.coalesce(F.max(page), F.lit(0))).scalar()
+    return rows.select("review_id", F.when(F.col("stray"), last + 1).otherwise(page).cast("bigint").alias("page"),
+                       "rating", "title", "text", "date")

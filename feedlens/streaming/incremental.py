@@ -2,15 +2,15 @@
 
 The batch operators re-run over a landing folder as new dump files arrive:
 rows are normalised, masked and themed exactly as in batch, duplicates of a
-review id inside the window are dropped with a watermark, and the labelled
+review inside the window are dropped with a watermark, and the labelled
 rows are appended to a partitioned table.  The checkpoint (offsets and
-dedupe state) lives in the shared checkpoint folder, so a restarted query
+dedupe state) lives in a folder that the caller names, so a restarted query
 resumes where it stopped and a lost executor only replays its micro-batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +18,6 @@ from feedlens.operators.ingest import DEFAULT_WEEKS
 from feedlens.operators.privacy import clean_reviews
 from feedlens.operators.themes import assign_themes
 from feedlens.schemas import REVIEW_RAW
-from feedlens.session import scratch_path
 from feedlens.sources.readers import normalize_raw
 
 
@@ -31,16 +30,26 @@ def review_stream(spark: SparkSession, landing_dir: str, files_per_trigger: int
     return normalize_raw(reader.json(landing_dir)).where(F.col("date").isNotNull())
 
 
+def review_key() -> Column:
+    """Identity of a review: its channel and native id, or without an id a
+    hash of its channel, time, title and text."""
+    native = F.col("review_id").cast("string")
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("date", "title", "text")]
+    content = F.concat(F.lit("#"), F.sha2(F.to_json(F.array(*parts)), 256))
+    return F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce(native, content))
+
+
 def labelled_stream(stream: DataFrame, weeks: int = DEFAULT_WEEKS) -> DataFrame:
     """Mask, theme and de-duplicate a review stream.
 
-    The watermark is the rolling window: a copy of a review id arriving
+    The watermark is the rolling window: a copy of a review arriving
     within ``weeks`` of event time is dropped; state older than that is
     evicted, so the dedupe state stays bounded."""
     labelled = assign_themes(clean_reviews(stream))
     return (labelled.withColumn("event_time", F.col("date").cast("timestamp"))
             .withWatermark("event_time", f"{7 * int(weeks)} days")
-            .dropDuplicatesWithinWatermark(["review_id"]))
+            .withColumn("review_key", review_key())
+            .dropDuplicatesWithinWatermark(["review_key"]).drop("review_key"))
 
 
 def weekly_theme_counts(labelled: DataFrame) -> DataFrame:
@@ -51,11 +60,12 @@ def weekly_theme_counts(labelled: DataFrame) -> DataFrame:
             .select(F.col("week.start").alias("week_start"), "source", "theme_id", "n_reviews"))
 
 
-def start_labelled_sink(labelled: DataFrame, out_dir: str, checkpoint_dir: str | None = None,
+def start_labelled_sink(labelled: DataFrame, out_dir: str, checkpoint_dir: str,
                         available_now: bool = True) -> StreamingQuery:
-    """Append labelled rows to ``out_dir`` (parquet, one folder per source)."""
-    ckpt = checkpoint_dir or scratch_path(labelled.sparkSession, "stream-labelled")
+    """Append labelled rows to ``out_dir`` (parquet, one folder per source).
+    A query started again with the same ``checkpoint_dir`` goes on where it
+    stopped and appends nothing twice."""
     writer = (labelled.drop("event_time").writeStream.format("parquet")
-              .option("checkpointLocation", ckpt).partitionBy("source").outputMode("append"))
+              .option("checkpointLocation", checkpoint_dir).partitionBy("source").outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(out_dir)

@@ -1,12 +1,14 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from feedlens.functions.dates import parse_date
 from feedlens.operators import ingest
 from feedlens.sources import readers
 
-from conftest import GOLDEN_AS_OF
+from conftest import GOLDEN_AS_OF, SF01
 
 
 def test_parse_dates_fixture(spark):
@@ -74,13 +76,20 @@ def test_take_while_gap_and_empty(spark):
     assert ingest.feed_take_while(_feed(spark, rows), GOLDEN_AS_OF, weeks=1).count() == 0
 
 
-def test_take_while_reads_at_most_max_pages(spark):
+def test_take_while_has_no_page_limit(spark):
     new = dt.datetime(2026, 7, 6)
-    rows = [(i, i, new) for i in range(1, 14)]  # 13 good pages in a row
-    assert sorted(r.page for r in ingest.feed_take_while(_feed(spark, rows), GOLDEN_AS_OF, weeks=1).collect()) \
-        == list(range(1, 11))
-    out = ingest.feed_take_while(_feed(spark, rows), GOLDEN_AS_OF, weeks=1, max_pages=None)
-    assert out.count() == 13
+    rows = [(i, i, new) for i in range(1, 40)]
+    assert ingest.feed_take_while(_feed(spark, rows), GOLDEN_AS_OF, weeks=1).count() == 39
+
+
+def test_complete_crawl_keeps_every_window_row(spark):
+    from feedlens.plans import catalog
+    r = catalog._reviews(spark, SF01)
+    window = ingest.rolling_window(r, catalog._asof(r), catalog.WEEKS)
+    union = catalog.q_union_sources(spark, SF01)
+    assert union.count() == window.count() == union.select("review_id").distinct().count()
+    plan = union._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 2 * 2 and "NestedLoop" not in plan
 
 
 def test_take_while_per_app(spark):
@@ -97,16 +106,13 @@ def test_newest_n_then_window(golden):
     assert [r.review_id for r in out.collect()] == [14, 13, 12]
 
 
-def test_topup_resample(spark, golden):
-    out = ingest.topup_resample(golden, 550, seed=7)
-    assert out.count() == 550
-    assert out.where(F.col("draw").isNull()).count() == 14
-    again = ingest.topup_resample(golden, 550, seed=7)
-    a = sorted((r.draw, r.review_id) for r in out.where(F.col("draw").isNotNull()).collect())
-    b = sorted((r.draw, r.review_id) for r in again.where(F.col("draw").isNotNull()).collect())
-    assert a == b
-    assert ingest.topup_resample(golden, 10).count() == 14
-    assert ingest.topup_resample(golden.where(F.lit(False)), 550).count() == 0
+def test_resample_by_rate(spark):
+    df = spark.range(4000).withColumnRenamed("id", "review_id")
+    out = ingest.resample(df, 0.25, seed=7)
+    assert out.where("draw = 0").count() == 4000
+    assert 850 < out.where("draw = 1").count() < 1150
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ingest.resample(df.repartition(3), 0.25, seed=7).collect()))
+    assert ingest.resample(df.where("review_id < 0"), 0.25, seed=7).count() == 0
 
 
 def test_source_window_counts(spark, golden):
@@ -137,9 +143,68 @@ def test_json_array_dump(spark, tmp_path):
 
 
 def test_missing_or_malformed_dump_gives_no_rows(spark, tmp_path):
-    assert readers.scan_reviews_json(spark, str(tmp_path / "absent.json")).count() == 0
+    assert readers.scan_reviews_json(spark, str(tmp_path / "absent.json"), multi_line=False).count() == 0
     assert readers.scan_reviews_json(spark, str(tmp_path / "absent-*.json"), multi_line=True).count() == 0
     bad = tmp_path / "bad.json"
     bad.write_text("this is not json\n{\"source\": \"reddit\", \"text\": \"x\", \"date\": \"2026-07-01\"}\n")
-    rows = readers.scan_reviews_json(spark, str(bad)).collect()
+    rows = readers.scan_reviews_json(spark, str(bad), multi_line=False).collect()
     assert [r.source for r in rows] == ["reddit"]
+
+
+def test_numbering_keeps_null_and_repeated_ids(spark):
+    from feedlens.operators.ordering import number_within
+    day = dt.datetime(2026, 7, 1)
+    rows = [(None, "a", day), (None, "a", day), (5, "a", day), (5, "b", day), (5, "b", day)]
+    df = spark.createDataFrame(rows, "review_id long, source string, date timestamp_ntz")
+    out = number_within(df, ["source"], ["date", "review_id"])
+    assert sorted((r.source, r.rn) for r in out.collect()) == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2)]
+
+
+def test_ratings_dates_and_rejects(spark, tmp_path):
+    raw = spark.createDataFrame([("4.0",), ("4.5",), ("4",), ("6",), ("0",), ("x",), (None,)], "r string")
+    assert [r[0] for r in raw.select(readers.coerce_rating("r")).collect()] == [4, 5, 4, None, None, None, None]
+    from feedlens.functions.dates import parse_date
+    bad = ["10:30", "T10:30", "2024", "2024-05", "2024-1-5", "2024-01-05 10:00:00 Europe/Berlin", "", None]
+    good = ["2024-01-05", "2024-01-05T10:00", "2024-01-05 10:00:00.5", "2024-01-05T10:00:00Z", "2024-01-05T10:00:00+02:00"]
+    df = spark.createDataFrame([(x,) for x in bad + good], "d string")
+    got = [r[0] is None for r in df.select(parse_date("d")).collect()]
+    assert got == [True] * len(bad) + [False] * len(good)
+    p = tmp_path / "lines.json"
+    p.write_text('{"source": "reddit", "text": "a", "date": "2024-01-05"}\nnot json\n'
+                 '{"source": "reddit", "text": "b", "date": "soon"}\n')
+    assert readers.scan_reviews_json(spark, str(p), multi_line=False).count() == 1
+    rejects = {r.reason: r.record for r in readers.scan_reviews_json_rejects(spark, str(p), multi_line=False).collect()}
+    assert rejects["not JSON"] == "not json" and '"b"' in rejects["no ISO date"]
+    array = tmp_path / "array.json"
+    array.write_text('[\n  {"source": "reddit", "text": "a", "date": "2024-01-05"},\n'
+                     '  {"source": "reddit", "text": "b", "date": "2024-01-06"}\n]\n')
+    assert readers.scan_reviews_json(spark, str(array), multi_line=True).count() == 2
+
+
+def test_theme_join_form_equals_the_inline_form(spark):
+    from feedlens.functions.lexicon import THEME_TERMS, lexicon_frame
+    from feedlens.operators import themes
+    from feedlens.operators.privacy import clean_reviews
+    from feedlens.sources import tables
+    clean = clean_reviews(tables.reviews(spark, SF01))
+    inline = themes.assign_themes(clean).select("review_id", "theme_id", "theme_score")
+    joined = themes.assign_themes_by_join(clean, lexicon_frame(spark, THEME_TERMS)).select(
+        "review_id", "theme_id", "theme_score")
+    assert sorted(map(tuple, inline.collect())) == sorted(map(tuple, joined.collect()))
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from feedlens import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        session.checkpoint_root(Session())

@@ -80,3 +80,27 @@ def test_incident_counts_equal_markers(golden):
     assert sum(r.email_hits for r in counts.values()) == 3
     assert sum(r.phone_hits for r in counts.values()) == 1
     assert sum(r.masked_rows for r in counts.values()) == 4
+
+
+def test_masking_digits_of_any_script(spark):
+    import random
+
+    from feedlens.functions.text import EMAIL_PATTERN, PHONE_PATTERN
+    from feedlens.operators.privacy import pii_incident_counts
+
+    rng = random.Random(5)
+    scripts = ["0123456789", "\u0966\u0967\u0968\u0969\u096a\u096b\u096c\u096d\u096e\u096f",
+               "\u0660\u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668\u0669",
+               "\uff10\uff11\uff12\uff13\uff14\uff15\uff16\uff17\uff18\uff19"]
+    texts = []
+    for _ in range(200):
+        digits = rng.choice(scripts)
+        number = "".join(rng.choice(digits) for _ in range(rng.choice([3, 9, 10, 11])))
+        texts.append(rng.choice(["call ", "", "+91 ", "a@b.co "]) + number + rng.choice([" now", "", ".", "x"]))
+    expected = [re.sub(PHONE_PATTERN, "[PHONE]", re.sub(EMAIL_PATTERN, "[EMAIL]", t)) for t in texts]
+    df = spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)], "i int, source string, text string")
+    got = [r[0] for r in df.orderBy("i").select(mask_pii("text")).collect()]
+    assert got == expected
+    counts = pii_incident_counts(df).first()
+    assert counts.phone_hits == sum(t.count("[PHONE]") for t in expected)
+    assert counts.email_hits == sum(t.count("[EMAIL]") for t in expected)

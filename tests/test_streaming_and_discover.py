@@ -31,6 +31,21 @@ def test_stream_masks_themes_and_dedupes(spark, tmp_path):
     assert got.select("review_id").distinct().count() == dump.count()
     assert got.where(F.col("text").rlike(r"[\w.-]+@[\w.-]+\.\w+")).count() == 0
     assert got.where(F.col("theme_id").isNull()).count() == 0
+    # Started again on the same checkpoint, nothing is appended.
+    stream = incremental.labelled_stream(incremental.review_stream(spark, landing + "/*"))
+    incremental.start_labelled_sink(stream, out, ckpt).awaitTermination(300)
+    assert spark.read.parquet(out).count() == dump.count()
+
+
+def test_stream_keeps_reviews_without_ids(spark, tmp_path):
+    landing, out, ckpt = (str(tmp_path / x) for x in ("landing", "out", "ckpt"))
+    rows = [(None, "reddit", None, None, t, "2026-07-01T10:00:00Z") for t in ("one", "two", "three", "three")]
+    rows += [(5, s, None, None, "same id", "2026-07-01T10:00:00Z") for s in ("reddit", "twitter")]
+    spark.createDataFrame(rows, "review_id long, source string, rating string, title string, text string, date string") \
+        .write.json(landing)
+    stream = incremental.labelled_stream(incremental.review_stream(spark, landing))
+    incremental.start_labelled_sink(stream, out, ckpt).awaitTermination(300)
+    assert sorted(r.text for r in spark.read.parquet(out).collect()) == ["one", "same id", "same id", "three", "two"]
 
 
 def test_stream_weekly_counts(spark, tmp_path):
