@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from feedlens.llm import text
-from feedlens.llm.tables import materialize
+from feedlens.llm.tables import bounded, materialize
 from feedlens.session import ship_package
 
 #: Bits of the filter for each row and bits set by each digest.
@@ -134,11 +134,15 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), sha)
     suspects = judged.where("suspect").drop("suspect")
-    groups = suspects.groupBy("digest").agg(
-        F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
-    compared = suspects.join(groups, "digest").select(
-        "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("keep.row")).alias("kept"), sha)
+    # One row per repeated digest, added up before it is sent; written, so that
+    # it is broadcast where it is small and Spark splits a hot digest otherwise.
+    groups = materialize(
+        suspects.groupBy("digest").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
+        .where("group_size > 1"), "dedup-groups")
+    compared = suspects.join(bounded(groups), "digest", "left").select(
+        "doc_id", F.when(F.col("keep").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col("row") == F.col("keep.row"), F.lit(True)).alias("kept"), sha)
     return alone.unionByName(compared)
 
 
@@ -154,9 +158,13 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     bits = repeated_bits(digests, digests.count())
     rows = docs.withColumn("__digest", text_digest())
     rows = rows.withColumn("__suspect", maybe_repeated(spark, bits, F.col("__digest")))
-    groups = (digests.where(maybe_repeated(spark, bits, F.col("digest")))
-              .groupBy(F.col("digest").alias("__digest")).agg(F.max("doc_id").alias("__keep")))
-    kept = (rows.where("__suspect").join(groups, "__digest")
-            .where(F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")))
-            .dropDuplicates(["__digest"]))
-    return rows.where("not __suspect").select(columns).unionByName(kept.select(columns))
+    groups = materialize(
+        digests.where(maybe_repeated(spark, bits, F.col("digest")))
+        .groupBy(F.col("digest").alias("__digest")).agg(
+            F.max("doc_id").alias("__keep"), F.count("*").alias("__size"))
+        .where("__size > 1"), "dedup-groups")
+    found = rows.where("__suspect").join(bounded(groups), "__digest", "left")
+    found = found.where(F.col("__size").isNull() | F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")))
+    # More than one row of a digest is left only where rows repeat the id, too.
+    return rows.where("not __suspect").select(columns).unionByName(
+        found.dropDuplicates(["__digest"]).select(columns))
