@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from feedlens.llm import text
-from feedlens.llm.tables import bounded, materialize
-from feedlens.session import ship_package
+from feedlens.llm.tables import bounded, materialize, prepare_tasks
 
 #: Bits of the filter for each row and bits set by each digest.
 BITS_PER_ROW = 16
@@ -123,7 +122,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     * Only ``doc_id`` and ``text`` are read; other columns may have any name.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare_tasks(spark)
     rows = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"))
         .withColumn("row", F.monotonically_increasing_id()), "dedup-digests")
@@ -151,7 +150,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     largest id; all columns are kept as they are.  Rows that are surely alone
     are not shuffled."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare_tasks(spark)
     columns = docs.columns
     digests = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest")),
                           "dedup-digests")

@@ -38,8 +38,7 @@ from pyspark.sql import Window
 
 from feedlens.llm import text
 from feedlens.llm.components import connected_components
-from feedlens.llm.tables import bounded, materialize
-from feedlens.session import ship_package
+from feedlens.llm.tables import bounded, materialize, prepare_tasks
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -264,7 +263,7 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS,
     * Only ``doc_id`` and ``text`` are read; other columns may have any name.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare_tasks(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = materialize(document_sets(docs, shingle_counts(docs, k), k, percent), "jaccard-sets")
     nodes = materialize(sets.where("n > 0").groupBy("grp", "sig").agg(F.min("doc_id").alias("doc")), "jaccard-nodes")

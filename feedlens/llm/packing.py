@@ -17,8 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.tables import materialize
-from feedlens.session import ship_package
+from feedlens.llm.tables import materialize, prepare_tasks
 
 CAPACITY = 2048
 #: Pieces in a pack, on average; a pack is packed in one task's memory.
@@ -65,7 +64,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, pack_pieces: int = PACK_PIEC
     * An empty table gives no rows.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare_tasks(spark)
     full = F.greatest(F.ceil(F.col("tokens") / capacity), F.lit(1)).cast("int")
     pieces = (docs.select("doc_id", "copy", "source", "cluster", F.col("tokens").alias("whole"),
                           F.explode(F.sequence(F.lit(0), full - 1)).alias("piece"))

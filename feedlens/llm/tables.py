@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.session import scratch_path
+from feedlens.session import scratch_path, ship_package
+
+#: Rows of an Arrow batch at most: batches hold whole texts.
+BATCH_ROWS = 1000
 
 #: Ids that may be broadcast (8 MB of longs); a longer list is joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
 
+def prepare_tasks(spark: SparkSession) -> None:
+    """Make the package known to Python tasks and keep their batches small."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from feedlens.llm import text
-from feedlens.llm.tables import materialize
-from feedlens.session import scratch_path, ship_package
+from feedlens.llm.tables import materialize, prepare_tasks
+from feedlens.session import scratch_path
 
 SEPARATOR = 0
 TOKEN_BYTES = 4
@@ -43,7 +43,7 @@ def write_token_files(docs: DataFrame, folder: str) -> DataFrame:
     again writes another file; only files that the result names count.  The
     result is written, so files and table belong together.
     """
-    ship_package(docs.sparkSession)
+    prepare_tasks(docs.sparkSession)
 
     def write(batches):
         name, stream, ordinal = f"tokens-{uuid.uuid4().hex}.bin", None, 0
@@ -90,7 +90,7 @@ def separator_scan(files: DataFrame, block_bytes: int = BLOCK_BYTES, separator:
     """
     if block_bytes % TOKEN_BYTES:
         raise ValueError("a block must hold whole tokens")
-    ship_package(files.sparkSession)
+    prepare_tasks(files.sparkSession)
     blocks = materialize(
         files.where("length > 0").select("path", "file", "length", F.explode(F.sequence(
             F.lit(0).cast("long"), F.col("length") - 1, F.lit(block_bytes).cast("long"))).alias("begin")), "token-blocks")

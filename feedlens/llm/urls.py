@@ -18,7 +18,8 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.session import scratch_path, ship_package
+from feedlens.llm.tables import prepare_tasks
+from feedlens.session import scratch_path
 
 #: Bytes of rules that one array may hold; more need a larger machine or a split list.
 MAX_RULE_BYTES = 1 << 30
@@ -54,7 +55,7 @@ class DigestArray:
     def __init__(self, spark: SparkSession, rules: list[tuple[str, str, str]]):
         """``rules``: (verdict, host, path) with verdict ``allow`` or ``block``;
         of a repeated host and path the first counts."""
-        ship_package(spark)
+        prepare_tasks(spark)
         unique: dict[str, tuple[str, str, str]] = {}
         for verdict, host, path in rules:
             unique.setdefault(f"{host}{path}", (verdict, host, path))
