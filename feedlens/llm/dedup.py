@@ -34,14 +34,14 @@ SEGMENT_BITS = 2**16
 
 def text_digest(column: str = "text") -> Column:
     """SHA-256 of the text with A-Z lower-cased, in UTF-8; null is empty."""
-    @F.arrow_udf("binary")
-    def digest(values: pa.Array) -> pa.Array:
-        data, offsets = text.utf8(values)
-        data = memoryview(text.lower_ascii(data))
-        return pa.array([hashlib.sha256(data[a:b]).digest()
-                         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())
+    return F.arrow_udf(_digests, "binary")(F.col(column))
 
-    return digest(F.col(column))
+
+def _digests(values: pa.Array) -> pa.Array:
+    data, offsets = text.utf8(values)
+    data = memoryview(text.lower_ascii(data))
+    return pa.array([hashlib.sha256(data[a:b]).digest()
+                     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())
 
 
 def _bits(digests: pa.Array, size: int) -> np.ndarray:
@@ -100,14 +100,23 @@ def repeated_bits(digests: DataFrame, rows: int) -> np.ndarray:
 def maybe_repeated(spark, bits: np.ndarray, digest: Column) -> Column:
     """True where every bit of the digest was set at least twice."""
     shared = spark.sparkContext.broadcast(bits)
+    return F.arrow_udf(lambda values: _probe(values, shared.value), BooleanType())(digest)
+
+
+def digest_and_suspicion(spark, bits: np.ndarray, column: str = "text") -> Column:
+    """Struct of a text's digest and whether it may be repeated, in one pass."""
+    shared = spark.sparkContext.broadcast(bits)
+
+    def judge(values: pa.Array) -> pa.Array:
+        digests = _digests(values)
+        return pa.StructArray.from_arrays([digests, _probe(digests, shared.value)], names=["digest", "suspect"])
+
+    return F.arrow_udf(judge, "digest binary, suspect boolean")(F.col(column))
 
-    @F.arrow_udf(BooleanType())
-    def probe(values: pa.Array) -> pa.Array:
-        table = shared.value
-        at = _bits(values, len(table) * 8)
-        return pa.array(((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1))
 
-    return probe(digest)
+def _probe(digests: pa.Array, table: np.ndarray) -> pa.Array:
+    at = _bits(digests, len(table) * 8)
+    return pa.array(((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1))
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
@@ -155,8 +164,8 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     digests = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest")),
                           "dedup-digests")
     bits = repeated_bits(digests, digests.count())
-    rows = docs.withColumn("__digest", text_digest())
-    rows = rows.withColumn("__suspect", maybe_repeated(spark, bits, F.col("__digest")))
+    rows = docs.withColumn("__judged", digest_and_suspicion(spark, bits))
+    rows = rows.withColumns({"__digest": F.col("__judged.digest"), "__suspect": F.col("__judged.suspect")}).drop("__judged")
     groups = materialize(
         digests.where(maybe_repeated(spark, bits, F.col("digest")))
         .groupBy(F.col("digest").alias("__digest")).agg(

@@ -57,6 +57,7 @@ def _shingles(batches: Iterator[pa.RecordBatch], k: int):
             starts, ends, ranges = text.word_spans(data, offsets)
             hashes, ranges = text.shingle_hashes(text.word_hashes(data, starts, ends), ranges, k)
             yield rows, hashes, ranges
+    text.release_memory()
 
 
 def shingle_counts(docs: DataFrame, k: int = SHINGLE_WORDS, bits: int = COUNT_BITS) -> np.ndarray:

@@ -70,6 +70,7 @@ def count_grams(docs: DataFrame, classes: list[str], caseless: bool = False) ->
                     chosen = chosen.astype(bool)
                     own = grams if chosen.all() else grams[chosen[row_of]]
                     totals[c] += np.bincount(own, minlength=GRAMS)
+        text.release_memory()
         found = np.flatnonzero(totals.any(axis=0))
         if len(found):
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), *(pa.array(t[found]) for t in totals)],

@@ -8,6 +8,7 @@ object.  Null text counts as the empty text.  Words are the runs matched by
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,16 @@ _SHINGLE = _rng.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
 
+def release_memory() -> None:
+    """Give memory that a finished task no longer needs back to the system;
+    Python workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: it keeps its memory
+        pass
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, row offsets) of a string or binary column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
