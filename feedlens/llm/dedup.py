@@ -40,8 +40,10 @@ def text_digest(column: str = "text") -> Column:
 def _digests(values: pa.Array) -> pa.Array:
     data, offsets = text.utf8(values)
     data = memoryview(text.lower_ascii(data))
-    return pa.array([hashlib.sha256(data[a:b]).digest()
-                     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())
+    digests = [hashlib.sha256(data[a:b]).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    del data
+    text.release_memory()
+    return pa.array(digests, pa.binary())
 
 
 def _bits(digests: pa.Array, size: int) -> np.ndarray:

@@ -69,7 +69,7 @@ def shingle_counts(docs: DataFrame, k: int = SHINGLE_WORDS, bits: int = COUNT_BI
     def count(batches):
         total = np.zeros(1 << bits, np.int64)
         for _, hashes, _ in _shingles(batches, k):
-            total += np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+            np.add.at(total, (hashes >> np.uint64(64 - bits)).astype(np.int64), 1)
         for s in range(0, 1 << bits, SEGMENT):
             if total[s:s + SEGMENT].any():
                 yield pa.RecordBatch.from_arrays(

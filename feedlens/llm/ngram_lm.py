@@ -69,7 +69,7 @@ def count_grams(docs: DataFrame, classes: list[str], caseless: bool = False) ->
                     chosen = rows.column(rows.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
                     chosen = chosen.astype(bool)
                     own = grams if chosen.all() else grams[chosen[row_of]]
-                    totals[c] += np.bincount(own, minlength=GRAMS)
+                    np.add.at(totals[c], own, 1)
         text.release_memory()
         found = np.flatnonzero(totals.any(axis=0))
         if len(found):
@@ -157,6 +157,7 @@ def gram_scores(spark, table: np.ndarray, caseless: bool = False, column: str =
             grams, ranges = text_grams(data, offsets, caseless)
             totals.append(text.row_sums(shared.value[grams], ranges))
             sizes.append(np.diff(ranges))
+        text.release_memory()
         return pa.StructArray.from_arrays([pa.array(np.concatenate(totals)), pa.array(np.concatenate(sizes))],
                                           names=["total", "grams"])
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from feedlens.session import scratch_path, ship_package
 
-#: Rows of an Arrow batch at most: batches hold whole texts.
+#: Rows of an Arrow batch at most, and bytes after which a batch ends: batches
+#: hold whole texts.
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 
 #: Ids that may be broadcast (8 MB of longs); a longer list is joined by shuffle.
 BROADCAST_IDS = 1_000_000
@@ -20,6 +22,7 @@ def prepare_tasks(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
