@@ -1,144 +1,121 @@
 """Theme discovery without a language model.
 
-TF-IDF vectors of the masked review text are clustered with k-means for
-each k in 3..5; the k with the best silhouette among those whose smallest
-cluster holds at least ``min_share`` of the rows wins.  A theme is named by
-the highest-weighted terms of its centre.  When no k meets the size
-floor, the rows of undersized clusters move to the nearest kept centre.  Everything runs in Spark ML: the
-vectors are distributed, each k-means iteration is one pass with a partial
-aggregate of the centres, and only the k centres reach the driver.
+TF-IDF vectors of the masked review text are clustered with k-means for each
+k in ``k_range``; the k with the best silhouette wins.  All terms of a text
+count: they are hashed into ``FEATURES`` cells, and the inverse document
+frequencies come from all rows.  Only the centres are fitted on a bounded
+sample (``sample_rows``); every row is then assigned by the fitted model.  A
+theme is named by the terms that set its rows apart from the others'.
+
+The sample is drawn and ordered by a hash of the row and fitted in one
+partition, so the themes do not depend on how the input is partitioned.
 """
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, RegexTokenizer,
-                                StopWordsRemover)
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import TOKEN_SPLIT
+from feedlens.operators.ordering import top_k_within
 from feedlens.session import checkpoint_root
 
 K_RANGE = (3, 4, 5)
-MIN_TOKEN_CHARS = 3
-MAX_TOKEN_CHARS = 20
-VOCAB_SIZE = 2000
+#: Cells into which terms are hashed; two terms in one cell count as one.
+FEATURES = 2**12
+#: Rows on which the centres are fitted, about; with fewer rows, all of them.
+SAMPLE_ROWS = 20_000
 NAME_TERMS = 3
-# Terms in fewer than 1% of reviews (near-copies, junk) or in almost all of
-# them carry no theme.
-MIN_DOC_SHARE = 0.01
-MAX_DOC_SHARE = 0.9
+_DRAW = 2**31
+
+SCHEMA = "review_id long, theme_id string, theme string, description string"
+
+
+def default_stop_words() -> list[str]:
+    return [w for lang in ("english", "german", "spanish", "french")
+            for w in StopWordsRemover.loadDefaultStopWords(lang)]
 
 
-def discover_themes(df: DataFrame, text_col: str = "text", seed: int = 42,
-                    k_range=K_RANGE, min_share: float = 0.02, max_iter: int = 20) -> DataFrame:
+def discover_themes(df: DataFrame, text_col: str = "text", seed: int = 42, k_range=K_RANGE,
+                    sample_rows: int = SAMPLE_ROWS, max_iter: int = 20,
+                    stop_words: list[str] | None = None) -> DataFrame:
     """``review_id, theme_id, theme, description`` for every row."""
-    stop = StopWordsRemover.loadDefaultStopWords("english")
-    for lang in ("german", "spanish", "french"):
-        stop += StopWordsRemover.loadDefaultStopWords(lang)
-    terms_of = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN_SPLIT, toLowercase=True,
-                       minTokenLength=MIN_TOKEN_CHARS),
-        StopWordsRemover(inputCol="_tok", outputCol="_terms", stopWords=stop),
-    ])
-    base = df.select("review_id", F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
-    base = base.withColumn(text_col, F.regexp_replace(
-        text_col, rf"\b[a-z]{{{MAX_TOKEN_CHARS + 1},}}\b", " "))
-    # Masking and tokenising is the expensive part: it runs once, and the
-    # term arrays are written to the shared checkpoint folder.  The
-    # vocabulary, the document frequencies and the vectors all read them.
-    checkpoint_root(df.sparkSession)
-    terms = (terms_of.fit(base).transform(base).select("review_id", "_terms")
-             .checkpoint(eager=True))
-    n_docs = terms.count()
-    vocab, idf = _vocabulary(terms, n_docs)
+    spark = df.sparkSession
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), TOKEN_SPLIT), lambda t: t != "")
+    stop = StopWordsRemover(inputCol="_words", outputCol="_terms",
+                            stopWords=default_stop_words() if stop_words is None else stop_words)
+    # Masking and tokenising is the expensive part: it runs once, and the term
+    # arrays are written to the shared checkpoint folder.
+    checkpoint_root(spark)
+    terms = (stop.transform(df.select("review_id", words.alias("_words")))
+             .select("review_id", "_terms").checkpoint(eager=True))
+    n = terms.count()
+    if not n:
+        return spark.createDataFrame([], SCHEMA)
     weigh = Pipeline(stages=[
-        CountVectorizerModel.from_vocabulary(vocab, inputCol="_terms", outputCol="_tf"),
-        ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf"),
+        HashingTF(numFeatures=FEATURES, inputCol="_terms", outputCol="_tf"),
+        IDF(inputCol="_tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
     ])
-    feats = (weigh.fit(terms).transform(terms).select("review_id", "features")
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    n = n_docs
+    feats = weigh.fit(terms).transform(terms).select("review_id", "_terms", "features")
+    fitted = _fit(feats, n, seed, k_range, sample_rows, max_iter)
+    rows = fitted.transform(feats).select("review_id", "_terms", "prediction")
+    named = _names(rows)
+    return rows.join(F.broadcast(named), "prediction").select("review_id", "theme_id", "theme", "description")
+
+
+def _fit(feats: DataFrame, n: int, seed: int, k_range, sample_rows: int, max_iter: int):
+    """The k-means model with the best silhouette on the sample."""
+    draw = F.pmod(F.xxhash64("review_id", "_terms"), F.lit(_DRAW))
+    chosen = feats if n <= sample_rows else feats.where(draw < int(_DRAW * sample_rows / n))
+    # One partition of about ``sample_rows`` vectors, in an order of its own:
+    # k-means picks its first centres by partition.
+    sample = chosen.select("features", draw.alias("_draw"), "review_id", F.xxhash64("_terms").alias("_h"))
+    sample = (sample.repartition(1).sortWithinPartitions("_draw", "review_id", "_h")
+              .select("features").checkpoint(eager=True))
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
                                     distanceMeasure="squaredEuclidean")
 
     def fit_one(k):
-        km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="prediction")
-        fitted = km.fit(feats)
-        sizes = fitted.summary.clusterSizes
-        score = evaluator.evaluate(fitted.transform(feats)) if min(sizes) > 0 else -1.0
-        ok = n == 0 or min(sizes) >= min_share * n
-        return (ok, score, -k), k, fitted
-
-    # The candidate k are independent fits over the same cached vectors:
-    # they run as concurrent Spark jobs (as CrossValidator's ``parallelism``
-    # does), and the choice is made from their results in k order, so it
-    # does not depend on which job finishes first.
+        # The row solver accepts fewer different vectors than centres.
+        fitted = KMeans(k=k, seed=seed, maxIter=max_iter, solver="row", featuresCol="features",
+                        predictionCol="prediction").fit(sample)
+        several = sum(size > 0 for size in fitted.summary.clusterSizes) > 1
+        return (evaluator.evaluate(fitted.transform(sample)) if several else -1.0, -k), fitted
+
+    # Independent fits on the same rows run as concurrent jobs; the choice is
+    # made from their results, so it does not depend on which ends first.
     with ThreadPoolExecutor(max_workers=len(k_range)) as pool:
-        results = list(pool.map(fit_one, k_range))
-    _, k, fitted = max(results, key=lambda r: r[0])
-    centres = [list(map(float, c)) for c in fitted.clusterCenters()]
-    sizes = fitted.summary.clusterSizes
-    keep = [c for c in range(k) if sizes[c] >= min_share * n] or list(range(k))
-    pred = fitted.transform(feats).select("review_id", "features", "prediction")
-    if len(keep) < k:
-        pred = pred.withColumn("prediction", _nearest(keep, centres))
-    names = []
-    for new_id, cid in enumerate(keep):
-        centre = centres[cid]
-        top = sorted(range(len(centre)), key=lambda i: (-centre[i], i))[:NAME_TERMS]
-        terms = [vocab[i] for i in top if centre[i] > 0]
-        names.append((cid, f"theme_{new_id + 1}", " / ".join(terms) or f"cluster {new_id + 1}",
-                      "Reviews using: " + ", ".join(terms)))
-    spark = df.sparkSession
-    dim = spark.createDataFrame(names, "prediction int, theme_id string, theme string, description string")
-    # k rows: the broadcast is bounded by k_range.
-    out = pred.select("review_id", "prediction").join(F.broadcast(dim), on="prediction").drop("prediction")
-    feats.unpersist()
-    return out
-
-
-def _vocabulary(terms: DataFrame, n_docs: int) -> tuple[list[str], list[float]]:
-    """The ``VOCAB_SIZE`` most frequent terms whose document share lies in
-    [``MIN_DOC_SHARE``, ``MAX_DOC_SHARE``] (ties by term), and their inverse
-    document frequencies ``log((n + 1) / (df + 1))``.
-
-    Two hash aggregates: (review, term) counts first (partial aggregation
-    collapses a review's repeats map-side), then per term the corpus count
-    and the document count.  Only the bounded vocabulary reaches the driver.
-    """
-    per_doc = (terms.select("review_id", F.explode("_terms").alias("term"))
-               .groupBy("review_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    per_term = per_doc.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
-    lo, hi = MIN_DOC_SHARE * n_docs, MAX_DOC_SHARE * n_docs
-    top = (per_term.where((F.col("df") >= lo) & (F.col("df") <= hi))
-           .orderBy(F.col("tf").desc(), F.col("term")).limit(VOCAB_SIZE).collect())
-    vocab = [r["term"] for r in top]
-    idf = [math.log((n_docs + 1.0) / (r["df"] + 1.0)) for r in top]
-    return vocab, idf
-
-
-def _nearest(keep: list[int], centres: list[list[float]]):
-    """Index of the nearest kept centre, with built-in array functions:
-    argmax of 2 x.c - |c|^2 (x is unit length).  Rows of a dropped (too
-    small) cluster move to their nearest kept cluster."""
-    x = vector_to_array("features")
-    cands = []
-    for cid in keep:
-        c = centres[cid]
-        dot = F.aggregate(F.zip_with(x, F.array(*[F.lit(v) for v in c]), lambda a, b: a * b),
-                          F.lit(0.0), lambda acc, v: acc + v)
-        score = dot * 2.0 - F.lit(sum(v * v for v in c))
-        cands.append(F.struct(score.alias("s"), F.lit(-cid).alias("neg_id")))
-    best = F.array_max(F.array(*cands))
-    return (-best["neg_id"]).cast("int")
+        return max(pool.map(fit_one, k_range), key=lambda r: r[0])[1]
+
+
+def _names(rows: DataFrame) -> DataFrame:
+    """``prediction, theme_id, theme, description``: one row per cluster.
+
+    A cluster's terms are ranked by the share of its rows that have the term
+    minus the share of all other rows that have it (ties by term).  Both come
+    from one hash aggregate of (cluster, term)."""
+    spark = rows.sparkSession
+    sizes = {r.prediction: r["count"] for r in rows.groupBy("prediction").count().collect()}  # at most k rows
+    total = sum(sizes.values())
+    per = (rows.select("prediction", F.explode(F.array_distinct("_terms")).alias("term"))
+           .groupBy("term").pivot("prediction", sorted(sizes)).count().na.fill(0))
+    ranked = None
+    for c, size in sorted(sizes.items()):
+        everywhere = sum((F.col(str(o)) for o in sizes), F.lit(0))
+        apart = F.col(str(c)) / size - (everywhere - F.col(str(c))) / max(total - size, 1)
+        one = per.where(F.col(str(c)) > 0).select(F.lit(c).alias("prediction"), "term", apart.alias("apart"))
+        ranked = one if ranked is None else ranked.unionByName(one)
+    top = top_k_within(ranked, ["prediction"], [F.col("apart").desc(), F.col("term")], NAME_TERMS)
+    found: dict[int, list[str]] = {c: [] for c in sorted(sizes)}
+    for r in top.orderBy("prediction", "rank").collect():  # at most k * NAME_TERMS rows
+        found[r.prediction].append(r.term)
+    names = [(c, f"theme_{i}", " / ".join(t) or f"cluster {i}", "Reviews using: " + ", ".join(t))
+             for i, (c, t) in enumerate(found.items(), 1)]
+    return spark.createDataFrame(names, "prediction int, theme_id string, theme string, description string")

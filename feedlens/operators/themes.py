@@ -140,17 +140,30 @@ def representative_quotes(themed: DataFrame, by: tuple = ("source",),
     """One quote per (group, theme): highest term score, then the
     shortest text, then the smallest review id.
 
-    A ``min`` over a struct: partial aggregation keeps one candidate per
-    task and group, so a theme holding most rows costs no more than others.
+    The choice is a ``min`` over a struct of numbers: partial aggregation
+    keeps one candidate per task and group, and no text is sorted or sent.
+    The choice is written (a few numbers per group), and only the chosen texts
+    are read back: Catalyst takes the filter on the id below the masking
+    projection down to the scan.
     """
-    by = list(by)
-    best = F.min(F.struct((-F.col("theme_score")).alias("neg_score"),
-                          F.length(text_col).alias("len"),
-                          F.col("review_id").alias("review_id"),
-                          F.col(text_col).alias("quote")))
-    return (themed.groupBy(*by, "theme_id", "theme").agg(best.alias("_b"))
-            .select(*by, "theme_id", "theme", F.col("_b.review_id").alias("review_id"),
-                    F.col("_b.quote").alias("quote")))
+    checkpoint_root(themed.sparkSession)
+    keys = [*by, "theme_id", "theme"]
+    best = F.min(F.struct((-F.col("theme_score")).alias("neg"), F.length(text_col).alias("len"),
+                          F.col("review_id").alias("id")))
+    chosen = themed.groupBy(*keys).agg(best.alias("b")).select(
+        *(F.col(c).alias(f"_{c}") for c in keys), (-F.col("b.neg")).alias("_score"), F.col("b.len").alias("_len"),
+        F.col("b.id").alias("_id")).checkpoint(eager=True)
+    texts = themed.select(*keys, "review_id", "theme_score", F.length(text_col).alias("len"),
+                          F.col(text_col).alias("quote"))
+    texts = themed.sparkSession.sql(
+        "SELECT * FROM {texts} WHERE review_id IN (SELECT _id FROM {chosen})", texts=texts, chosen=chosen
+    ).unionByName(texts.where(F.col("review_id").isNull()))
+    same = F.col("review_id").eqNullSafe(F.col("_id")) & F.col("theme_score").eqNullSafe(F.col("_score")) & \
+        F.col("len").eqNullSafe(F.col("_len"))
+    for c in keys:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    # Rows that share all of this differ in their text at most.
+    return (texts.join(chosen, same).groupBy(*keys, "review_id").agg(F.min("quote").alias("quote")))
 
 
 def question_scores(df: DataFrame, by: list, lexicon: dict = QUESTION_TERMS,

@@ -1,10 +1,5 @@
-"""Plan-shape checks and brute-force checks of the aggregate-built model
-inputs of theme discovery."""
+"""Plan-shape checks, and brute-force checks of theme names and quotes."""
 
-import math
-from collections import Counter
-
-from pyspark.ml.feature import IDF, CountVectorizerModel
 from pyspark.sql import functions as F
 
 from feedlens.operators import discover, search, themes
@@ -14,29 +9,45 @@ from feedlens.sources import tables
 from conftest import SF001
 
 
-def _terms(spark):
-    clean = clean_reviews(tables.reviews(spark, SF001))
-    split = F.split(F.lower(F.col("text")), "[^a-z]+")
-    return clean.select("review_id", F.filter(split, lambda t: F.length(t) >= 3).alias("_terms"))
+def test_theme_names_match_brute_force(spark):
+    rows = [(1, 0, ["cold", "food", "food"]), (2, 0, ["cold", "late"]), (3, 1, ["price", "food"]), (4, 1, ["price"]),
+            (5, 1, []), (6, 2, [])]
+    named = discover._names(spark.createDataFrame(rows, "review_id long, prediction int, _terms array<string>")).collect()
+    want = {}
+    for c in (0, 1, 2):
+        own, rest = [set(t) for _, p, t in rows if p == c], [set(t) for _, p, t in rows if p != c]
+        apart = {t: sum(t in s for s in own) / len(own) - sum(t in s for s in rest) / len(rest) for s in own for t in s}
+        want[c] = " / ".join(sorted(apart, key=lambda t: (-apart[t], t))[:discover.NAME_TERMS]) or f"cluster {c + 1}"
+    assert {r.prediction: r.theme for r in named} == want
+    assert [r.theme_id for r in sorted(named)] == ["theme_1", "theme_2", "theme_3"]
+
+
+def test_quotes_aggregate_no_text(spark):
+    """The choice of quotes sends numbers only, and the texts are read back
+    with the semi join on the chosen ids below the masking."""
+    themed = themes.assign_themes(clean_reviews(tables.reviews(spark, SF001)))
+    quotes = themes.representative_quotes(themed)
+    plan = quotes._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    semi = next(i for i, line in enumerate(plan) if "LeftSemi" in line)
+    assert any("regexp_replace" in line for line in plan[:semi])
+    # Rows without an id are read by a filter of their own, at the scan.
+    assert any("isnull(doc_id" in line for line in plan)
+    want = {}
+    for r in themed.collect():
+        rank = (-r.theme_score, len(r.text), r.review_id, r.text)
+        key = (r.source, r.theme_id)
+        want[key] = min(want.get(key, rank), rank)
+    assert {(r.source, r.theme_id): (r.review_id, r.quote) for r in quotes.collect()} == {
+        k: v[2:] for k, v in want.items()}
 
 
-def test_vocabulary_matches_brute_force_and_spark_idf(spark):
-    terms = _terms(spark)
-    rows = terms.collect()
-    n = len(rows)
-    tf, df = Counter(), Counter()
-    for r in rows:
-        tf.update(r["_terms"])
-        df.update(set(r["_terms"]))
-    lo, hi = discover.MIN_DOC_SHARE * n, discover.MAX_DOC_SHARE * n
-    kept = sorted((t for t in tf if lo <= df[t] <= hi), key=lambda t: (-tf[t], t))[:discover.VOCAB_SIZE]
-    vocab, idf = discover._vocabulary(terms, n)
-    assert vocab == kept
-    assert idf == [math.log((n + 1.0) / (df[t] + 1.0)) for t in kept]
-    # The weights equal those Spark ML's IDF estimator fits on the same counts.
-    tfv = CountVectorizerModel.from_vocabulary(vocab, inputCol="_terms", outputCol="tf").transform(terms)
-    fitted = IDF(inputCol="tf", outputCol="w").fit(tfv).idf.toArray()
-    assert all(abs(a - b) < 1e-12 for a, b in zip(fitted, idf))
+def test_quotes_of_rows_without_or_with_repeated_ids(spark):
+    rows = [("a", None, "no id", 2), ("a", None, "no id either", 2), ("b", 7, "first", 1), ("b", 7, "again", 1),
+            ("c", 7, "elsewhere", 1)]
+    themed = spark.createDataFrame(rows, "source string, review_id long, text string, theme_score long").selectExpr(
+        "*", "'t' as theme_id", "'T' as theme")
+    got = {r.source: (r.review_id, r.quote) for r in themes.representative_quotes(themed).collect()}
+    assert got == {"a": (None, "no id"), "b": (7, "again"), "c": (7, "elsewhere")}
 
 
 def test_text_predicates_run_after_the_review_join(spark):
