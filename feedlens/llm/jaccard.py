@@ -20,7 +20,9 @@ that are needed to know the connected components, exactly:
    postings however large a group of near copies is.
 4. Groups that still meet in a list but lie in different components are
    expanded to their sets, filtered, paired and verified, so no link between
-   components is lost.
+   components is lost.  A group of several sets is a list of its own here,
+   whether it meets another group or not; in a large one a few more sets are
+   first paired with all others, so that few components are left to pair.
 
 Whole sets are built again only for documents that meet another in a list.
 """
@@ -48,6 +50,9 @@ COUNT_BITS = 20
 SEGMENT = 4096
 #: A posting list expected to be longer is split over several tasks first.
 LIST_ROWS = 200_000
+#: In a group with more sets in open components, so many further sets are
+#: paired with the whole group before the rest is paired.
+HEAD_SETS, HEAD_ROUNDS = 16, 3
 
 
 def _shingles(batches: Iterator[pa.RecordBatch], k: int):
@@ -225,16 +230,39 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, percent
             .select("a", "b"))
 
 
-def _cross_pairs(lists: DataFrame, nodes: DataFrame, components: DataFrame, done: DataFrame,
+def _new_pairs(pairs: DataFrame, done: DataFrame) -> DataFrame:
+    """Distinct pairs, smaller digest first, without those in ``done``."""
+    return (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            .join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+
+
+def _head_pairs(several: DataFrame, heads: DataFrame, components: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Next heads ``(grp, head)`` of the large groups that lie in several
+    components, and their pairs with the group's sets in other components."""
+    sets = (several.join(components.select(F.col("node").alias("sig"), "component"), "sig", "left")
+            .withColumn("component", F.coalesce("component", "sig")))
+    large = (sets.groupBy("grp").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y"))
+             .where("x <> y").where(F.col("size") > HEAD_SETS).select("grp"))
+    sets = materialize(sets.join(large, "grp", "left_semi"), "jaccard-open")
+    later = sets.join(heads, "grp").where("sig > head")
+    heads = materialize(later.groupBy("grp").agg(F.min(F.struct("sig", "component")).alias("h"))
+                        .select("grp", F.col("h.sig").alias("head"), F.col("h.component").alias("own")), "jaccard-heads")
+    pairs = sets.join(heads, "grp").where("component <> own").select(F.col("head").alias("a"), F.col("sig").alias("b"))
+    return heads.select("grp", "head"), pairs
+
+
+def _cross_pairs(lists: DataFrame, nodes: DataFrame, several: DataFrame, components: DataFrame, done: DataFrame,
                  percent: int) -> DataFrame:
-    """Pairs of sets that meet in a list, may link, lie in different
-    components and were not verified before."""
+    """Pairs of sets that meet in a list or a group, may link, lie in
+    different components and were not verified before."""
     # A list of two groups is settled by its one pair, unless a group holds
     # several sets; other lists are settled where all sets are in one component.
-    several = materialize(nodes.groupBy("grp").count().where("count > 1").select("grp"), "jaccard-several")
+    groups = materialize(several.groupBy("grp").agg(F.first("n").alias("n")), "jaccard-several")
+    several = groups.select("grp")
     with_several = materialize(lists.join(bounded(several), "grp", "left_semi").select("token").distinct(), "jaccard-tokens")
     rest = lists.where("entries <= 2 and parts = 1").join(bounded(with_several), "token", "left_semi")
     open_lists = lists.where("entries > 2 or parts > 1").unionByName(rest).select("token", "grp", "n", "pos").distinct()
+    open_lists = open_lists.unionByName(groups.select(F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos")))
     members = (open_lists.join(nodes.select("grp", "sig"), "grp")
                .join(components.select(F.col("node").alias("sig"), "component"), "sig", "left")
                .withColumn("component", F.coalesce("component", "sig")))
@@ -244,11 +272,10 @@ def _cross_pairs(lists: DataFrame, nodes: DataFrame, components: DataFrame, done
     members = members.join(mixed, "token", "left_semi")
     a = members.select("token", *(F.col(c).alias(f"a_{c}") for c in ("sig", "n", "pos", "component")))
     b = members.select("token", *(F.col(c).alias(f"b_{c}") for c in ("sig", "n", "pos", "component")))
-    return (a.join(b, "token")
-            .where("a_sig < b_sig and a_component <> b_component")
-            .where(_may_link("a_n", "a_pos", "b_n", "b_pos", percent))
-            .select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")).distinct()
-            .join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+    return _new_pairs(a.join(b, "token")
+                      .where("a_sig < b_sig and a_component <> b_component")
+                      .where(_may_link("a_n", "a_pos", "b_n", "b_pos", percent))
+                      .select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")), done)
 
 
 def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS,
@@ -267,7 +294,7 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS,
     prepare_tasks(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = materialize(document_sets(docs, shingle_counts(docs, k), k, percent), "jaccard-sets")
-    nodes = materialize(sets.where("n > 0").groupBy("grp", "sig").agg(F.min("doc_id").alias("doc")), "jaccard-nodes")
+    nodes = materialize(sets.where("n > 0").groupBy("grp", "sig").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")), "jaccard-nodes")
     lists = materialize(posting_lists(sets, percent), "jaccard-lists")
 
     first = nodes.groupBy("grp").agg(F.min("sig").alias("head"), F.max("sig").alias("tail"))
@@ -280,7 +307,19 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS,
     pairs = materialize(pairs.union(inside), "jaccard-star")
 
     links = materialize(_verify(docs, nodes, pairs, k, percent), "jaccard-links")
-    cross = materialize(_cross_pairs(lists, nodes, connected_components(links), pairs, percent), "jaccard-cross")
+    components = connected_components(links)
+    several = first.where("head <> tail")
+    heads = several.select("grp", "head")
+    several = materialize(nodes.join(several, "grp", "left_semi").select("grp", "sig", "n"), "jaccard-sets-of-groups")
+    for _ in range(HEAD_ROUNDS):
+        heads, more = _head_pairs(several, heads, components)
+        if heads.isEmpty():
+            break
+        more = materialize(_new_pairs(more, pairs), "jaccard-inside")
+        links = materialize(links.union(_verify(docs, nodes, more, k, percent)), "jaccard-links")
+        pairs = pairs.union(more)
+        components = connected_components(links)
+    cross = materialize(_cross_pairs(lists, nodes, several, components, pairs, percent), "jaccard-cross")
     links = links.union(_verify(docs, nodes, cross, k, percent))
     components = connected_components(links)
 

@@ -147,6 +147,29 @@ def test_jaccard_chains_of_near_copies(spark, monkeypatch):
     assert rows_of(jaccard.ngram_jaccard_components(df)) == brute_components(rows)
 
 
+@pytest.mark.parametrize("head_sets", [16, 2])
+def test_jaccard_links_inside_a_lone_group(spark, monkeypatch, head_sets):
+    import numpy as np
+
+    # A base and two copies, one edited near its start and one near its end:
+    # each copy links with the base (27 / 33) and not with the other (24 / 36).
+    # Where all three have one prefix and a copy has the smallest digest, the
+    # base's link with the other copy lies inside a group that meets no other.
+    monkeypatch.setattr(jaccard, "shingle_counts", lambda *a: np.zeros(2, np.int32))
+    monkeypatch.setattr(jaccard, "HEAD_SETS", head_sets)
+    rows, base_of = [], {}
+    for t in range(300):
+        base = [f"t{t}w{i}" for i in range(34)]
+        start, end = list(base), list(base)
+        start[2], end[-3] = "changed", "changed"
+        for j, text in enumerate((base, start, end)):
+            rows.append((3 * t + j, " ".join(text)))
+            base_of[3 * t + j] = 3 * t
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.ngram_jaccard_components(df).collect()}
+    assert found == base_of
+
+
 def test_jaccard_empty_table_and_stage(spark, empty, edge):
     assert jaccard.ngram_jaccard_components(empty).count() == 0
     kept = jaccard.keep_one_of_each(edge)
