@@ -33,7 +33,7 @@ def test_stages_take_edge_rows_and_empty_tables(spark, edge, empty):
 @pytest.mark.parametrize("key", sorted(queries.SQL))
 def test_oracle(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     df = queries.REGISTRY[key](spark, SF001)
     cols = sorted(df.columns)
