@@ -1,28 +1,21 @@
-"""Prompt batches for an external language model, and its responses
-(W2, L2, L4, T5, T6, T7, T8, T9).
+"""Prompt batches for an external language model, and the row sets of its
+payloads (W2, L2, L4, T5, T6, T9).
 
 Every review is sent, in batches of at most ``PACK_SIZE``; nothing is
-sampled away.  The completion function is pluggable and runs inside the
-executors (``mapInPandas``); the default is a deterministic lexicon
-function, so the whole chain runs without a network.
+sampled away.  The calls and their replies are in ``operators.replies``.
 """
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Callable, Iterator
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.dates import iso_string
-from feedlens.functions.lexicon import (FALLBACK_THEME, FALLBACK_THEME_ID, QUESTION_TERMS, QUESTIONS,
-                                        THEME_NAMES, THEME_TERMS)
-from feedlens.operators.ordering import number_within, top_k_within
+from feedlens.operators.ordering import lay_out, number_within, top_k_within
 from feedlens.operators.privacy import clean_reviews
-from feedlens.schemas import PAYLOAD
 
 PACK_SIZE = 35
 HEAD_SIZE = 35
@@ -39,12 +32,24 @@ INSTRUCTIONS = (
     "question_answers and weekly_note.\n---\n")
 
 
+def _order_keys() -> list[Column]:
+    """``newest_first`` as ascending longs with nulls first: the newest date
+    is the smallest key, a missing one the largest."""
+    age = F.coalesce(-F.unix_micros(F.col("date").cast("timestamp")), F.lit(2**63 - 1))
+    return [age, F.col("review_id")]
+
+
 def number_reviews(df: DataFrame, by=("source",), name: str = "rn") -> DataFrame:
-    """1-based position per group, newest first (ties by review id).
+    """``review_id, by, date`` and the 1-based position per group, newest
+    first (ties by review id).
+
+    Only these narrow columns are dealt, sorted and written
+    (``ordering.number_within``); no text is read or moved."""
+    narrow = df.select("review_id", *(c for c in by if c != "review_id"), "date")
+    return number_within(narrow, list(by), newest_first(), name=name)
+
 
-    Uses the range-partitioned numbering of ``ordering.number_within``:
-    a channel holding a third of the rows is spread over all tasks."""
-    return number_within(df, list(by), newest_first(), name=name)
+LINE_START = "Review #"
 
 
 def prompt_line(index: Column) -> Column:
@@ -53,18 +58,48 @@ def prompt_line(index: Column) -> Column:
     ``Review #i [Source: s | Rating: r/5 | Title: t | Date: d]:`` newline,
     the quoted text, a blank line.  Rating is left out when NULL or 0, the
     title when NULL or empty.  Input must already be masked."""
+    return F.concat(F.lit(LINE_START), index.cast("string"), line_rest())
+
+
+def line_rest() -> Column:
+    """What follows the number in a prompt line."""
     rating = F.when(F.coalesce(F.col("rating"), F.lit(0)) != 0,
                     F.concat(F.lit(" | Rating: "), F.col("rating").cast("string"), F.lit("/5")))
     title = F.when(F.length("title") > 0, F.concat(F.lit(" | Title: "), F.col("title")))
-    return F.concat(F.lit("Review #"), index.cast("string"), F.lit(" [Source: "), F.col("source"),
+    return F.concat(F.lit(" [Source: "), F.col("source"),
                     F.coalesce(rating, F.lit("")), F.coalesce(title, F.lit("")),
                     F.lit(" | Date: "), F.coalesce(iso_string("date"), F.lit("")),
                     F.lit(']:\n"'), F.coalesce(F.col("text"), F.lit("")), F.lit('"\n\n'))
 
 
-def prompt_lines(numbered: DataFrame, index_col: str = "rn") -> DataFrame:
-    return numbered.select("review_id", "source", index_col,
-                           prompt_line(F.col(index_col)).alias("line"))
+def _lines(rest: pa.Array, numbers: np.ndarray) -> pa.Array:
+    return pc.binary_join_element_wise(LINE_START, pc.cast(pa.array(numbers), pa.string()), rest, "")
+
+
+def _types(df: DataFrame, columns) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
+def _line_rows(clean: DataFrame, by: list[str]) -> DataFrame:
+    return clean.select("review_id", *by, "date", line_rest().alias("rest"))
+
+
+def prompt_lines(clean: DataFrame, by=("source",), name: str = "rn") -> DataFrame:
+    """T5 for all reviews: ``review_id, by, rn, line``.
+
+    ``clean`` holds masked reviews with unique ids (``sources.identity`` gives
+    them); reviews that share id and date are numbered in any order.  Each
+    text moves once, to the task that holds its number (``ordering.lay_out``)."""
+    by = list(by)
+
+    def each(batch: pa.RecordBatch, numbers: np.ndarray) -> pa.RecordBatch:
+        rest = batch.column(batch.schema.get_field_index("rest"))
+        kept = [batch.column(batch.schema.get_field_index(c)) for c in ("review_id", *by)]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(numbers), _lines(rest, numbers)], names=["review_id", *by, name, "line"])
+
+    rows = _line_rows(clean, by)
+    schema = f"{_types(rows, ['review_id', *by])}, `{name}` long, line string"
+    return lay_out(rows, by, _order_keys(), PACK_SIZE, each, schema)
 
 
 def assign_batches(numbered: DataFrame, size: int = PACK_SIZE) -> DataFrame:
@@ -74,16 +109,50 @@ def assign_batches(numbered: DataFrame, size: int = PACK_SIZE) -> DataFrame:
             .withColumn("review_index", (F.col("rn") - F.col("batch") * size).cast("int")))
 
 
-def pack_prompts(numbered: DataFrame, size: int = PACK_SIZE, by=("source",)) -> DataFrame:
+def pack_prompts(clean: DataFrame, size: int = PACK_SIZE, by=("source",)) -> DataFrame:
     """One prompt body per (group, batch) of at most ``size`` reviews,
-    in numbering order.  Groups are bounded by ``size`` so the ordered
-    collect is bounded too."""
+    in numbering order: ``by, batch, n_reviews, body``.
+
+    Texts move once: the tasks of ``ordering.lay_out`` start where batches
+    start, so each batch is joined in the task that holds its rows.  What
+    is said of ids at ``prompt_lines`` holds here, too."""
     by = list(by)
-    lines = assign_batches(numbered, size).select(
-        *by, "batch", "review_index", prompt_line(F.col("review_index")).alias("line"))
-    body = F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("review_index", "line"))), lambda x: x["line"]), "")
-    return lines.groupBy(*by, "batch").agg(F.count(F.lit(1)).alias("n_reviews"), body.alias("body"))
+
+    def each(batch: pa.RecordBatch, numbers: np.ndarray) -> pa.RecordBatch:
+        """Rows with their batch number and the line that numbers them inside it."""
+        rest = batch.column(batch.schema.get_field_index("rest"))
+        kept = [batch.column(batch.schema.get_field_index(c)) for c in by]
+        return pa.RecordBatch.from_arrays(
+            [*kept, pa.array((numbers - 1) // size), _lines(rest, (numbers - 1) % size + 1)], names=[*by, "batch", "line"])
+
+    def join(batches):
+        """Join the lines of equal (group, batch), which come one after another."""
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            keys = list(zip(*(rows[c].to_pylist() for c in (*by, "batch"))))
+            cut = len(keys)
+            while cut and keys[cut - 1] == keys[-1]:
+                cut -= 1
+            if cut:
+                yield joined(rows.slice(0, cut), keys[:cut])
+            held = rows.slice(cut)
+        if held is not None and held.num_rows:
+            yield joined(held, list(zip(*(held[c].to_pylist() for c in (*by, "batch")))))
+
+    def joined(rows: pa.Table, keys: list[tuple]) -> pa.RecordBatch:
+        starts = [j for j in range(len(keys)) if not j or keys[j] != keys[j - 1]]
+        offsets = np.array([*starts, len(keys)], np.int32)
+        lines = pa.ListArray.from_arrays(pa.array(offsets), rows["line"].combine_chunks())
+        kept = [rows[c].combine_chunks().take(pa.array(starts)) for c in (*by, "batch")]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(offsets).astype(np.int64)), pc.binary_join(lines, "")],
+                                          names=[*by, "batch", "n_reviews", "body"])
+
+    rows = _line_rows(clean, by)
+    groups = f"{_types(rows, by)}, " if by else ""
+    lines = lay_out(rows, by, _order_keys(), size, each, f"{groups}batch long, line string")
+    return lines.mapInArrow(join, f"{groups}batch long, n_reviews long, body string")
 
 
 def subsample_head(union: DataFrame, n: int = HEAD_SIZE) -> DataFrame:
@@ -122,130 +191,6 @@ def preview_head(df: DataFrame, k: int = PREVIEW_ROWS) -> DataFrame:
     return clean_reviews(df.orderBy("review_id").limit(k))
 
 
-# ---------------------------------------------------------------- completion
-
-_BLOCK_END = '"\n\n'
-_HEADER_END = re.compile(r" \| Date: [^\]\n]*\]:\n\"")
-
-
-def split_prompt(body: str) -> list[tuple[int, str]]:
-    """Recover ``(index, text)`` pairs from a packed prompt body."""
-    out: list[tuple[int, str]] = []
-    i = 1
-    start = body.find("Review #1 [")
-    while start >= 0:
-        nxt = body.find(f'{_BLOCK_END}Review #{i + 1} [', start)
-        end = nxt if nxt >= 0 else body.rfind(_BLOCK_END)
-        block = body[start:end]
-        m = _HEADER_END.search(block)
-        out.append((i, block[m.end():] if m else ""))
-        if nxt < 0:
-            break
-        start = nxt + len(_BLOCK_END)
-        i += 1
-    return out
-
-
-def _tokens(text: str) -> set[str]:
-    return set(re.split("[^a-z]+", text.lower()))
-
-
-def _best(tok: set[str], lexicon: dict) -> tuple[int, str | None]:
-    best_n, best_k = 0, None
-    for k in sorted(lexicon):
-        n = len(tok & set(lexicon[k]))
-        if n > best_n:
-            best_n, best_k = n, k
-    return best_n, best_k
-
-
-def lexicon_completion(prompt: str) -> str:
-    """Deterministic stand-in for a language model: themes by the lexicon
-    rule, counts for the answers, the first review of each top theme as its
-    quote.  Returns the payload JSON."""
-    body = prompt[len(INSTRUCTIONS):] if prompt.startswith(INSTRUCTIONS) else prompt
-    reviews = split_prompt(body)
-    n = len(reviews)
-    assign, first_text = [], {}
-    counts: dict[str, int] = {}
-    answers = {k: 0 for k, _ in QUESTIONS}
-    for idx, text in reviews:
-        tok = _tokens(text)
-        _, key = _best(tok, THEME_TERMS)
-        tid = key or FALLBACK_THEME_ID
-        assign.append({"review_index": idx, "theme_id": tid})
-        counts[tid] = counts.get(tid, 0) + 1
-        first_text.setdefault(tid, text)
-        for q, terms in QUESTION_TERMS.items():
-            if tok & set(terms):
-                answers[q] += 1
-    name = {k: v[0] for k, v in THEME_NAMES.items()}
-    top = sorted(counts, key=lambda t: (-counts[t], t))[:3]
-    payload = {
-        "themes": [{"id": k, "name": THEME_NAMES[k][0], "description": THEME_NAMES[k][1]}
-                   for k in sorted(counts) if k in THEME_NAMES],
-        "clustering": assign,
-        "question_answers": {k: f"{answers[k]} of {n} reviews" for k, _ in QUESTIONS},
-        "weekly_note": {
-            "top_themes": [{"rank": r + 1, "name": name.get(t, FALLBACK_THEME),
-                            "rationale": f"{counts[t]} of {n} reviews"} for r, t in enumerate(top)],
-            "user_quotes": [first_text[t] for t in top],
-            "action_ideas": [f"Review the {name.get(t, FALLBACK_THEME)} feedback" for t in top],
-        },
-    }
-    return json.dumps(payload, ensure_ascii=False)
-
-
-def annotate_batches(batches: DataFrame, complete: Callable[[str], str] = lexicon_completion,
-                     keys=("source", "batch"), instructions: str = INSTRUCTIONS,
-                     materialize: bool = True) -> DataFrame:
-    """Apply ``complete(prompt) -> response`` to every batch inside the
-    executors.  Batches are spread by hash of their keys first, so the
-    calls run in parallel across the cluster; Arrow carries the rows.
-
-    A model call is slow, metered and not repeatable, so by default the
-    responses are written once (a reliable checkpoint in the shared folder):
-    every later branch reads them, and a lost executor never re-issues
-    calls that already returned."""
-    from feedlens.session import checkpoint_root, ship_package
-
-    ship_package(batches.sparkSession)
-    keys = list(keys)
-    schema = ", ".join(f"{k} {batches.schema[k].dataType.simpleString()}" for k in keys) + \
-        ", response string"
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            resp = [complete(instructions + b) for b in pdf["body"]]
-            out = pdf[keys].copy()
-            out["response"] = resp
-            yield out
-
-    out = batches.select(*keys, "body").repartition(*keys).mapInPandas(run, schema)
-    if materialize:
-        checkpoint_root(out.sparkSession)
-        out = out.checkpoint(eager=True)
-    return out
-
-
-_PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-
-
-def parse_responses(df: DataFrame, col: str = "response") -> DataFrame:
-    """Parse the response JSON; if that fails, parse the outermost
-    ``{...}`` block (DOTALL) instead; otherwise mark the row rejected.
-    Adds ``payload`` (struct) and ``status`` (ok | recovered | rejected)."""
-    a = F.from_json(F.col(col), PAYLOAD, _PARSE_OPTS)
-    b = F.from_json(F.regexp_extract(F.col(col), r"(?s)\{.*\}", 0), PAYLOAD, _PARSE_OPTS)
-
-    def good(p):
-        return p.isNotNull() & p["_corrupt"].isNull() & p["themes"].isNotNull()
-
-    payload = F.when(good(a), a).when(good(b), b)
-    status = F.when(good(a), "ok").when(good(b), "recovered").otherwise("rejected")
-    return df.withColumn("payload", payload).withColumn("status", status)
-
-
 def explode_payload(parsed: DataFrame, keys=("source", "batch")) -> dict[str, DataFrame]:
     """Flatten parsed payloads to their row sets (0-based ``pos`` keeps
     the order given in the payload)."""

@@ -13,13 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.functions.dates import iso_string
-from feedlens.operators import ingest, metrics, privacy, prompts, reports, search, themes
-from feedlens.plans.params import (FAIR_K, FEED_PAGE_SIZE, HEAD_SIZE, NEWEST_N, PACK_SIZE, QUOTE_K, RESAMPLE_RATE,
-                                   RESAMPLE_SEED, SEARCH_PATTERN, STRAY_EVERY, TOP_K, WEEKS)
+from feedlens.functions.dates import iso_string, parse_date
+from feedlens.operators import ingest, metrics, privacy, prompts, replies, reports, search, themes
+from feedlens.plans.params import (CONTEXT_CHARS, CUT_REPLY, FAIR_K, FEED_PAGE_SIZE, FENCED_REPLY, HEAD_SIZE, NEWEST_N,
+                                   PACK_SIZE, QUOTE_K, REFUSAL, REFUSED_REPLY, REPLY_CYCLE, RESAMPLE_RATE, RESAMPLE_SEED,
+                                   SEARCH_PATTERN, STRAY_EVERY, TOP_K, WEEKS)
 from feedlens.operators.ordering import number_within
 from feedlens.session import ensure_utc, scratch_path
-from feedlens.sources import readers, sinks, tables
+from feedlens.sources import identity, readers, sinks, tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -109,7 +110,7 @@ def q_drop_unparseable_dates(spark, sf):
 def q_source_window_counts(spark, sf):
     r = _reviews(spark, sf)
     as_of = _asof(r)
-    parsed = _dump(spark, sf).withColumn("date", F.try_to_timestamp("date_raw").cast("timestamp_ntz"))
+    parsed = _dump(spark, sf).withColumn("date", parse_date("date_raw"))
     return ingest.source_window_counts(parsed, as_of, WEEKS)
 
 
@@ -271,33 +272,84 @@ def channel_overview(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- prompts
 
-def _numbered(spark, sf) -> DataFrame:
-    return prompts.number_reviews(_clean(spark, sf))
-
-
-def _batches(spark, sf):
-    numbered = _numbered(spark, sf)
-    return numbered, prompts.pack_prompts(numbered, PACK_SIZE)
-
-
-def _parsed(spark, sf):
-    numbered, batches = _batches(spark, sf)
-    return numbered, prompts.parse_responses(prompts.annotate_batches(batches))
+def _batched(spark, sf) -> DataFrame:
+    """Place of every review in the prompts: narrow rows, no text."""
+    return prompts.assign_batches(prompts.number_reviews(_clean(spark, sf)))
+
+
+def _reply_texts(spark, sf) -> DataFrame:
+    """``source, batch, response``: what the reviews of a batch are answered with,
+    put together from their themes; by its number a batch's reply comes
+    inside a code fence, cut off, or as a refusal, as models send them."""
+    from feedlens.functions.lexicon import FALLBACK_THEME_ID, QUESTION_TERMS, QUESTIONS, THEME_NAMES
+    keys = ["source", "batch"]
+    themed = themes.assign_themes(_clean(spark, sf), questions=QUESTION_TERMS)
+    place = _batched(spark, sf).select(F.col("review_id").alias("_id"), "batch", "review_index")
+    rows = themed.join(place, themed["review_id"] == place["_id"])
+    per_theme = rows.groupBy(*keys, "theme_id", "theme").agg(
+        F.count("*").alias("n"), F.min_by("text", "review_index").alias("quote"),
+        F.collect_list(F.struct("review_index", "theme_id")).alias("assigned"),
+        *(F.count_if(F.array_contains(F.transform("q_scores", lambda x: x["question_key"]), q)).alias(q) for q, _ in QUESTIONS))
+    described = F.create_map(*(x for k, v in sorted(THEME_NAMES.items()) for x in (F.lit(k), F.lit(v[1]))))
+    theme = F.when(F.col("theme_id") != FALLBACK_THEME_ID, F.struct(
+        F.col("theme_id").alias("id"), F.col("theme").alias("name"), described[F.col("theme_id")].alias("description")))
+    # A batch has as many rows as a prompt at most, so its lists are short.
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "theme_id", "theme", "quote")))
+    batch = per_theme.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.array_sort(F.collect_list(theme)).alias("themes"),
+        F.array_sort(F.flatten(F.collect_list("assigned"))).alias("clustering"), F.slice(ranked, 1, 3).alias("top"),
+        *(F.sum(q).alias(q) for q, _ in QUESTIONS))
+    total = F.col("n").cast("string")
+    answers = F.create_map(*(x for q, _ in QUESTIONS for x in (
+        F.lit(q), F.concat(F.col(q).cast("string"), F.lit(" of "), total, F.lit(" reviews")))))
+    note = F.struct(
+        F.transform("top", lambda t, i: F.struct(
+            (i + 1).alias("rank"), t["theme"].alias("name"),
+            F.concat((-t["neg"]).cast("string"), F.lit(" of "), total, F.lit(" reviews")).alias("rationale"))).alias("top_themes"),
+        F.transform("top", lambda t: t["quote"]).alias("user_quotes"),
+        F.transform("top", lambda t: F.concat(F.lit("Review the "), t["theme"], F.lit(" feedback"))).alias("action_ideas"))
+    reply = F.to_json(F.struct("themes", "clustering", answers.alias("question_answers"), note.alias("weekly_note")))
+    sent = batch.select(*keys, reply.alias("reply"))
+    fenced = F.concat(F.lit("Here is the analysis:\n```json\n"), "reply", F.lit("\n```\nAnything else?"))
+    cut = F.substring("reply", F.lit(1), F.floor(F.length("reply") / 2).cast("int"))
+    return sent.select(*keys, F.when(F.col("batch") % REPLY_CYCLE == FENCED_REPLY, fenced)
+                       .when(F.col("batch") % REPLY_CYCLE == REFUSED_REPLY, F.lit(REFUSAL))
+                       .when(F.col("batch") % REPLY_CYCLE == CUT_REPLY, cut).otherwise(F.col("reply")).alias("response"))
+
+
+def _parsed(spark, sf) -> DataFrame:
+    """The replies as they land (JSON lines), read and parsed."""
+    path = scratch_path(spark, "replies")
+    _reply_texts(spark, sf).write.json(path)
+    return replies.parse_responses(readers.scan_replies(spark, path))
 
 
 @register("number_reviews")
 def q_number_reviews(spark, sf):
-    return _numbered(spark, sf).select("review_id", "source", "date", "rn")
+    return prompts.number_reviews(_clean(spark, sf))
 
 
 @register("prompt_lines")
 def q_prompt_lines(spark, sf):
-    return prompts.prompt_lines(_numbered(spark, sf))
+    return prompts.prompt_lines(_clean(spark, sf))
 
 
 @register("pack_prompts")
 def q_pack_prompts(spark, sf):
-    return _batches(spark, sf)[1]
+    return prompts.pack_prompts(_clean(spark, sf), PACK_SIZE)
+
+
+def measure_prompt(prompt: str) -> str:
+    """A provider's size limit: the prompt's length, or an error beyond ``CONTEXT_CHARS``."""
+    if len(prompt) > CONTEXT_CHARS:
+        raise ValueError(f"{len(prompt)} characters are more than {CONTEXT_CHARS}")
+    return f'{{"characters": {len(prompt)}}}'
+
+
+@register("annotate_batches")
+def q_annotate_batches(spark, sf):
+    store = replies.ReplyStore(spark, scratch_path(spark, "reply-store"))
+    return replies.annotate_batches(prompts.pack_prompts(_clean(spark, sf), PACK_SIZE), measure_prompt, store)
 
 
 @register("subsample_head")
@@ -313,22 +365,26 @@ def q_preview_head(spark, sf):
 
 @register("parse_responses")
 def q_parse_responses(spark, sf):
-    parsed = _parsed(spark, sf)[1]
-    return parsed.select("source", "batch", "status",
-                         F.size(F.col("payload.themes")).cast("bigint").alias("n_themes"),
-                         F.size(F.col("payload.clustering")).cast("bigint").alias("n_assignments"))
+    return _parsed(spark, sf).select("source", "batch", "status",
+                                     F.size(F.col("payload.themes")).cast("bigint").alias("n_themes"),
+                                     F.size(F.col("payload.clustering")).cast("bigint").alias("n_assignments"))
+
+
+@register("reply_quarantine")
+def q_reply_quarantine(spark, sf):
+    return replies.quarantine(_parsed(spark, sf)).select(
+        "source", "batch", "reason", F.substring("response", 1, 10).alias("starts_with"))
 
 
 @register("explode_payload")
 def q_explode_payload(spark, sf):
-    return prompts.payload_rows(prompts.explode_payload(_parsed(spark, sf)[1]))
+    return prompts.payload_rows(prompts.explode_payload(_parsed(spark, sf)))
 
 
 @register("theme_back_join")
 def q_theme_back_join(spark, sf):
-    numbered, parsed = _parsed(spark, sf)
-    parts = prompts.explode_payload(parsed)
-    pos = prompts.assign_batches(numbered).select("source", "batch", "review_index", "review_id")
+    parts = prompts.explode_payload(_parsed(spark, sf))
+    pos = _batched(spark, sf).select("source", "batch", "review_index", "review_id")
     return themes.theme_back_join(pos, parts["assignments"], parts["themes"])
 
 
@@ -362,27 +418,44 @@ def q_first_wins_dedupe(spark, sf):
 @register("scan_reviews_json")
 def q_scan_reviews_json(spark, sf):
     path = scratch_path(spark, "reviews-json")
-    dump = _dump(spark, sf).select("review_id", "source", F.col("rating").cast("string").alias("rating"),
+    dump = _dump(spark, sf).select(F.col("review_id").cast("string").alias("review_id"), "source", F.col("rating").cast("string").alias("rating"),
                                    "title", "text", F.col("date_raw").alias("date"))
     dump.write.mode("overwrite").json(path)
     return readers.scan_reviews_json(spark, path, multi_line=False)
 
 
-def _feed_pages(spark, sf) -> DataFrame:
+@register("review_identity")
+def q_review_identity(spark, sf):
+    """Dump rows with the ids that channels give (a prefix and a number, a
+    number, or none); rows with the best rating landed twice."""
+    number = F.col("review_id").cast("string")
+    native = F.when(F.col("source") == "reddit", F.concat(F.lit("t3_"), number)).when(F.col("source") == "appstore", number)
+    twice = F.when(F.col("rating") == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = _dump(spark, sf).withColumn("copy", F.explode(twice)).select(
+        native.alias("review_id"), "source", F.col("date_raw").alias("date"), "title", "text")
+    return identity.with_review_key(rows).select("review_key", "review_id", "source")
+
+
+def _feed_pages(spark, sf, faulty: bool = False) -> DataFrame:
     """App-store rows as the feed serves them: pages of 50 entries, newest
-    first, each page one JSON body."""
+    first, each page one JSON body; with ``faulty`` entries of the worst rating
+    have a date that is not ISO."""
     app = _reviews(spark, sf).where(F.col("source") == "appstore")
     numbered = number_within(app, [], [F.col("date").desc(), F.col("review_id")], name="rn")
+    updated = iso_string("date")
+    if faulty:
+        updated = F.when(F.col("rating") == 1, F.date_format("date", "MMMM dd, yyyy")).otherwise(updated)
     entry = F.struct(
         F.struct(F.col("review_id").cast("string").alias("label")).alias("id"),
-        F.struct(iso_string("date").alias("label")).alias("updated"),
+        F.struct(updated.alias("label")).alias("updated"),
         F.struct(F.col("rating").cast("string").alias("label")).alias("im:rating"),
         F.struct(F.col("title").alias("label")).alias("title"),
         F.struct(F.col("text").alias("label")).alias("content"))
     page = (F.floor((F.col("rn") - 1) / F.lit(FEED_PAGE_SIZE)) + 1).cast("bigint")
-    return (numbered.select(page.alias("page"), entry.alias("entry"))
+    return (numbered.select(page.alias("page"), "rn", entry.alias("entry"))
             .groupBy("page")
-            .agg(F.to_json(F.struct(F.struct(F.collect_list("entry").alias("entry")).alias("feed")))
+            .agg(F.to_json(F.struct(F.struct(F.transform(
+                F.array_sort(F.collect_list(F.struct("rn", "entry"))), lambda x: x["entry"]).alias("entry")).alias("feed")))
                  .alias("body")))
 
 
@@ -391,12 +464,18 @@ def q_scan_appstore_feed(spark, sf):
     return readers.scan_appstore_feed(_feed_pages(spark, sf))
 
 
+@register("scan_appstore_feed_rejects")
+def q_scan_appstore_feed_rejects(spark, sf):
+    rejects = readers.scan_appstore_feed_rejects(_feed_pages(spark, sf, faulty=True))
+    return rejects.select("page", "position", "reason", F.get_json_object("record", "$.id.label").alias("native_id"))
+
+
 @register("scan_playstore")
 def q_scan_playstore(spark, sf):
     path = scratch_path(spark, "playstore")
     recs = _reviews(spark, sf).where(F.col("source") == "playstore").select(
-        "review_id", F.col("rating").alias("score"), F.col("text").alias("content"),
-        F.col("date").alias("at"))
+        F.col("review_id").cast("string").alias("review_id"), F.col("rating").alias("score"),
+        F.col("text").alias("content"), F.col("date").alias("at"))
     recs.write.mode("overwrite").parquet(path)
     return readers.scan_playstore(spark, path)
 
@@ -426,7 +505,7 @@ def q_scan_labelled_reviews(spark, sf):
 
 
 def _payload_themes(spark, sf) -> DataFrame:
-    parts = prompts.explode_payload(_parsed(spark, sf)[1])
+    parts = prompts.explode_payload(_parsed(spark, sf))
     return parts["themes"].select(F.col("id").alias("theme_id"), "name", "description").distinct()
 
 
@@ -532,7 +611,6 @@ def _raw_dates(spark, sf) -> DataFrame:
 
 @register("parse_dates")
 def q_parse_dates(spark, sf):
-    from feedlens.functions.dates import parse_date
     return _raw_dates(spark, sf).withColumn("date", parse_date("date_raw"))
 
 

@@ -11,8 +11,10 @@ from feedlens.functions.lexicon import (FALLBACK_THEME, FALLBACK_THEME_ID, NO_AN
                                         QUESTION_TERMS, QUESTIONS, THEME_NAMES, THEME_TERMS)
 from feedlens.functions.text import EMAIL_PATTERN, PHONE_PATTERN
 from feedlens.operators.reports import FALLBACK_ACTIONS
-from feedlens.plans.params import (FEED_PAGE_SIZE, NEWEST_N, PACK_SIZE, QUOTE_K, RESAMPLE_RATE, RESAMPLE_SEED,
-                                   SEARCH_PATTERN, STRAY_EVERY, TOP_K, WEEKS)
+from feedlens.operators.prompts import INSTRUCTIONS
+from feedlens.plans.params import (CONTEXT_CHARS, CUT_REPLY, FEED_PAGE_SIZE, FENCED_REPLY, NEWEST_N, PACK_SIZE, QUOTE_K,
+                                   REFUSAL, REFUSED_REPLY, REPLY_CYCLE, RESAMPLE_RATE, RESAMPLE_SEED, SEARCH_PATTERN,
+                                   STRAY_EVERY, TOP_K, WEEKS)
 
 
 def q(s: str) -> str:
@@ -322,11 +324,24 @@ WHERE rank <= 7"""
 
 SQL["preview_head"] = with_(REVIEWS, CLEAN) + "SELECT * FROM clean ORDER BY review_id LIMIT 3"
 
-# The default completion function, spelled out relationally: its themes,
-# assignments, answers and note per (source, batch).
+SQL["annotate_batches"] = with_(REVIEWS, CLEAN, NUMBERED, BATCHED) + f"""
+, sent AS (
+  SELECT source, batch, {q(INSTRUCTIONS)} || string_agg({line_sql('review_index')}, '' ORDER BY review_index) AS prompt
+  FROM batched GROUP BY source, batch)
+SELECT source, batch, sha256(prompt) AS prompt_sha256,
+       CASE WHEN length(prompt) <= {CONTEXT_CHARS} THEN '{{"characters": ' || length(prompt) || '}}' END AS response,
+       CASE WHEN length(prompt) > {CONTEXT_CHARS}
+            THEN 'ValueError: ' || length(prompt) || ' characters are more than {CONTEXT_CHARS}' END AS error,
+       CAST(1 AS INT) AS attempts
+FROM sent"""
+
+# The replies' payloads, spelled out relationally: themes, assignments,
+# answers and note per (source, batch) whose reply can be read.
+_PLACE = f"batch % {REPLY_CYCLE}"
+READABLE = f"{_PLACE} NOT IN ({REFUSED_REPLY}, {CUT_REPLY})"
 BATCH_THEMES = f"""bt AS (
   SELECT b.source, b.batch, b.review_index, b.text, t.theme_id, {_name_case('t.theme_id')} AS theme_name
-  FROM batched b JOIN themed t USING (review_id)),
+  FROM batched b JOIN themed t USING (review_id) WHERE b.{READABLE}),
 bn AS (SELECT source, batch, count(*) AS n FROM bt GROUP BY ALL),
 bc AS (
   SELECT source, batch, theme_id, any_value(theme_name) AS theme_name, count(*) AS c,
@@ -346,11 +361,18 @@ _QKEYS = ", ".join(f"({q(k)})" for k, _ in QUESTIONS)
 PARSED_CTES = with_(REVIEWS, CLEAN, THEMED, NUMBERED, BATCHED, BATCH_THEMES)
 
 SQL["parse_responses"] = PARSED_CTES + f"""
-SELECT bn.source, bn.batch, 'ok' AS status,
+SELECT bn.source, bn.batch, CASE WHEN bn.{_PLACE} = {FENCED_REPLY} THEN 'recovered' ELSE 'ok' END AS status,
   CAST((SELECT count(*) FROM bc WHERE bc.source = bn.source AND bc.batch = bn.batch
         AND bc.theme_id <> {q(FALLBACK_THEME_ID)}) AS BIGINT) AS n_themes,
   CAST(bn.n AS BIGINT) AS n_assignments
-FROM bn"""
+FROM bn
+UNION ALL
+SELECT DISTINCT source, batch, 'rejected', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM batched WHERE NOT ({READABLE})"""
+
+SQL["reply_quarantine"] = PARSED_CTES + f"""
+SELECT DISTINCT source, batch, CASE WHEN {_PLACE} = {CUT_REPLY} THEN 'broken JSON' ELSE 'no JSON object' END AS reason,
+  CASE WHEN {_PLACE} = {CUT_REPLY} THEN '{{"themes":' ELSE {q(REFUSAL[:10])} END AS starts_with
+FROM batched WHERE NOT ({READABLE})"""
 
 SQL["explode_payload"] = PARSED_CTES + f"""
 SELECT 'theme' AS kind, source, batch,
@@ -373,8 +395,9 @@ UNION ALL
 SELECT 'action', source, batch, CAST(r - 1 AS BIGINT), NULL, 'Review the ' || theme_name || ' feedback'
 FROM btop"""
 
-SQL["theme_back_join"] = PARSED_CTES + """
-SELECT b.source, b.batch, b.review_index, b.review_id, t.theme_id, """ + _name_case("t.theme_id") + """ AS theme
+SQL["theme_back_join"] = PARSED_CTES + f"""
+SELECT b.source, b.batch, b.review_index, b.review_id, CASE WHEN {READABLE} THEN t.theme_id END AS theme_id,
+       CASE WHEN {READABLE} THEN {_name_case("t.theme_id")} ELSE {q(FALLBACK_THEME)} END AS theme
 FROM batched b JOIN themed t USING (review_id)"""
 
 # ---------------------------------------------------------------- reports
@@ -481,16 +504,36 @@ WHERE item NOT IN (SELECT item FROM firsts)"""
 
 # ---------------------------------------------------------------- sources and sinks
 
-SQL["scan_reviews_json"] = BASE + "SELECT * FROM reviews WHERE source <> 'linkedin'"
+# The channels' own ids are strings.
+NATIVE = "* REPLACE (CAST(review_id AS VARCHAR) AS review_id)"
+
+SQL["scan_reviews_json"] = BASE + f"SELECT {NATIVE} FROM reviews WHERE source <> 'linkedin'"
+
+_PART = "length(coalesce({0}, '')) || ':' || coalesce({0}, '')"
+SQL["review_identity"] = with_(REVIEWS, DUMP) + f"""
+, landed AS (
+  SELECT CASE source WHEN 'reddit' THEN 't3_' || review_id WHEN 'appstore' THEN CAST(review_id AS VARCHAR) END AS review_id,
+         source, date_raw, title, text
+  FROM dump, unnest(CASE WHEN rating = 5 THEN [1, 2] ELSE [1] END) AS c(copy)),
+keyed AS (
+  SELECT *, source || '/' || coalesce(review_id, '#' || sha256({_PART.format('date_raw')} || {_PART.format('title')}
+            || {_PART.format('text')})) AS base FROM landed)
+SELECT base || '#' || row_number() OVER (PARTITION BY base) AS review_key, review_id, source FROM keyed"""
 
 SQL["scan_appstore_feed"] = BASE + """
-SELECT review_id, CAST((row_number() OVER (ORDER BY date DESC, review_id) - 1) // 50 + 1 AS BIGINT) AS page,
-       'appstore' AS source, coalesce(rating, 0) AS rating, coalesce(title, '') AS title,
-       coalesce(text, '') AS text, date
+SELECT CAST(review_id AS VARCHAR) AS review_id,
+       CAST((row_number() OVER (ORDER BY date DESC, review_id) - 1) // 50 + 1 AS BIGINT) AS page,
+       'appstore' AS source, rating, coalesce(title, '') AS title, coalesce(text, '') AS text, date
 FROM reviews WHERE source = 'appstore'"""
 
+SQL["scan_appstore_feed_rejects"] = BASE + f"""
+SELECT CAST((rn - 1) // {FEED_PAGE_SIZE} + 1 AS BIGINT) AS page, CAST((rn - 1) % {FEED_PAGE_SIZE} AS INT) AS position,
+       'no ISO date' AS reason, CAST(review_id AS VARCHAR) AS native_id
+FROM (SELECT *, row_number() OVER (ORDER BY date DESC, review_id) AS rn FROM reviews WHERE source = 'appstore')
+WHERE rating = 1"""
+
 SQL["scan_playstore"] = BASE + """
-SELECT review_id, 'playstore' AS source, rating, CAST(NULL AS VARCHAR) AS title, text, date
+SELECT CAST(review_id AS VARCHAR) AS review_id, 'playstore' AS source, rating, CAST(NULL AS VARCHAR) AS title, text, date
 FROM reviews WHERE source = 'playstore'"""
 
 SQL["sink_reviews_json"] = BASE_THEMED + """
@@ -500,7 +543,7 @@ SQL["scan_labelled_reviews"] = SQL["sink_reviews_json"]
 
 PAYLOAD_THEMES = f"""pthemes AS (
   SELECT DISTINCT theme_id, {_name_case('theme_id')} AS name FROM batched b JOIN themed t USING (review_id)
-  WHERE theme_id <> {q(FALLBACK_THEME_ID)})"""
+  WHERE theme_id <> {q(FALLBACK_THEME_ID)} AND {READABLE})"""
 
 _DESC_CASE = "CASE theme_id " + " ".join(
     f"WHEN {q(k)} THEN {q(v[1])}" for k, v in sorted(THEME_NAMES.items())) + " END"
@@ -552,7 +595,7 @@ WHERE source = 'reddit'
 # ---------------------------------------------------------------- projections
 
 SQL["normalize_reviews"] = BASE + """
-SELECT review_id, source, CASE WHEN source = 'appstore' THEN coalesce(rating, 0) ELSE rating END AS rating,
+SELECT CAST(review_id AS VARCHAR) AS review_id, source, rating,
        CASE WHEN source = 'playstore' THEN NULL WHEN source = 'appstore' THEN coalesce(title, '')
             ELSE title END AS title,
        text, date

@@ -16,3 +16,9 @@ PACK_SIZE = 35
 HEAD_SIZE = 35
 FAIR_K = 7
 SEARCH_PATTERN = "ver(y|s)|email"
+# Characters that the size limit of the measuring call allows.
+CONTEXT_CHARS = 48_000
+# Of every REPLY_CYCLE batches the reply of one comes fenced, of one as a
+# refusal and of one cut off.
+REPLY_CYCLE, FENCED_REPLY, REFUSED_REPLY, CUT_REPLY = 6, 2, 3, 4
+REFUSAL = "Sorry, I cannot help with that."

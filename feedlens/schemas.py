@@ -4,20 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Canonical review row.  ``review_id`` replaces list position as identity.
-REVIEW = T.StructType([
-    T.StructField("review_id", T.LongType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("rating", T.IntegerType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("text", T.StringType()),
-    T.StructField("date", T.TimestampNTZType()),
-])
-
-# Review as it lands in a JSON dump: dates are ISO-8601 strings, ratings may
-# be anything (they are coerced with try_cast).
+# Review as it lands in a JSON dump: every field is text.  Ids are the channels'
+# own, dates ISO-8601, ratings may be anything (they are coerced with try_cast).
 REVIEW_RAW = T.StructType([
-    T.StructField("review_id", T.LongType()),
+    T.StructField("review_id", T.StringType()),
     T.StructField("source", T.StringType()),
     T.StructField("rating", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -29,16 +19,16 @@ _LABEL = T.StructType([T.StructField("label", T.StringType())])
 
 # One app-store feed entry; every leaf is a string label.
 FEED_ENTRY = T.StructType([
+    T.StructField("id", _LABEL),
     T.StructField("updated", _LABEL),
     T.StructField("im:rating", _LABEL),
     T.StructField("title", _LABEL),
     T.StructField("content", _LABEL),
 ])
-FEED_ENTRIES = T.ArrayType(FEED_ENTRY)
 
 # Play-store export record.
 PLAYSTORE = T.StructType([
-    T.StructField("review_id", T.LongType()),
+    T.StructField("review_id", T.StringType()),
     T.StructField("score", T.IntegerType()),
     T.StructField("content", T.StringType()),
     T.StructField("at", T.TimestampNTZType()),

@@ -49,6 +49,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 CORRUPT = "_corrupt"
+#: Reasons of rejects.
+NOT_JSON, NO_DATE, NO_LIST, NO_ENTRY = "not JSON", "no ISO date", "entry is no list", "not an entry"
 
 
 def _raw_reviews(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
@@ -63,18 +65,25 @@ def _raw_reviews(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
 
 def scan_reviews_json(spark: SparkSession, path: str, *, multi_line: bool) -> DataFrame:
     """Reviews from a JSON dump: JSON lines, or with ``multi_line`` files
-    that hold one array.  Ratings are coerced, dates parsed; records that are
-    not JSON and rows whose date does not parse are left out (see
-    ``scan_reviews_json_rejects``).  A missing dump gives no rows.
+    that hold one array.  Ids are strings (null for none), ratings are coerced,
+    dates parsed.  Every record is either here or, if it is not JSON or its date
+    does not parse, in ``scan_reviews_json_rejects``.  A missing dump gives
+    no rows.  ``identity.with_review_key`` gives each row a key of its own.
     """
-    return normalize_raw(_raw_reviews(spark, path, multi_line)).where(F.col("date").isNotNull())
+    raw = _raw_reviews(spark, path, multi_line)
+    return normalize_raw(raw.where(_raw_reject().isNull()).drop(CORRUPT))
+
+
+def _raw_reject():
+    """Why a record of a dump is rejected; null if it is not."""
+    return F.when(F.col(CORRUPT).isNotNull(), NOT_JSON).when(parse_date("date").isNull(), NO_DATE)
 
 
 def scan_reviews_json_rejects(spark: SparkSession, path: str, *, multi_line: bool) -> DataFrame:
     """``reason, record``: every record that ``scan_reviews_json`` leaves out,
     as it came (the text, or the row as JSON)."""
     raw = _raw_reviews(spark, path, multi_line)
-    reason = F.when(F.col(CORRUPT).isNotNull(), "not JSON").when(parse_date("date").isNull(), "no ISO date")
+    reason = _raw_reject()
     record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*REVIEW_RAW.fieldNames())))
     return raw.select(reason.alias("reason"), record.alias("record")).where("reason is not null")
 
@@ -82,18 +91,19 @@ def scan_reviews_json_rejects(spark: SparkSession, path: str, *, multi_line: boo
 def normalize_reviews(play: DataFrame | None = None, app: DataFrame | None = None,
                       social: DataFrame | None = None) -> DataFrame:
     """Bring every landing shape to the canonical review columns and
-    union them (bag semantics).
+    union them (bag semantics).  ``review_id`` is the channel's own, a string.
 
     play:   store export records ``review_id, score, content, at``
     app:    feed page bodies ``page, body``
     social: string-typed dump rows (``REVIEW_RAW``)
+
+    Ratings are coerced in every shape, and rows without a date that parses
+    stay out (the readers' reject outputs hold them).
     """
     cols = ["review_id", "source", "rating", "title", "text", "date"]
     parts = []
     if play is not None:
-        parts.append(play.select("review_id", F.lit("playstore").alias("source"),
-                                 F.col("score").alias("rating"), F.lit(None).cast("string").alias("title"),
-                                 F.col("content").alias("text"), F.col("at").alias("date")))
+        parts.append(normalize_playstore(play))
     if app is not None:
         parts.append(scan_appstore_feed(app).select(*cols))
     if social is not None:
@@ -101,13 +111,13 @@ def normalize_reviews(play: DataFrame | None = None, app: DataFrame | None = Non
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.where(F.col("date").isNotNull())
 
 
 def normalize_raw(raw: DataFrame) -> DataFrame:
     """P1 for string-typed landing rows: the canonical six columns."""
     return raw.select(
-        F.col("review_id").cast("bigint").alias("review_id"),
+        F.col("review_id").cast("string").alias("review_id"),
         F.col("source"),
         coerce_rating("rating").alias("rating"),
         F.col("title"),
@@ -116,38 +126,67 @@ def normalize_raw(raw: DataFrame) -> DataFrame:
     )
 
 
-FEED_ENTRY_WITH_ID = T.StructType(FEED_ENTRY.fields + [
-    T.StructField("id", T.StructType([T.StructField("label", T.StringType())]))])
+def normalize_playstore(records: DataFrame) -> DataFrame:
+    """P1 for store export records: no title, source 'playstore'; the naive
+    time is read as UTC."""
+    return records.select(F.col("review_id").cast("string").alias("review_id"), F.lit("playstore").alias("source"),
+                          coerce_rating("score").alias("rating"), F.lit(None).cast("string").alias("title"),
+                          F.col("content").alias("text"), F.col("at").alias("date"))
+
+
+def feed_entries(pages: DataFrame, body_col: str = "body", keep=("page",)) -> DataFrame:
+    """``keep, position, record, reason, e``: every entry of the feed pages (one
+    JSON body per row) as it came, with its place on the page from 0, why it is
+    rejected (null if it is not), and its fields.
+
+    ``feed.entry`` may be a list or a single object.  A page that is not JSON,
+    or whose ``feed.entry`` is neither, is one row without a position; a page
+    without entries gives none."""
+    body = F.col(body_col)
+    listed = F.get_json_object(body, "$.feed.entry")
+    listed = F.when(listed.startswith("{"), F.concat(F.lit("["), listed, F.lit("]"))).otherwise(listed)
+    read = pages.select(*keep, body.alias("_body"), listed.alias("_listed"))
+    read = read.withColumn("_entries", F.from_json("_listed", T.ArrayType(T.StringType())))
+    page_reason = (F.when(F.col("_entries").isNotNull(), None).when(F.col("_listed").isNotNull(), NO_LIST)
+                   .when(F.try_parse_json("_body").isNull(), NOT_JSON))
+    rows = read.select(*keep, "_body", page_reason.alias("_page_reason"), F.posexplode_outer("_entries").alias("position", "_raw"))
+    rows = rows.where(F.col("position").isNotNull() | F.col("_page_reason").isNotNull())
+    entry = F.from_json("_raw", FEED_ENTRY)
+    rows = rows.select(*keep, "position", F.coalesce("_raw", F.when(F.col("_page_reason").isNotNull(), F.col("_body"))).alias("record"),
+                       "_page_reason", F.when(F.col("_raw").startswith("{"), entry).alias("e"))
+    reason = (F.when(F.col("_page_reason").isNotNull(), F.col("_page_reason")).when(F.col("e").isNull(), NO_ENTRY)
+              .when(parse_date(F.col("e.updated.label")).isNull(), NO_DATE))
+    return rows.select(*keep, "position", "record", reason.alias("reason"), "e")
 
 
 def scan_appstore_feed(pages: DataFrame, body_col: str = "body", keep=("page",)) -> DataFrame:
-    """Normalise app-store feed pages (one JSON body per row).
-
-    ``feed.entry`` may be a list or a single object (``from_json`` with an
-    array schema accepts both); a page without entries, or one that is not
-    JSON, yields no rows.  Rating defaults to 0, title and text to ''.
-    """
-    entries = F.from_json(F.get_json_object(F.col(body_col), "$.feed.entry"),
-                          T.ArrayType(FEED_ENTRY_WITH_ID))
-    e = pages.select(*keep, F.explode_outer(entries).alias("e")).where(F.col("e").isNotNull())
-    return e.select(
-        F.col("e.id.label").try_cast("bigint").alias("review_id"),
+    """The reviews of app-store feed pages (see ``feed_entries``).
+
+    Ratings are coerced (a missing one is NULL), title and text default to
+    ''.  An entry without a date that parses is in ``scan_appstore_feed_rejects``
+    instead; kept and rejected entries together are all entries."""
+    good = feed_entries(pages, body_col, keep).where(F.col("reason").isNull())
+    return good.select(
+        F.col("e.id.label").alias("review_id"),
         *keep,
         F.lit("appstore").alias("source"),
-        F.coalesce(F.col("e.`im:rating`.label").try_cast("int"), F.lit(0)).alias("rating"),
+        coerce_rating(F.col("e.`im:rating`.label")).alias("rating"),
         F.coalesce(F.col("e.title.label"), F.lit("")).alias("title"),
         F.coalesce(F.col("e.content.label"), F.lit("")).alias("text"),
         parse_date(F.col("e.updated.label")).alias("date"),
     )
 
 
+def scan_appstore_feed_rejects(pages: DataFrame, body_col: str = "body", keep=("page",)) -> DataFrame:
+    """``keep, position, reason, record``: the entries, and the pages without
+    a readable list of entries, that ``scan_appstore_feed`` leaves out."""
+    bad = feed_entries(pages, body_col, keep).where(F.col("reason").isNotNull())
+    return bad.select(*keep, "position", "reason", "record")
+
+
 def scan_playstore(spark: SparkSession, path: str) -> DataFrame:
-    """S3: store export records ``{score, content, at}`` to reviews: no
-    title, source 'playstore'; the naive time is read as UTC."""
-    rec = spark.read.schema(PLAYSTORE).parquet(path)
-    return rec.select("review_id", F.lit("playstore").alias("source"),
-                      F.col("score").alias("rating"), F.lit(None).cast("string").alias("title"),
-                      F.col("content").alias("text"), F.col("at").alias("date"))
+    """S3: store export records ``{review_id, score, content, at}`` to reviews."""
+    return normalize_playstore(spark.read.schema(PLAYSTORE).parquet(path))
 
 
 LABELLED = T.StructType([
@@ -181,6 +220,21 @@ def scan_themes_csv(spark: SparkSession, path: str) -> DataFrame:
                      F.col("Description").alias("description"))
 
 
+REPLY_LINE = "source string, batch long, response string, _corrupt string"
+
+
+def scan_replies(spark: SparkSession, path: str) -> DataFrame:
+    """Model replies as they land, JSON lines ``source, batch, response``.
+
+    A line that is not JSON has no batch to belong to; it comes with null keys
+    and its text as the response, so that the parser rejects or recovers it
+    like any other.  A missing folder gives no rows."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], REPLY_LINE).drop(CORRUPT)
+    raw = spark.read.schema(REPLY_LINE).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return raw.select("source", "batch", F.coalesce(F.col(CORRUPT), F.col("response")).alias("response"))
+
+
 def scan_qa_json(spark: SparkSession, path: str, key: str = "report_key") -> DataFrame:
     """Question answers per report; every one of the six questions is
     present, an unanswered one reads 'N/A'."""

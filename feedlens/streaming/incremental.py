@@ -10,7 +10,7 @@ resumes where it stopped and a lost executor only replays its micro-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +18,7 @@ from feedlens.operators.ingest import DEFAULT_WEEKS
 from feedlens.operators.privacy import clean_reviews
 from feedlens.operators.themes import assign_themes
 from feedlens.schemas import REVIEW_RAW
+from feedlens.sources.identity import base_key
 from feedlens.sources.readers import normalize_raw
 
 
@@ -30,15 +31,6 @@ def review_stream(spark: SparkSession, landing_dir: str, files_per_trigger: int
     return normalize_raw(reader.json(landing_dir)).where(F.col("date").isNotNull())
 
 
-def review_key() -> Column:
-    """Identity of a review: its channel and native id, or without an id a
-    hash of its channel, time, title and text."""
-    native = F.col("review_id").cast("string")
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("date", "title", "text")]
-    content = F.concat(F.lit("#"), F.sha2(F.to_json(F.array(*parts)), 256))
-    return F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce(native, content))
-
-
 def labelled_stream(stream: DataFrame, weeks: int = DEFAULT_WEEKS) -> DataFrame:
     """Mask, theme and de-duplicate a review stream.
 
@@ -48,7 +40,7 @@ def labelled_stream(stream: DataFrame, weeks: int = DEFAULT_WEEKS) -> DataFrame:
     labelled = assign_themes(clean_reviews(stream))
     return (labelled.withColumn("event_time", F.col("date").cast("timestamp"))
             .withWatermark("event_time", f"{7 * int(weeks)} days")
-            .withColumn("review_key", review_key())
+            .withColumn("review_key", base_key())
             .dropDuplicatesWithinWatermark(["review_key"]).drop("review_key"))
 
 
