@@ -1,31 +1,18 @@
-"""Term lexicons: theme terms, question terms and the theme dimension.
+"""Term lexicons: themes or questions with the terms that speak for them.
 
-A lexicon is driver-side configuration with a checked size.  Small lexicons
-are applied as a per-row projection (no shuffle); the join form of the same
-rule lives in ``feedlens.operators.themes``.
+A lexicon is a dict or a table of any size.  Small dicts are applied as a
+per-row projection (no shuffle); the join form of the same rule lives in
+``feedlens.operators.themes``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedlens.functions.text import let, tokens
 
-# --- fixed values: theme lexicon of the bundled data (FIXTURES F-2) ---
-THEME_TERMS = {
-    "theme_alpha": ("the", "and", "that"),
-    "theme_beta": ("der", "die", "und"),
-    "theme_gamma": ("que", "los", "el"),
-    "theme_delta": ("le", "les", "une"),
-}
-THEME_NAMES = {
-    "theme_alpha": ("English-language feedback", "Reviews written in English"),
-    "theme_beta": ("German-language feedback", "Reviews written in German"),
-    "theme_gamma": ("Spanish-language feedback", "Reviews written in Spanish"),
-    "theme_delta": ("French-language feedback", "Reviews written in French"),
-}
+# --- fixed values: fallback theme, question keys and labels ---
 FALLBACK_THEME_ID = "theme_general"
 FALLBACK_THEME = "General / Uncategorized"
 
@@ -39,40 +26,26 @@ QUESTIONS = (
     ("unmet_needs", "What unmet needs emerge consistently?"),
 )
 NO_ANSWER = "No analysis available."
-# evidence terms per question for the bundled data
-QUESTION_TERMS = {
-    "struggle_points": ("is", "was", "are"),
-    "ordering_frustrations": ("to", "for", "from"),
-    "delivery_partner_and_user_issues": ("with", "by", "at"),
-    "switch_causes_and_loyalty_barriers": ("von", "mit", "sich"),
-    "discovery_challenges": ("del", "se", "es"),
-    "unmet_needs": ("des", "du", "elle"),
-}
 # --- end of fixed values ---
 
-# Above this many terms the per-row projection stops paying off and the
-# broadcast join form is used instead.
+# A dict with up to this many terms is applied inside the row; beyond it, and for
+# a table, texts and terms are joined (``operators.themes.term_pairs``).
 INLINE_TERM_LIMIT = 2000
-# Hard bound for broadcasting a lexicon table.
-BROADCAST_TERM_LIMIT = 1_000_000
 
-LEXICON_SCHEMA = T.StructType([
-    T.StructField("theme_id", T.StringType()),
-    T.StructField("term", T.StringType()),
-])
-QLEXICON_SCHEMA = T.StructType([
-    T.StructField("question_key", T.StringType()),
-    T.StructField("term", T.StringType()),
-])
+Lexicon = dict | DataFrame
 
 
-def lexicon_rows(lexicon: dict) -> list[tuple[str, str]]:
-    return [(k, t) for k in sorted(lexicon) for t in lexicon[k]]
+def is_small(lexicon: Lexicon) -> bool:
+    return isinstance(lexicon, dict) and sum(len(v) for v in lexicon.values()) <= INLINE_TERM_LIMIT
 
 
-def lexicon_frame(spark: SparkSession, lexicon: dict, key: str = "theme_id") -> DataFrame:
-    schema = LEXICON_SCHEMA if key == "theme_id" else QLEXICON_SCHEMA
-    return spark.createDataFrame(lexicon_rows(lexicon), schema)
+def lexicon_frame(spark: SparkSession, lexicon: Lexicon, key: str = "theme_id") -> DataFrame:
+    """The lexicon as a table ``key, term`` without nulls and repeats.  A dict is
+    ``{key: terms}``; a table may have any size."""
+    if isinstance(lexicon, DataFrame):
+        return lexicon.select(key, "term").where(F.col(key).isNotNull() & F.col("term").isNotNull()).distinct()
+    rows = [(k, t) for k in sorted(lexicon) for t in sorted(set(lexicon[k]))]
+    return spark.createDataFrame(rows, f"{key} string, term string")
 
 
 def term_count(tok: Column, terms) -> Column:
@@ -80,15 +53,9 @@ def term_count(tok: Column, terms) -> Column:
     return F.size(F.array_intersect(tok, F.array(*[F.lit(t) for t in sorted(set(terms))])))
 
 
-def _check_inline(lexicon: dict) -> None:
-    if sum(len(v) for v in lexicon.values()) > INLINE_TERM_LIMIT:
-        raise ValueError("lexicon too large for the inline form; use themes.assign_themes_by_join")
-
-
 def pick_best(tok: Column, lexicon: dict, fallback: str | None) -> Column:
     """``struct(key, score)`` from a distinct-token array: the key with the
     most matched terms, ties to the smallest key, ``fallback``/0 if none."""
-    _check_inline(lexicon)
     cands = F.array(*[
         F.struct((-term_count(tok, lexicon[k])).alias("neg"), F.lit(k).alias("key"))
         for k in sorted(lexicon)
@@ -101,7 +68,6 @@ def pick_best(tok: Column, lexicon: dict, fallback: str | None) -> Column:
 def key_scores(tok: Column, lexicon: dict, name: str = "question_key") -> Column:
     """``array<struct<name, score>>`` of the keys with at least one matched
     term (score = distinct matched terms), in key order."""
-    _check_inline(lexicon)
     arr = F.array(*[F.struct(F.lit(k).alias(name), term_count(tok, lexicon[k]).alias("score"))
                     for k in sorted(lexicon)])
     return F.filter(arr, lambda s: s["score"] > 0)

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.dates import week_start
-from feedlens.functions.lexicon import QUESTION_TERMS, QUESTIONS, key_scores
+from feedlens.functions.lexicon import QUESTIONS, Lexicon, is_small, key_scores
 from feedlens.functions.text import let, tokens
 from feedlens.operators.ordering import top_k_within
-from feedlens.operators.themes import answer_text, question_scores, top_evidence
+from feedlens.operators.themes import answer_text, question_scores, scores_by_row, top_evidence
 from feedlens.session import checkpoint_root
 
 # --- fixed values: action tracker fallback when a note lists no action ---
@@ -39,24 +39,35 @@ def _is_question(key: str):
     return lambda x: x["question_key"] == F.lit(key)
 
 
-def weekly_note(themed: DataFrame, k: int = 3) -> DataFrame:
+def weekly_note(themed: DataFrame, k: int = 3, questions: Lexicon | None = None) -> DataFrame:
     """One Markdown note per (source, week): top themes with volume
     and low-rating counts, one quote per top theme, one action per top
-    theme, and the evidence answer of each business question.
+    theme, and the evidence answer of each business question.  The evidence
+    is in ``q_scores`` already (``themes.assign_themes`` with questions), or found
+    with ``questions``: inside the row for a small dict, else by a token join.
 
     Output: ``report_key, source, week, n_reviews, note``.
     """
     by = list(NOTE_KEYS)
-    if "q_scores" not in themed.columns:
-        themed = themed.withColumn("q_scores", let(tokens("text"), lambda t: key_scores(t, QUESTION_TERMS)))
+    if "q_scores" not in themed.columns and questions is None:
+        raise ValueError("weekly_note needs q_scores or questions")
+    by_join = "q_scores" not in themed.columns and not is_small(questions)
+    if "q_scores" not in themed.columns and not by_join:
+        themed = themed.withColumn("q_scores", let(tokens("text"), lambda t: key_scores(t, questions)))
     wk = themed.withColumn("week", week_start("date"))
     # The one full pass over the text: per review, the narrow values every
-    # section needs (theme, score, rating, text length, per-question scores)
-    # are written once to the shared folder.  No text is kept.
+    # section needs (theme, score, rating, text length, per-question scores, or
+    # for the join the tokens) are written once to the shared folder.
     checkpoint_root(themed.sparkSession)
-    narrow = (wk.select(*by, "review_id", "theme_id", "theme", "theme_score", "rating",
-                        F.length("text").alias("len"), "q_scores")
-              .checkpoint(eager=True))
+    columns = [*by, "review_id", "theme_id", "theme", "theme_score", "rating", F.length("text").alias("len")]
+    if by_join:
+        read = wk.select(*columns, tokens("text").alias("_tokens"), F.monotonically_increasing_id().alias("_row")).checkpoint(eager=True)
+        scores = scores_by_row(read.select("_row", "_tokens"), questions)
+        none = F.array().cast("array<struct<question_key:string,score:int>>")
+        narrow = (read.drop("_tokens").join(scores, "_row", "left").drop("_row")
+                  .withColumn("q_scores", F.coalesce("q_scores", none)).checkpoint(eager=True))
+    else:
+        narrow = wk.select(*columns, "q_scores").checkpoint(eager=True)
     # Per (note, theme): statistics, the quote candidate (highest score,
     # then shortest text, then smallest id) and per-question match counts.
     qcount = [F.count_if(F.exists("q_scores", _is_question(q))).alias(f"q_{q}") for q, _ in QUESTIONS]

@@ -1,8 +1,7 @@
 """Theme and question analytics.
 
-Lexicons are driver-side configuration with a checked size.  Assignment
-with a small lexicon is a per-row projection (no shuffle at all); the join
-forms broadcast the lexicon only under ``BROADCAST_TERM_LIMIT`` terms.
+A lexicon (``functions.lexicon``) is a small dict, applied inside the row, or
+else a table of any size, joined with the rows' tokens; both give the same.
 """
 
 from __future__ import annotations
@@ -10,61 +9,93 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.lexicon import (BROADCAST_TERM_LIMIT, FALLBACK_THEME, FALLBACK_THEME_ID,
-                                        INLINE_TERM_LIMIT, NO_ANSWER, QUESTION_TERMS, QUESTIONS,
-                                        THEME_NAMES, THEME_TERMS, best_key, best_match, key_scores,
-                                        lexicon_frame, pick_best)
+from feedlens.functions.lexicon import (FALLBACK_THEME, FALLBACK_THEME_ID, NO_ANSWER, QUESTIONS, Lexicon, best_key,
+                                        best_match, is_small, key_scores, lexicon_frame, pick_best)
 from feedlens.functions.text import let, tokens
 from feedlens.operators.ordering import top_k_within
 from feedlens.session import checkpoint_root
 
+#: A term is hot when it holds more than one in this many times the shuffle
+#: partitions of all tokens; there are never more hot terms than that.
+HOT_SHARE = 4
 
-def _term_join(df: DataFrame, lexicon: dict, key: str, text_col: str, id_col: str,
-               carry: tuple = ()) -> DataFrame:
-    spark = df.sparkSession
-    terms = sorted({t for v in lexicon.values() for t in v})
-    tok = tokens(text_col)
-    if len(terms) <= INLINE_TERM_LIMIT:
-        # Keep only tokens that are lexicon terms before exploding: the
-        # intermediate is (row, matched term), not (row, every token).
-        tok = F.array_intersect(tok, F.array(*[F.lit(t) for t in terms]))
-    # explode_outer + filter: an inner explode would make Catalyst push a
-    # non-empty-array filter (a second token evaluation) into the scan.
-    pairs = (df.select(F.col(id_col), *carry, F.explode_outer(tok).alias("term"))
-             .where(F.col("term").isNotNull()))
-    lex = lexicon_frame(spark, lexicon, key)
-    if len(terms) <= BROADCAST_TERM_LIMIT:
-        lex = F.broadcast(lex)
-    return pairs.join(lex, on="term").select(id_col, *carry, key, "term")
 
+def term_pairs(rows: DataFrame, lexicon: Lexicon, key: str, carry: list[str]) -> DataFrame:
+    """``carry, key, term`` for every distinct token of ``rows(carry, _tokens)``
+    that is a term of a key.
 
-def theme_lexicon_join(df: DataFrame, lexicon: dict = THEME_TERMS, text_col: str = "text",
+    A large lexicon is joined by a shuffle on the term.  A hot term's tokens are
+    split over as many tasks as its share of all tokens asks for, and its
+    few lexicon rows are repeated for each."""
+    spark = rows.sparkSession
+    lex = lexicon_frame(spark, lexicon, key)
+    # explode_outer + filter: an inner explode would make Catalyst push a
+    # non-empty-array filter (a second token evaluation) into the scan.
+    if is_small(lexicon):
+        # Only tokens that are lexicon terms are exploded: the intermediate is
+        # (row, matched term), not (row, every token).
+        terms = sorted({t for v in lexicon.values() for t in v})
+        found = F.array_intersect("_tokens", F.array(*map(F.lit, terms)).cast("array<string>"))
+        pairs = rows.select(*carry, F.explode_outer(found).alias("term")).where(F.col("term").isNotNull())
+        return pairs.join(F.broadcast(lex), "term").select(*carry, key, "term")
+    checkpoint_root(spark)
+    rows = rows.select(*carry, "_tokens").checkpoint(eager=True)
+    pairs = rows.select(*carry, F.explode_outer("_tokens").alias("term")).where(F.col("term").isNotNull())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = pairs.groupBy("term").agg(F.count("*").alias("n")).checkpoint(eager=True)
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(counts.where(F.col("n") * HOT_SHARE * parts > total)
+                      .select("term", F.ceil(F.col("n") * parts / max(total, 1)).cast("int").alias("_splits")))
+    split = F.pmod(F.xxhash64(*carry), F.coalesce("_splits", F.lit(1)))
+    every = F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)
+    left = pairs.join(hot, "term", "left").withColumn("_split", split.cast("int")).drop("_splits")
+    right = lex.join(hot, "term", "left").withColumn("_split", F.explode(every)).drop("_splits")
+    return left.join(right, ["term", "_split"]).select(*carry, key, "term")
+
+
+def theme_lexicon_join(df: DataFrame, lexicon: Lexicon, text_col: str = "text",
                        id_col: str = "review_id") -> DataFrame:
     """(review, theme, matched term) for every distinct token that is a
     theme term."""
-    return _term_join(df, lexicon, "theme_id", text_col, id_col)
+    return term_pairs(df.select(id_col, tokens(text_col).alias("_tokens")), lexicon, "theme_id", [id_col])
 
 
-def question_evidence_join(df: DataFrame, lexicon: dict = QUESTION_TERMS, text_col: str = "text",
+def question_evidence_join(df: DataFrame, lexicon: Lexicon, text_col: str = "text",
                            id_col: str = "review_id", carry: tuple = ()) -> DataFrame:
     """(review, question, matched term)."""
-    return _term_join(df, lexicon, "question_key", text_col, id_col, tuple(carry))
+    rows = df.select(id_col, *carry, tokens(text_col).alias("_tokens"))
+    return term_pairs(rows, lexicon, "question_key", [id_col, *carry])
+
+
+def scores_by_row(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``_row, q_scores`` for ``rows(_row, _tokens)`` with a matched question:
+    what ``key_scores`` gives inside the row, by the join.  A row has as many
+    entries as there are questions at most."""
+    scored = term_pairs(rows, lexicon, "question_key", ["_row"]).groupBy("_row", "question_key").agg(
+        F.count("*").cast("int").alias("score"))
+    return scored.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("question_key", "score"))).alias("q_scores"))
 
 
 def _name_map(names: dict):
     return F.create_map(*[x for k in sorted(names) for x in (F.lit(k), F.lit(names[k][0]))])
 
 
-def assign_themes(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEME_NAMES,
-                  text_col: str = "text", questions: dict | None = None) -> DataFrame:
+def assign_themes(df: DataFrame, lexicon: Lexicon, names: dict,
+                  text_col: str = "text", questions: Lexicon | None = None) -> DataFrame:
     """Every row gets exactly one theme: the key with the most distinct
     matched terms, ties to the smallest key, no match to the fallback.
+    ``names`` is ``{theme_id: (name, description)}``.
 
     Adds ``theme_id``, ``theme`` (name) and ``theme_score``; a projection,
     so it fuses into the scan stage.  With ``questions`` it also adds
     ``q_scores`` (matched-term count per question) from the same token
     array, so later question evidence needs no second pass over the text.
+    A lexicon or questions too large for a projection are joined instead.
     """
+    if not is_small(lexicon) or questions is not None and not is_small(questions):
+        spark = df.sparkSession
+        table = spark.createDataFrame([(k, v[0]) for k, v in sorted(names.items())], "theme_id string, name string")
+        return assign_themes_by_join(df, lexicon_frame(spark, lexicon), table, text_col, questions)
     if questions is None:
         best = best_match(F.col(text_col), lexicon, FALLBACK_THEME_ID)
         out = df.withColumn("_best", best)
@@ -82,7 +113,7 @@ def assign_themes(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEM
 
 
 def assign_themes_by_join(df: DataFrame, lexicon: DataFrame, names: DataFrame | None = None,
-                          text_col: str = "text") -> DataFrame:
+                          text_col: str = "text", questions: Lexicon | None = None) -> DataFrame:
     """T2 with the lexicon as a table ``theme_id, term`` of any size: the same
     result as ``assign_themes``, by a token join.
 
@@ -92,23 +123,26 @@ def assign_themes_by_join(df: DataFrame, lexicon: DataFrame, names: DataFrame |
     """
     checkpoint_root(df.sparkSession)
     rows = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
-    found = (rows.select("_row", F.explode_outer(tokens(text_col)).alias("term")).where(F.col("term").isNotNull())
-             .join(lexicon.select("theme_id", "term").distinct(), on="term"))
-    best = (found.groupBy("_row", "theme_id").agg(F.count("*").alias("n"))
+    read = rows.select("_row", tokens(text_col).alias("_tokens"))
+    best = (term_pairs(read, lexicon, "theme_id", ["_row"]).groupBy("_row", "theme_id").agg(F.count("*").alias("n"))
             .groupBy("_row").agg(F.min(F.struct((-F.col("n")).alias("neg"), "theme_id")).alias("b")))
     out = (rows.join(best, on="_row", how="left")
            .withColumn("theme_id", F.coalesce("b.theme_id", F.lit(FALLBACK_THEME_ID)))
-           .withColumn("theme_score", F.coalesce(-F.col("b.neg"), F.lit(0)).cast("bigint")).drop("_row", "b"))
+           .withColumn("theme_score", F.coalesce(-F.col("b.neg"), F.lit(0)).cast("bigint")).drop("b"))
+    if questions is not None:
+        out = out.join(scores_by_row(read, questions), on="_row", how="left").withColumn(
+            "q_scores", F.coalesce("q_scores", F.array().cast("array<struct<question_key:string,score:int>>")))
+    out = out.drop("_row")
     if names is None:
         return out
     return out.join(names.select("theme_id", F.col("name").alias("theme")), on="theme_id", how="left").withColumn(
         "theme", F.coalesce("theme", F.lit(FALLBACK_THEME)))
 
 
-def theme_names_or_null(df: DataFrame, lexicon: dict = THEME_TERMS, names: dict = THEME_NAMES,
+def theme_names_or_null(df: DataFrame, lexicon: dict, names: dict,
                         text_col: str = "text") -> DataFrame:
     """Adds ``theme`` = the name of the best-matching theme, NULL when no
-    term matches (the raw label that P5's default fills in)."""
+    term matches (the raw label that P5's default fills in).  For a small dict."""
     return df.withColumn("theme", F.element_at(_name_map(names), best_key(F.col(text_col), lexicon, None)))
 
 
@@ -166,7 +200,7 @@ def representative_quotes(themed: DataFrame, by: tuple = ("source",),
     return (texts.join(chosen, same).groupBy(*keys, "review_id").agg(F.min("quote").alias("quote")))
 
 
-def question_scores(df: DataFrame, by: list, lexicon: dict = QUESTION_TERMS,
+def question_scores(df: DataFrame, by: list, lexicon: Lexicon | None = None,
                     text_col: str = "text") -> DataFrame:
     """(group, question, review, score) with score = distinct matched terms.
 
@@ -198,8 +232,8 @@ def answer_text() -> Column:
                  F.col("top_review_ids")))
 
 
-def question_evidence(df: DataFrame, k: int = 3, by: tuple = (),
-                      lexicon: dict = QUESTION_TERMS, text_col: str = "text") -> DataFrame:
+def question_evidence(df: DataFrame, lexicon: Lexicon, k: int = 3, by: tuple = (),
+                      text_col: str = "text") -> DataFrame:
     """T4: per question (and group): matched reviews, and the top k review
     ids by matched-term count (ties by id).  Every question appears; one
     without evidence answers 'No analysis available.'.

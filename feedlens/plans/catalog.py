@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from feedlens.functions.dates import iso_string, parse_date
 from feedlens.operators import ingest, metrics, privacy, prompts, replies, reports, search, themes
 from feedlens.plans.params import (CONTEXT_CHARS, CUT_REPLY, FAIR_K, FEED_PAGE_SIZE, FENCED_REPLY, HEAD_SIZE, NEWEST_N,
-                                   PACK_SIZE, QUOTE_K, REFUSAL, REFUSED_REPLY, REPLY_CYCLE, RESAMPLE_RATE, RESAMPLE_SEED,
-                                   SEARCH_PATTERN, STRAY_EVERY, TOP_K, WEEKS)
+                                   PACK_SIZE, QUESTION_TERMS, QUOTE_K, REFUSAL, REFUSED_REPLY, REPLY_CYCLE, RESAMPLE_RATE, RESAMPLE_SEED,
+                                   SEARCH_PATTERN, STRAY_EVERY, THEME_NAMES, THEME_TERMS, TOP_K, WEEKS)
 from feedlens.operators.ordering import number_within
 from feedlens.session import ensure_utc, scratch_path
 from feedlens.sources import identity, readers, sinks, tables
@@ -46,7 +46,7 @@ def _clean(spark, sf) -> DataFrame:
 
 
 def _themed(spark, sf) -> DataFrame:
-    return themes.assign_themes(_clean(spark, sf))
+    return themes.assign_themes(_clean(spark, sf), THEME_TERMS, THEME_NAMES)
 
 
 # ---------------------------------------------------------------- privacy
@@ -203,7 +203,8 @@ def q_search_reviews(spark, sf):
 def q_default_theme(spark, sf):
     # The theme name as a lookup gives it: NULL for a review without any
     # lexicon term; the default fills those.  One pass over the text.
-    return search.default_theme(themes.theme_names_or_null(_clean(spark, sf)).select("review_id", "theme"))
+    return search.default_theme(themes.theme_names_or_null(_clean(spark, sf), THEME_TERMS, THEME_NAMES)
+                                .select("review_id", "theme"))
 
 
 @register("display_projection")
@@ -220,12 +221,12 @@ def q_preview_lines(spark, sf):
 
 @register("theme_lexicon_join")
 def q_theme_lexicon_join(spark, sf):
-    return themes.theme_lexicon_join(_clean(spark, sf))
+    return themes.theme_lexicon_join(_clean(spark, sf), THEME_TERMS)
 
 
 @register("question_evidence_join")
 def q_question_evidence_join(spark, sf):
-    return themes.question_evidence_join(_clean(spark, sf))
+    return themes.question_evidence_join(_clean(spark, sf), QUESTION_TERMS)
 
 
 @register("assign_themes")
@@ -250,7 +251,7 @@ def q_representative_quotes(spark, sf):
 
 @register("question_evidence")
 def q_question_evidence(spark, sf):
-    return themes.question_evidence(_clean(spark, sf), QUOTE_K)
+    return themes.question_evidence(_clean(spark, sf), QUESTION_TERMS, QUOTE_K)
 
 
 # ---------------------------------------------------------------- flagship
@@ -281,9 +282,9 @@ def _reply_texts(spark, sf) -> DataFrame:
     """``source, batch, response``: what the reviews of a batch are answered with,
     put together from their themes; by its number a batch's reply comes
     inside a code fence, cut off, or as a refusal, as models send them."""
-    from feedlens.functions.lexicon import FALLBACK_THEME_ID, QUESTION_TERMS, QUESTIONS, THEME_NAMES
+    from feedlens.functions.lexicon import FALLBACK_THEME_ID, QUESTIONS
     keys = ["source", "batch"]
-    themed = themes.assign_themes(_clean(spark, sf), questions=QUESTION_TERMS)
+    themed = themes.assign_themes(_clean(spark, sf), THEME_TERMS, THEME_NAMES, questions=QUESTION_TERMS)
     place = _batched(spark, sf).select(F.col("review_id").alias("_id"), "batch", "review_index")
     rows = themed.join(place, themed["review_id"] == place["_id"])
     per_theme = rows.groupBy(*keys, "theme_id", "theme").agg(
@@ -391,8 +392,7 @@ def q_theme_back_join(spark, sf):
 # ---------------------------------------------------------------- reports
 
 def _notes(spark, sf) -> DataFrame:
-    from feedlens.functions.lexicon import QUESTION_TERMS
-    return reports.weekly_note(themes.assign_themes(_clean(spark, sf), questions=QUESTION_TERMS), TOP_K)
+    return reports.weekly_note(themes.assign_themes(_clean(spark, sf), THEME_TERMS, THEME_NAMES, questions=QUESTION_TERMS), TOP_K)
 
 
 @register("weekly_note")
@@ -525,7 +525,7 @@ def q_scan_themes_csv(spark, sf):
 
 def _report_answers(spark, sf) -> DataFrame:
     wk = _clean(spark, sf).withColumn("week", F.date_trunc("week", "date"))
-    qa = themes.question_evidence(wk, QUOTE_K, by=("source", "week"))
+    qa = themes.question_evidence(wk, QUESTION_TERMS, QUOTE_K, by=("source", "week"))
     key = F.concat(F.col("source"), F.lit("/"), F.date_format("week", "yyyy-MM-dd"))
     return qa.select(key.alias("report_key"), "q_order", "question_key", "answer")
 

@@ -7,14 +7,13 @@ values the Spark operators use.
 
 from __future__ import annotations
 
-from feedlens.functions.lexicon import (FALLBACK_THEME, FALLBACK_THEME_ID, NO_ANSWER,
-                                        QUESTION_TERMS, QUESTIONS, THEME_NAMES, THEME_TERMS)
+from feedlens.functions.lexicon import FALLBACK_THEME, FALLBACK_THEME_ID, NO_ANSWER, QUESTIONS
 from feedlens.functions.text import EMAIL_PATTERN, PHONE_PATTERN
 from feedlens.operators.reports import FALLBACK_ACTIONS
 from feedlens.operators.prompts import INSTRUCTIONS
-from feedlens.plans.params import (CONTEXT_CHARS, CUT_REPLY, FEED_PAGE_SIZE, FENCED_REPLY, NEWEST_N, PACK_SIZE, QUOTE_K,
-                                   REFUSAL, REFUSED_REPLY, REPLY_CYCLE, RESAMPLE_RATE, RESAMPLE_SEED, SEARCH_PATTERN,
-                                   STRAY_EVERY, TOP_K, WEEKS)
+from feedlens.plans.params import (CONTEXT_CHARS, CUT_REPLY, FEED_PAGE_SIZE, FENCED_REPLY, NEWEST_N, PACK_SIZE,
+                                   QUESTION_TERMS, QUOTE_K, REFUSAL, REFUSED_REPLY, REPLY_CYCLE, RESAMPLE_RATE,
+                                   RESAMPLE_SEED, SEARCH_PATTERN, STRAY_EVERY, THEME_NAMES, THEME_TERMS, TOP_K, WEEKS)
 
 
 def q(s: str) -> str:

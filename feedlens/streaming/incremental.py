@@ -31,13 +31,13 @@ def review_stream(spark: SparkSession, landing_dir: str, files_per_trigger: int
     return normalize_raw(reader.json(landing_dir)).where(F.col("date").isNotNull())
 
 
-def labelled_stream(stream: DataFrame, weeks: int = DEFAULT_WEEKS) -> DataFrame:
-    """Mask, theme and de-duplicate a review stream.
+def labelled_stream(stream: DataFrame, lexicon: dict, names: dict, weeks: int = DEFAULT_WEEKS) -> DataFrame:
+    """Mask, theme (with a small dict, inside the row) and de-duplicate a review stream.
 
     The watermark is the rolling window: a copy of a review arriving
     within ``weeks`` of event time is dropped; state older than that is
     evicted, so the dedupe state stays bounded."""
-    labelled = assign_themes(clean_reviews(stream))
+    labelled = assign_themes(clean_reviews(stream), lexicon, names)
     return (labelled.withColumn("event_time", F.col("date").cast("timestamp"))
             .withWatermark("event_time", f"{7 * int(weeks)} days")
             .withColumn("review_key", base_key())

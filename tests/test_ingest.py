@@ -182,12 +182,13 @@ def test_ratings_dates_and_rejects(spark, tmp_path):
 
 
 def test_theme_join_form_equals_the_inline_form(spark):
-    from feedlens.functions.lexicon import THEME_TERMS, lexicon_frame
+    from feedlens.functions.lexicon import lexicon_frame
+    from feedlens.plans.params import THEME_NAMES, THEME_TERMS
     from feedlens.operators import themes
     from feedlens.operators.privacy import clean_reviews
     from feedlens.sources import tables
     clean = clean_reviews(tables.reviews(spark, SF01))
-    inline = themes.assign_themes(clean).select("review_id", "theme_id", "theme_score")
+    inline = themes.assign_themes(clean, THEME_TERMS, THEME_NAMES).select("review_id", "theme_id", "theme_score")
     joined = themes.assign_themes_by_join(clean, lexicon_frame(spark, THEME_TERMS)).select(
         "review_id", "theme_id", "theme_score")
     assert sorted(map(tuple, inline.collect())) == sorted(map(tuple, joined.collect()))

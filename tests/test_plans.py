@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from feedlens.operators import discover, search, themes
 from feedlens.operators.privacy import clean_reviews
 from feedlens.sources import tables
+from feedlens.plans.params import THEME_NAMES, THEME_TERMS
 
 from conftest import SF001
 
@@ -25,7 +26,7 @@ def test_theme_names_match_brute_force(spark):
 def test_quotes_aggregate_no_text(spark):
     """The choice of quotes sends numbers only, and the texts are read back
     with the semi join on the chosen ids below the masking."""
-    themed = themes.assign_themes(clean_reviews(tables.reviews(spark, SF001)))
+    themed = themes.assign_themes(clean_reviews(tables.reviews(spark, SF001)), THEME_TERMS, THEME_NAMES)
     quotes = themes.representative_quotes(themed)
     plan = quotes._jdf.queryExecution().optimizedPlan().toString().split("\n")
     semi = next(i for i, line in enumerate(plan) if "LeftSemi" in line)
@@ -54,7 +55,7 @@ def test_text_predicates_run_after_the_review_join(spark):
     """A filter on the theme or a search pattern must not be pushed onto the
     documents scan, where it would mask and tokenise every document before
     the selective event-side filters apply."""
-    themed = themes.assign_themes(clean_reviews(tables.reviews(spark, SF001)))
+    themed = themes.assign_themes(clean_reviews(tables.reviews(spark, SF001)), THEME_TERMS, THEME_NAMES)
     for df in (search.facet_filter(themed, source="appstore", rating=4, theme="English-language feedback"),
                search.search_reviews(search.facet_filter(themed, source="reddit"), "order")):
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -68,7 +69,7 @@ def test_quote_read_back_filters_at_the_documents_scan(spark):
     """The weekly note reads back only its chosen quotes: the IN-subquery
     filter must become a semi join on the documents side, below the
     repartition and the masking projection."""
-    themed = themes.assign_themes(clean_reviews(tables.reviews(spark, SF001)))
+    themed = themes.assign_themes(clean_reviews(tables.reviews(spark, SF001)), THEME_TERMS, THEME_NAMES)
     picked = spark.range(3).select((F.col("id") + 5).alias("quote_id"))
     quotes = spark.sql("SELECT review_id AS quote_id, text AS quote FROM {reviews} "
                        "WHERE review_id IN (SELECT quote_id FROM {picked})",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from feedlens.operators import metrics, reports, search, themes
 from feedlens.operators.ordering import number_within, top_k_within
 from feedlens.operators.privacy import clean_reviews
+from feedlens.plans.params import QUESTION_TERMS, THEME_NAMES, THEME_TERMS
 
 NOTE = """# Pulse
 ## Strategic Action Ideas
@@ -64,7 +65,8 @@ def test_metrics(golden):
 
 
 def test_weekly_note_sections(golden):
-    notes = reports.weekly_note(themes.assign_themes(clean_reviews(golden)))
+    notes = reports.weekly_note(
+        themes.assign_themes(clean_reviews(golden), THEME_TERMS, THEME_NAMES), questions=QUESTION_TERMS)
     rows = notes.collect()
     assert {r.source for r in rows} == {"appstore", "playstore", "reddit", "linkedin", "twitter"}
     n = rows[0].note
@@ -97,7 +99,47 @@ def test_top_k_uses_partial_group_limit(spark):
 def test_theme_assignment_ties_and_fallback(spark):
     df = spark.createDataFrame([(1, "the der"), (2, "nothing"), (3, "que los el and")],
                                "review_id long, text string")
-    out = {r.review_id: r.theme_id for r in themes.assign_themes(df).collect()}
+    out = {r.review_id: r.theme_id for r in themes.assign_themes(df, THEME_TERMS, THEME_NAMES).collect()}
     assert out == {1: "theme_alpha", 2: "theme_general", 3: "theme_gamma"}
-    pairs = themes.theme_lexicon_join(df).count()
+    pairs = themes.theme_lexicon_join(df, THEME_TERMS).count()
     assert pairs == 6
+
+
+def _lexicon_rows(lexicon, key, spark):
+    """As a table with repeats, nulls and many terms that no text has."""
+    rows = [(k, t) for k in lexicon for t in lexicon[k]] * 2 + [(None, "the"), ("x", None)]
+    rows += [(k, f"none{i}") for i in range(1500) for k in lexicon]
+    return spark.createDataFrame(rows, f"{key} string, term string")
+
+
+@pytest.mark.parametrize("parts", [1, 8])
+def test_lexicon_tables_give_what_small_dicts_give(spark, parts):
+    """Themes, pairs, question evidence and notes; common words are in more than half of the rows, so
+    they are split over tasks."""
+    from feedlens.sources import tables
+    from tests.conftest import SF001
+    clean = clean_reviews(tables.reviews(spark, SF001))
+    extra = spark.createDataFrame([(None, "reddit", None, None, "The and THE der", None), (5, "reddit", 1, "t", "", None)] * 2, clean.schema)
+    clean = clean.unionByName(extra)
+    theme_table, question_table = _lexicon_rows(THEME_TERMS, "theme_id", spark), _lexicon_rows(QUESTION_TERMS, "question_key", spark)
+    big = {k: [*v, *(f"none{i}" for i in range(1500))] for k, v in QUESTION_TERMS.items()}  # beyond the inline limit
+    rows = lambda df: sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        assert rows(themes.theme_lexicon_join(clean, theme_table)) == rows(themes.theme_lexicon_join(clean, THEME_TERMS))
+        want = rows(themes.question_evidence(clean, QUESTION_TERMS, by=("source",)))
+        assert rows(themes.question_evidence(clean, question_table, by=("source",))) == want
+        assert rows(themes.question_evidence(clean, big, by=("source",))) == want
+        inline = themes.assign_themes(clean, THEME_TERMS, THEME_NAMES, questions=QUESTION_TERMS)
+        joined = themes.assign_themes(clean, theme_table, THEME_NAMES, questions=question_table)
+        assert rows(joined) == rows(inline)
+        dated = themes.assign_themes(clean.where("date is not null"), THEME_TERMS, THEME_NAMES)
+        notes = rows(reports.weekly_note(dated, questions=QUESTION_TERMS))
+        assert rows(reports.weekly_note(dated, questions=question_table)) == notes
+        assert rows(reports.weekly_note(dated, questions=big)) == notes
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    nothing = question_table.where("term = 'none'")
+    assert {r.answer for r in themes.question_evidence(clean, nothing).collect()} == {"No analysis available."}
+    assert themes.theme_lexicon_join(clean.where("review_id < 0"), theme_table).count() == 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from feedlens.operators import reports, themes
 from feedlens.operators.privacy import clean_reviews
 from feedlens.sources import readers, sinks
+from feedlens.plans.params import QUESTION_TERMS, THEME_NAMES, THEME_TERMS
 
 
 def test_themes_csv_roundtrip_and_empty(spark, tmp_path):
@@ -43,8 +44,8 @@ def test_qa_json_roundtrip(spark, tmp_path):
 
 
 def test_notes_and_reviews_roundtrip(spark, golden, tmp_path):
-    themed = themes.assign_themes(clean_reviews(golden))
-    notes = reports.weekly_note(themed).withColumn("week_label", F.date_format("week", "yyyy-MM-dd"))
+    themed = themes.assign_themes(clean_reviews(golden), THEME_TERMS, THEME_NAMES)
+    notes = reports.weekly_note(themed, questions=QUESTION_TERMS).withColumn("week_label", F.date_format("week", "yyyy-MM-dd"))
     path = str(tmp_path / "notes")
     sinks.sink_notes_text(notes, path)
     back = (spark.read.schema("value string, source string, week_label string").text(path, wholetext=True)

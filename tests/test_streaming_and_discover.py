@@ -7,6 +7,7 @@ from feedlens.operators.discover import discover_themes
 from feedlens.operators.privacy import clean_reviews
 from feedlens.sources import tables
 from feedlens.streaming import incremental
+from feedlens.plans.params import THEME_NAMES, THEME_TERMS
 
 from conftest import SF001
 
@@ -23,7 +24,7 @@ def test_stream_masks_themes_and_dedupes(spark, tmp_path):
     dump.write.json(os.path.join(landing, "batch1"))
     # A second file repeats a slice of the first: the copies must be dropped.
     dump.orderBy("review_id").limit(50).write.json(os.path.join(landing, "batch2"))
-    stream = incremental.labelled_stream(incremental.review_stream(spark, landing + "/*"))
+    stream = incremental.labelled_stream(incremental.review_stream(spark, landing + "/*"), THEME_TERMS, THEME_NAMES)
     q = incremental.start_labelled_sink(stream, out, ckpt)
     q.awaitTermination(300)
     got = spark.read.parquet(out)
@@ -32,7 +33,7 @@ def test_stream_masks_themes_and_dedupes(spark, tmp_path):
     assert got.where(F.col("text").rlike(r"[\w.-]+@[\w.-]+\.\w+")).count() == 0
     assert got.where(F.col("theme_id").isNull()).count() == 0
     # Started again on the same checkpoint, nothing is appended.
-    stream = incremental.labelled_stream(incremental.review_stream(spark, landing + "/*"))
+    stream = incremental.labelled_stream(incremental.review_stream(spark, landing + "/*"), THEME_TERMS, THEME_NAMES)
     incremental.start_labelled_sink(stream, out, ckpt).awaitTermination(300)
     assert spark.read.parquet(out).count() == dump.count()
 
@@ -43,7 +44,7 @@ def test_stream_keeps_reviews_without_ids(spark, tmp_path):
     rows += [(5, s, None, None, "same id", "2026-07-01T10:00:00Z") for s in ("reddit", "twitter")]
     spark.createDataFrame(rows, "review_id long, source string, rating string, title string, text string, date string") \
         .write.json(landing)
-    stream = incremental.labelled_stream(incremental.review_stream(spark, landing))
+    stream = incremental.labelled_stream(incremental.review_stream(spark, landing), THEME_TERMS, THEME_NAMES)
     incremental.start_labelled_sink(stream, out, ckpt).awaitTermination(300)
     assert sorted(r.text for r in spark.read.parquet(out).collect()) == ["one", "same id", "same id", "three", "two"]
 
@@ -51,7 +52,7 @@ def test_stream_keeps_reviews_without_ids(spark, tmp_path):
 def test_stream_weekly_counts(spark, tmp_path):
     landing = str(tmp_path / "landing")
     _dump(spark).write.json(landing)
-    stream = incremental.labelled_stream(incremental.review_stream(spark, landing))
+    stream = incremental.labelled_stream(incremental.review_stream(spark, landing), THEME_TERMS, THEME_NAMES)
     q = (incremental.weekly_theme_counts(stream).writeStream.format("memory").queryName("weekly_counts")
          .outputMode("complete").option("checkpointLocation", str(tmp_path / "ck"))
          .trigger(availableNow=True).start())
