@@ -68,11 +68,48 @@ def test_discover_themes_properties(spark):
     assert len(rows) == 200 and len({r.review_id for r in rows}) == 200
     assert 3 <= len({r.theme_id for r in rows}) <= 5
     assert all(r.theme and r.description for r in rows)
-    # The themes do not depend on how the rows are partitioned, sampled or not.
-    for sample in (20_000, 100):
-        found = [{r.review_id: (r.theme_id, r.theme) for r in discover_themes(x, sample_rows=sample).collect()}
-                 for x in (clean, clean.repartition(13))]
-        assert found[0] == found[1] and len(found[0]) == 200
+    # The themes do not depend on how the rows are partitioned.
+    want = {r.review_id: (r.theme_id, r.theme, r.description) for r in rows}
+    for parts in (1, 8, 64):
+        found = discover_themes(clean.repartition(parts)).collect()
+        assert {r.review_id: (r.theme_id, r.theme, r.description) for r in found} == want
+
+
+def test_clusters_match_brute_force(spark):
+    """Sums, silhouettes and the chosen centres against plain numpy on dense vectors."""
+    import numpy as np
+    from feedlens.operators import discover
+    rng = np.random.Generator(np.random.PCG64(3))
+    texts = [" ".join(f"{g}{rng.integers(12)}" for _ in range(rng.integers(3, 9))) for g in "xyz" for _ in range(40)] + ["", ""]
+    rows = [[hash(w) % discover.FEATURES for w in t.split()] for t in texts]
+    df = spark.createDataFrame([(1, [], sorted(r)) for r in rows], "review_id long, _terms array<string>, _cells array<int>").repartition(5)
+    idf = np.log((len(rows) + 1) / (discover._document_frequencies(df) + 1.0))
+    vectors = discover._with_vectors(df, idf).select("_vector", "_values")
+    count = np.zeros((len(rows), discover.FEATURES))
+    for j, r in enumerate(rows):
+        np.add.at(count[j], r, 1)
+    assert (discover._document_frequencies(df) == (count > 0).sum(axis=0)).all()
+    dense = count * idf
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+    first = discover._first_centres(df, idf, 7, 3)
+    model = [first]
+    for _ in range(20):
+        model = [discover._means(discover._cluster_sums(vectors, model)[0], model[0])]
+    centres = model[0] / discover.UNIT
+    label = ((dense[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+    sums = discover._cluster_sums(vectors, model)
+    for c in range(3):
+        assert np.allclose(sums[0][c, :discover.FEATURES] / discover.UNIT, dense[label == c].sum(axis=0), atol=1e-3)
+        assert sums[0][c, -1] == (label == c).sum()
+    square = ((dense[:, None] - dense[None]) ** 2).sum(axis=2)
+    each = []
+    for j in range(len(rows)):
+        mean = [square[j, label == c].sum() / max((label == c).sum() - (label[j] == c), 1) for c in range(3)]
+        a, b = mean[label[j]], min(m for c, m in enumerate(mean) if c != label[j])
+        each.append((b - a) / max(a, b) if (label == label[j]).sum() > 1 else 0)
+    assert abs(discover._silhouettes(vectors, model, sums)[0] - discover.UNIT * np.mean(each)) < 1e-3 * discover.UNIT
+    # The three vocabularies part the rows.
+    assert sorted(np.unique(label[j:j + 40]).size for j in (0, 40, 80)) == [1, 1, 1]
 
 
 def test_discover_themes_edges(spark):
@@ -80,3 +117,5 @@ def test_discover_themes_edges(spark):
     assert discover_themes(spark.createDataFrame([], schema)).count() == 0
     rows = [(1, None), (2, ""), (None, "same words here"), (4, "same words here")]
     assert discover_themes(spark.createDataFrame(rows, schema)).count() == 4
+    assert {r.theme_id for r in discover_themes(spark.createDataFrame(rows[2:], schema)).collect()} == {"theme_1"}
+    assert discover_themes(spark.createDataFrame(rows[:2], schema)).count() == 2
