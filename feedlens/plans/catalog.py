@@ -19,8 +19,9 @@ from feedlens.plans.params import (CONTEXT_CHARS, CUT_REPLY, FAIR_K, FEED_PAGE_S
                                    PACK_SIZE, QUESTION_TERMS, QUOTE_K, REFUSAL, REFUSED_REPLY, REPLY_CYCLE, RESAMPLE_RATE, RESAMPLE_SEED,
                                    SEARCH_PATTERN, STRAY_EVERY, THEME_NAMES, THEME_TERMS, TOP_K, WEEKS)
 from feedlens.operators.ordering import number_within
+from feedlens.operators.search_index import SearchIndex
 from feedlens.session import ensure_utc, scratch_path
-from feedlens.sources import identity, readers, sinks, tables
+from feedlens.sources import identity, landing, readers, sinks, tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -120,6 +121,23 @@ def q_feed_take_while(spark, sf):
     return ingest.feed_take_while(tables.appstore_feed(r, FEED_PAGE_SIZE, STRAY_EVERY), _asof(r), WEEKS)
 
 
+@register("landing_window")
+def q_landing_window(spark, sf):
+    r = _reviews(spark, sf)
+    path = scratch_path(spark, "landing")
+    landing.land(r, path)
+    return landing.scan_window(spark, path, r.schema, _asof(r), WEEKS)
+
+
+@register("landing_feed")
+def q_landing_feed(spark, sf):
+    r = _reviews(spark, sf)
+    feed = tables.appstore_feed(r, FEED_PAGE_SIZE, STRAY_EVERY).withColumn("source", F.lit("appstore"))
+    path = scratch_path(spark, "landing-feed")
+    landing.land(feed, path)
+    return landing.feed_in_window(spark, path, feed.schema, _asof(r), WEEKS).drop("source")
+
+
 @register("newest_n")
 def q_newest_n(spark, sf):
     r = _reviews(spark, sf)
@@ -199,6 +217,14 @@ def q_search_reviews(spark, sf):
         "review_id", "source", "title", "text")
 
 
+@register("search_indexed")
+def q_search_indexed(spark, sf):
+    rows = _clean(spark, sf).select("review_id", "source", "title", "text")
+    # Few folders: the bundled tables are small.
+    index = SearchIndex(spark, scratch_path(spark, "search-index"), rows.schema, gram_folders=8, row_folders=8).build(rows)
+    return index.search(SEARCH_PATTERN)
+
+
 @register("default_theme")
 def q_default_theme(spark, sf):
     # The theme name as a lookup gives it: NULL for a review without any

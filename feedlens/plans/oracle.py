@@ -618,3 +618,8 @@ SELECT review_id, source,
   CASE WHEN source = 'linkedin' THEN date_trunc('day', date)
        WHEN source = 'twitter' THEN NULL ELSE date END AS date
 FROM reviews"""
+
+# The same results by another way.
+SQL["landing_window"] = SQL["rolling_window_filter"]
+SQL["landing_feed"] = SQL["feed_take_while"]
+SQL["search_indexed"] = SQL["search_reviews"]

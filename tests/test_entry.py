@@ -14,8 +14,8 @@ feed_take_while number_reviews representative_quotes newest_n subsample_head top
 union_sources first_wins_dedupe topup_resample mask_pii assign_themes discover_themes question_evidence
 prompt_lines pack_prompts annotate_batches parse_responses explode_payload weekly_note
 """.split()
-# Rejects and identity.
-BESIDE_KEYS = "reply_quarantine review_identity scan_appstore_feed_rejects".split()
+# Rejects, identity, and the same results from other layouts.
+BESIDE_KEYS = "reply_quarantine review_identity scan_appstore_feed_rejects landing_window landing_feed search_indexed".split()
 ROWS_ONLY = {"discover_themes"}
 
 
@@ -37,7 +37,7 @@ def test_entry_runs(spark):
 def test_no_row_caps_in_registered_sql():
     # A remainder shapes the data there, and every row is read: the layout of
     # the feed (FIXTURES.md), and which batches' replies come fenced or broken.
-    shaped = {"feed_take_while", "parse_responses", "reply_quarantine", "explode_payload", "theme_back_join",
+    shaped = {"feed_take_while", "landing_feed", "parse_responses", "reply_quarantine", "explode_payload", "theme_back_join",
               "scan_themes_csv", "sink_themes_csv"}
     for key, sql in entry.oracle_sql().items():
         if key not in shaped:
