@@ -166,3 +166,27 @@ def mix(docs: DataFrame, weights: DataFrame, budget: float | None, max_epochs: i
               .select("doc_id", *LEVELS, "tokens", F.col("epochs").cast("int").alias("epoch"),
                       F.least(F.col("tokens"), F.col("end_left") - F.col("at")).alias("taken")))
     return whole.unionByName(full).unionByName(ending)
+
+
+def times_chosen(docs: DataFrame, chosen: DataFrame, seed: int) -> DataFrame:
+    """``docs(doc_id, domain, lang, source, tokens, ...)`` with ``times``: in how
+    many epochs ``chosen``, the mix of the same documents, takes each row, the
+    last one as a whole.
+
+    A leaf takes all its rows in every epoch but its last, and in that one
+    those up to a row, in the order of draw, id and tokens.  That row, one for each leaf, is all
+    that the documents are compared with, so they stay where they are.  Rows that agree
+    in id, leaf and tokens are taken equally often.  Rows without tokens, and leaves without
+    a budget, are taken 0 times."""
+    rank = F.struct(F.col("epoch").alias("epoch"), draw(seed, F.col("epoch")).alias("draw"),
+                    F.col("doc_id").cast("long").alias("id"), F.col("tokens").alias("tokens"))
+    cut = materialize(chosen.groupBy(*(F.col(c).alias(f"c_{c}") for c in LEVELS)).agg(F.max(rank).alias("cut")), "mix-cuts")
+    same = F.lit(True)
+    for c in LEVELS:
+        same &= docs[c].eqNullSafe(cut[f"c_{c}"])
+    joined = docs.join(F.broadcast(cut) if cut.count() <= BROADCAST_LEAVES else cut, same, "left")
+    epoch = F.col("cut.epoch")
+    own = F.struct(epoch.alias("epoch"), draw(seed, epoch).alias("draw"), F.col("doc_id").cast("long").alias("id"),
+                   F.col("tokens").alias("tokens"))
+    times = F.when((F.col("tokens") > 0) & F.col("cut").isNotNull(), epoch + (own <= F.col("cut")).cast("int"))
+    return joined.withColumn("times", F.coalesce(times, F.lit(0)).cast("int")).drop("cut", *(f"c_{c}" for c in LEVELS))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_recorded: list[list[str]] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -38,9 +44,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    for paths in _recorded:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that ``materialize`` writes while the context is open."""
+    paths: list[str] = []
+    _recorded.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorded.pop()
+
+
+def remove(spark: SparkSession, paths: list[str], still_read: DataFrame | None = None) -> None:
+    """Delete folders that ``materialize`` wrote, but for those that
+    ``still_read`` has yet to read."""
+    needed = still_read.inputFiles() if still_read is not None else []
+    for path in paths:
+        if not any(path.rsplit("/", 1)[-1] in f for f in needed):
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows, else as
     it is, so that Spark shuffles the join.  ``df`` must be narrow and cheap

@@ -1,8 +1,12 @@
+import os
+from collections import Counter
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedlens.llm import queries
+from feedlens.llm import mixing, queries, tables
 from feedlens.llm.tables import materialize
 
 from .conftest import SF001
@@ -30,6 +34,55 @@ def test_stages_take_edge_rows_and_empty_tables(spark, edge, empty):
     assert corpus_pipeline.STAGES[-1][1](spark, empty, SF001).count() == 0
 
 
+def test_source_mix_takes_each_document_as_often_as_the_mix(spark, edge):
+    """Rows of the stage against the epochs in which the mix takes them, for edge
+    rows, repeated rows and clashing columns."""
+    stage = dict(corpus_pipeline.STAGES)["source_mix"]
+    real = spark.read.parquet(f"{SF001}/documents.parquet")
+    clash = edge.withColumns({c: F.lit(7) for c in ("tokens", "domain", "times", "cut", "epoch")})
+    for docs in (real, clash, edge.limit(0)):
+        rows = queries.mix_documents(docs).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source")})
+        chosen = mixing.mix(queries.mix_documents(docs), queries.mix_weights(spark), None, queries.MIX_EPOCHS, queries.MIX_SEED)
+        epochs = {}
+        for r in chosen.collect():
+            epochs.setdefault((r.doc_id, r.lang or "", r.source or "", r.tokens), set()).add(r.epoch)
+        want = Counter()
+        for r in rows.collect():
+            want[r.doc_id] += len(epochs.get((r.doc_id, r.lang, r.source, r.tokens), ()))
+        out = stage(spark, docs, SF001)
+        assert out.columns == docs.columns
+        assert Counter(r.doc_id for r in out.collect()) == +want
+    # The text is in no exchange of the stage's plan.
+    plan = stage(spark, real, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_a_stage_removes_what_the_one_before_left(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    left = []
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        stage(spark, docs, SF001).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert not any(os.path.exists(p) for p in left)
+        left = list(corpus_pipeline._written)
+        assert left and all(os.path.exists(p) for p in left)
+    # What a frame has yet to read stays.
+    again = corpus_pipeline.STAGES[0][1](spark, docs, SF001)
+    with tables.recorded() as paths:
+        held = tables.materialize(again, "held")
+    tables.remove(spark, paths, held)
+    assert held.count() == again.count() > 0
+    tables.remove(spark, paths)
+    assert not os.path.exists(paths[0])
+
+
+def test_run_leaves_its_result_alone(spark):
+    with tables.recorded() as paths:
+        out = corpus_pipeline.run(spark, SF001)
+    assert out.count() > 0
+    assert [p for p in paths if os.path.exists(p)] == [p for p in paths if "pipeline-best_fit_packing" in p]
+
+
 @pytest.mark.parametrize("key", sorted(queries.SQL))
 def test_oracle(spark, key):
     con = duckdb.connect()
