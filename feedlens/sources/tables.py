@@ -37,16 +37,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``review_id, source, rating, title, text, date`` (one row per document).
 
-    An equi-join on ``event_id = doc_id * 5``.  The document side is
-    hash-partitioned on the join key explicitly: a sort-merge join needs
-    exactly that exchange anyway (it is reused, not added), and when AQE
-    broadcasts the narrow events side instead, the exchange still spreads
-    the text-heavy rows over all tasks (a file with one row group would
-    otherwise be masked and tokenised by a single task).  The projections
-    prune the scans to the five columns used.
+    An equi-join on ``event_id = doc_id * 5``; Spark picks the strategy, and no
+    text is moved that the join does not move.  Only documents that arrive in fewer
+    partitions than there are cores (one small file with one row group) are
+    spread first, on the join key; else one task would mask and tokenise
+    them all.  The projections prune the scans to the five columns used.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = docs.repartition(F.col("doc_id") * DOC_EVENT_STRIDE)
+    if docs.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        docs = docs.repartition(F.col("doc_id") * DOC_EVENT_STRIDE)
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
     joined = docs.join(events, events.event_id == docs.doc_id * DOC_EVENT_STRIDE)
     etype = F.col("event_type")

@@ -80,3 +80,23 @@ def test_quote_read_back_filters_at_the_documents_scan(spark):
     masking = next(i for i, line in enumerate(plan) if "regexp_replace" in line)
     assert masking < repart < semi  # printed top-down: the semi join is the deepest
     assert sorted(r.quote_id for r in quotes.collect()) == [5, 6, 7]
+
+
+def test_review_view_moves_no_text_that_comes_in_many_partitions(spark, tmp_path):
+    """Masked rows and searches over documents in many files: no exchange of text
+    below the test, and equal rows either way."""
+    from feedlens.operators import privacy
+    few = tables.reviews(spark, SF001)
+    for name in ("documents", "events"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").repartition(40).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))
+    try:
+        many = tables.reviews(spark, str(tmp_path))
+        key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+        for query in (lambda r: privacy.pii_marked_rows(clean_reviews(r)), lambda r: search.search_reviews(clean_reviews(r), "email")):
+            assert "REPARTITION" in query(few)._jdf.queryExecution().executedPlan().toString()
+            assert "REPARTITION" not in query(many)._jdf.queryExecution().executedPlan().toString()
+            assert key(query(many)) == key(query(few))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
