@@ -27,6 +27,8 @@ SEPARATOR = 0
 TOKEN_BYTES = 4
 #: Bytes of a block; a task holds one block at a time.
 BLOCK_BYTES = 8 << 20
+#: Blocks that a task reads, one after the other, once there are more than shuffle partitions.
+BLOCKS_PER_TASK = 32
 
 
 def _file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -108,7 +110,9 @@ def separator_scan(files: DataFrame, block_bytes: int = BLOCK_BYTES, separator:
                     [pa.array([name]), pa.array([begin // TOKEN_BYTES]), pa.array([length // TOKEN_BYTES]),
                      pa.array([ends], pa.list_(pa.int64()))], names=["file", "begin", "length", "ends"])
 
-    dealt = blocks.repartition(max(1, blocks.count()), "path", "begin")
+    count = blocks.count()
+    tasks = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // BLOCKS_PER_TASK))
+    dealt = blocks.repartition(max(1, min(count, tasks)), "path", "begin")
     found = materialize(dealt.mapInArrow(scan, "file string, begin long, length long, ends array<long>"), "token-ends")
 
     before = Window.partitionBy("file").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
