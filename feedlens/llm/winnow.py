@@ -22,8 +22,8 @@ from feedlens.llm.tables import materialize
 
 GRAM_WORDS = 5
 WINDOW = 8
-#: Cells of equal width into which ids are counted to cut even blocks.
-CELLS = 2**16
+#: Blocks at most; their bounds are one literal of so many longs.
+BLOCKS = 2**16
 #: Documents in a block that is sorted by one task.
 BLOCK_ROWS = 500
 _PLACE = 2**31 - 1
@@ -81,42 +81,44 @@ def likeness(a: Column, b: Column) -> Column:
         F.size(F.array_intersect(a, b)) / n))
 
 
-def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Cell -> block of ids, blocks of about ``BLOCK_ROWS`` rows numbered by
-    descending id, with the largest id of the following block, and the
-    smallest id; at most ``CELLS`` rows."""
-    low, high = docs.agg(F.min("key"), F.max("key")).first()
-    low, high = low or 0, high or 0
-    width = (high - low) // CELLS + 1
-    cell = F.expr(f"(key - {low}L) div {width}L")
-    counts = docs.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.max("key").alias("top"))
-    down = Window.orderBy(F.desc("cell"))
-    blocks = counts.withColumn("block", F.floor((F.sum("n").over(down) - F.col("n")) / BLOCK_ROWS))
-    return materialize(blocks.select("cell", "block", "top"), "winnow-blocks"), cell
+def _block_of(docs: DataFrame) -> Column:
+    """Block of a row's key.  The blocks hold about ``BLOCK_ROWS`` rows each (more
+    where that would be over ``BLOCKS`` blocks), however the keys are
+    spread, and are numbered by descending key; their bounds are quantiles of the keys."""
+    wanted = min(BLOCKS, -(-docs.count() // BLOCK_ROWS))
+    if wanted <= 1:
+        return F.lit(0)
+    shares = [i / wanted for i in range(1, wanted)]
+    found = docs.agg(F.percentile_approx("key", shares, max(10000, 10 * wanted))).first()[0]
+    bounds = sorted(set(found), reverse=True)
+    # One folded literal; a row counts the bounds at or above its key by halving steps.
+    listed = F.transform(F.split(F.lit(",".join(map(str, bounds))), ","), lambda b: b.cast("long"))
+    steps = F.array(*(F.lit(2**i) for i in reversed(range(len(bounds).bit_length()))))
+    return F.aggregate(steps, F.lit(0), lambda below, step: F.when(
+        F.get(listed, below + step - 1) >= F.col("key"), below + step).otherwise(below))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """``docs(key, text, ...)`` with struct ``next``: the following row's text
-    and packed hashes by descending key, after the last the first.
+    """``docs(doc_id, key, text, ...)`` with struct ``next``: the following row's
+    text and packed hashes by descending key, after the last the first.
 
     A block also gets a copy of the row that follows its last one, so one
     shuffle of the rows is enough.
     """
-    blocks, cell = _blocks(docs)
-    tops = blocks.groupBy("block").agg(F.max("top").alias("top"))
+    rows = docs.withColumn("block", _block_of(docs))
     order = Window.orderBy("block")
     # The row with the largest id of a block also goes to the block before it;
     # the very first also to the last block.
+    tops = materialize(rows.groupBy("block").agg(F.max("key").alias("top")), "winnow-blocks")
     last = tops.agg(F.max("block")).first()[0]
     tops = tops.withColumn("before", F.coalesce(F.lag("block").over(order), F.lit(last)))
     tops = materialize(tops.select(F.col("top").alias("top_key"), "before"), "winnow-tops")
-    rows = docs.withColumn("cell", cell).join(F.broadcast(blocks.select("cell", "block")), "cell").drop("cell")
     rows = rows.join(F.broadcast(tops), rows["key"] == tops["top_key"], "left").drop("top_key")
     own = F.struct(F.col("block"), F.lit(0).alias("copy"))
     copy = F.struct(F.col("before").alias("block"), F.lit(1).alias("copy"))
     rows = rows.withColumn("to", F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, copy))))
     rows = rows.select(*docs.columns, "to.block", "to.copy")
-    ordered = Window.partitionBy("block").orderBy("copy", F.desc("key"), "text")
+    ordered = Window.partitionBy("block").orderBy("copy", F.desc("key"), F.col("doc_id").isNull(), "text")
     return (rows.withColumn("next", F.lead(F.struct("text", "packed")).over(ordered))
             .where("copy = 0").drop("block", "copy"))
 
@@ -129,13 +131,15 @@ def winnow_documents(docs: DataFrame, k: int = GRAM_WORDS, window: int = WINDOW)
     next document's.
 
     * Null text is the empty text; null ids come last in descending order.
-    * Rows with the same id follow each other in order of their texts; a
-      single row is its own successor.  An empty table gives no rows.
+    * Rows with the same id follow each other in order of their texts, sorted by
+      one task; a single row is its own successor.  An empty table gives no rows.
+    * Ids may be any longs, evenly spread or not.  Very long texts are read whole.
     * Only ``doc_id`` and ``text`` are read; other columns may have any name.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    low = rows.agg(F.min("doc_id")).first()[0]
-    rows = rows.withColumn("key", F.coalesce("doc_id", F.lit((low or 0) - 1)))
+    # Null ids lie just below the smallest id; where there is no smaller long, the order tells them apart.
+    low = rows.agg(F.min("doc_id")).first()[0] or 0
+    rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(max(low - 1, -2**63)).cast("long")))
     rows = rows.withColumn("packed", fingerprint(F.col("text"), k, window))
     rows = with_next(rows)
     n = F.char_length("text")
