@@ -19,6 +19,8 @@ from feedlens.session import scratch_path
 
 #: Shards of the sharding query.
 SHARDS = 16
+#: Shards of the map that the sharding query finds and edits.
+SHARDS_BEFORE = 12
 #: Seed and epochs of the mixing query.
 MIX_SEED, MIX_EPOCHS = 17, 4
 #: Domains of the mixing tree: sources are dealt to them by number.
@@ -61,7 +63,7 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = sharding.SlotMapStore(spark, scratch_path(spark, "slot-map"))
-    rows = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS, store)
+    rows = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS, store, shards_before=SHARDS_BEFORE)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 

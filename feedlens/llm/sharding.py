@@ -20,6 +20,8 @@ from feedlens.llm.tables import materialize
 VIRTUAL_SLOTS = 8192
 #: Shards are balanced when the largest exceeds the mean by no more than this.
 TOLERANCE = 0.01
+#: The same for the shards of ``shard_documents``.
+DOCUMENT_TOLERANCE = 0.001
 
 _MAP = StructType([StructField("version", IntegerType()), StructField("virtual_slot", IntegerType()),
                    StructField("shard", IntegerType())])
@@ -59,7 +61,8 @@ def rebalanced(current: dict[int, int], sizes: dict[int, int], shards: int,
                tolerance: float = TOLERANCE) -> dict[int, int]:
     """``current`` edited for ``shards`` shards: slots of shards that are gone
     and single slots of the fullest shard move to the emptiest, until all are
-    within the tolerance or no move narrows the gap.  Other slots stay."""
+    within the tolerance or no move narrows the gap.  A shard that can give no
+    slot, as one with a single very large row, leaves its turn to the next.  Other slots stay."""
     placed = dict(current)
     totals = {s: 0 for s in range(shards)}
     held: dict[int, set[int]] = {s: set() for s in range(shards)}
@@ -76,20 +79,23 @@ def rebalanced(current: dict[int, int], sizes: dict[int, int], shards: int,
         totals[to] += sizes.get(slot, 0)
         held[to].add(slot)
     mean = sum(totals.values()) / shards
-    while True:
-        high = max(totals, key=lambda s: (totals[s], -s))
+    giving = set(totals)
+    while giving:
+        high = max(giving, key=lambda s: (totals[s], -s))
         low = min(totals, key=lambda s: (totals[s], s))
         gap = totals[high] - totals[low]
         if totals[high] <= mean * (1 + tolerance) and totals[low] >= mean * (1 - tolerance):
             return placed
         fitting = [v for v in held[high] if 0 < sizes.get(v, 0) < gap]
         if not fitting:
-            return placed
+            giving.remove(high)
+            continue
         slot = max(fitting, key=lambda v: (min(sizes[v], gap - sizes[v]), -v))
         placed[slot] = low
         held[high].remove(slot), held[low].add(slot)
         totals[high] -= sizes[slot]
         totals[low] += sizes[slot]
+    return placed
 
 
 class SlotMapStore:
@@ -106,6 +112,15 @@ class SlotMapStore:
     def load(self, version: int) -> DataFrame:
         return self.spark.read.schema(_MAP).parquet(f"{self.path}/version={version:08d}/map")
 
+    def latest(self) -> int:
+        """The last version saved; 0 in an empty store."""
+        root = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(root):
+            return 0
+        names = [f.getPath().getName() for f in files.listStatus(root)]
+        return max((int(n.split("=")[1]) for n in names if n.startswith("version=")), default=0)
+
     def placed(self, version: int) -> dict[int, int]:
         return {r.virtual_slot: r.shard for r in self.load(version).collect()}
 
@@ -126,16 +141,28 @@ def numbered(rows: DataFrame) -> DataFrame:
             .withColumn("slot", (F.col("start") + F.col("place") - 1).cast("long")).drop("start", "place"))
 
 
-def shard_documents(docs: DataFrame, shards: int, store: SlotMapStore, n_slots: int = VIRTUAL_SLOTS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int, store: SlotMapStore, n_slots: int = VIRTUAL_SLOTS,
+                    shards_before: int | None = None) -> DataFrame:
     """``documents(doc_id, text)`` -> one row per input row: ``doc_id``,
     ``size``, ``text_crc32``, ``virtual_slot``, ``shard``, ``slot``; shard
-    sizes in bytes are near equal.  The map is saved as version 1.
+    sizes in bytes are near equal.
+
+    The store's last version of the map is edited for ``shards`` shards and the
+    present sizes, and saved as the next one.  An empty store starts with a
+    version for ``shards_before`` shards (``shards`` if not given).
 
     * Null text has size 1 and the checksum of the empty text.
     * Null and repeated ids are rows like any other; rows equal in id, size
       and checksum share a slot.  An empty table gives no rows.
+    * A very long text is one row of its slot; slots of the same size are
+      placed in order of their number.
     * Only ``doc_id`` and ``text`` are read; other columns may have any name.
     """
     rows = materialize(sized(docs, n_slots), "shard-rows")
-    store.save(1, initial_map(slot_sizes(rows), shards, n_slots))
-    return numbered(assign(rows, store.load(1)))
+    sizes = slot_sizes(rows)
+    version = store.latest()
+    if not version:
+        version = 1
+        store.save(version, initial_map(sizes, shards_before or shards, n_slots))
+    store.save(version + 1, rebalanced(store.placed(version), sizes, shards, DOCUMENT_TOLERANCE))
+    return numbered(assign(rows, store.load(version + 1)))

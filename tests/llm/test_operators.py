@@ -206,6 +206,35 @@ def test_shards_by_bytes(spark, edge, empty):
     assert sharding.shard_documents(empty, 4, sharding.SlotMapStore(spark, scratch_path(spark, "map")), 64).count() == 0
 
 
+def test_sharding_takes_its_shards_from_an_edited_version(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    store = sharding.SlotMapStore(spark, scratch_path(spark, "map"))
+    assert store.latest() == 0
+    rows = sharding.shard_documents(docs, 16, store, shards_before=12).collect()
+    first, second = store.placed(1), store.placed(2)
+    assert store.latest() == 2 and set(first.values()) == set(range(12)) and set(second.values()) == set(range(16))
+    assert all(r.shard == second[r.virtual_slot] for r in rows)
+    # Slots move to the new shards only as far as the balance asks for.
+    stayed = sum(first[s] == second[s] for s in first)
+    assert stayed > 0.5 * len(first)
+    total = collections.Counter()
+    for r in rows:
+        total[r.shard] += r.size
+    assert max(total.values()) < 1.1 * min(total.values())
+    again = sharding.shard_documents(docs, 16, store).collect()
+    assert store.latest() == 3 and {(r.doc_id, r.shard) for r in again} == {(r.doc_id, r.shard) for r in rows}
+
+
+def test_a_shard_with_one_large_slot_leaves_the_rest_to_balance():
+    sizes = {0: 10_000, **{s: 10 for s in range(1, 400)}}
+    placed = {s: 0 if s == 0 else 1 + s % 2 for s in sizes}
+    got = sharding.rebalanced(placed, sizes, 5)
+    total = collections.Counter()
+    for s, shard in got.items():
+        total[shard] += sizes[s]
+    assert total[0] == 10_000 and max(total[s] for s in range(1, 5)) <= 1010 and min(total[s] for s in range(1, 5)) >= 980
+
+
 def test_rebalancing_edits_the_map(spark):
     sizes = {s: 10 + s % 7 for s in range(1000)}
     first = sharding.initial_map(sizes, 8, 1000)
@@ -382,6 +411,31 @@ def test_winnowing_keeps_the_rightmost_minimum_of_each_window(spark, edge):
         assert dict(zip(r.at, r.hashes)) == chosen
 
 
+@pytest.mark.parametrize("ids", [
+    [*range(0, 4000, 2), 2**50], [-2**63, 2**63 - 1, 0, None, None, *range(5, 900)], [7] * 1500 + [8, 9, None], [3]])
+def test_winnow_follows_any_ids(spark, ids, monkeypatch):
+    monkeypatch.setattr(winnow, "BLOCK_ROWS", 100)
+    rows = [(d, f"text {j} of {d}") for j, d in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    follower = {a[1]: b[1] for a, b in zip(order, order[1:] + order[:1])}
+    got = winnow.winnow_documents(docs).select("doc_id", "text", "edited").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        half = len(r.text) // 2
+        assert r.edited == r.text[:len(r.text) - half] + follower[r.text][:half]
+    if len(set(ids)) > 1000:  # evenly filled whatever the distance of the ids
+        keyed = docs.withColumn("key", F.col("doc_id"))
+        sizes = [r["count"] for r in keyed.groupBy(winnow._block_of(keyed).alias("b")).count().collect()]
+        assert len(sizes) >= 15 and max(sizes) < 250
+
+
+def test_winnow_likeness_is_the_jaccard_similarity_of_the_hashes(spark):
+    for r in queries.op6_winnowing(spark, SF001).collect():
+        own, other = ({g.split(":")[0] for g in t.split()} for t in (r.fingerprint, r.edited_fingerprint))
+        assert abs(r.near_edited - (len(own & other) / len(own | other) if own | other else 1.0)) < 1e-12
+
+
 def test_winnow_edited_text_and_next_document(spark, documents, edge, empty):
     for docs in (documents, edge):
         rows = sorted(((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()),
