@@ -92,7 +92,7 @@ def _block_of(docs: DataFrame) -> Column:
     found = docs.agg(F.percentile_approx("key", shares, max(10000, 10 * wanted))).first()[0]
     bounds = sorted(set(found), reverse=True)
     # One folded literal; a row counts the bounds at or above its key by halving steps.
-    listed = F.transform(F.split(F.lit(",".join(map(str, bounds))), ","), lambda b: b.cast("long"))
+    listed = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<long>")
     steps = F.array(*(F.lit(2**i) for i in reversed(range(len(bounds).bit_length()))))
     return F.aggregate(steps, F.lit(0), lambda below, step: F.when(
         F.get(listed, below + step - 1) >= F.col("key"), below + step).otherwise(below))
