@@ -24,7 +24,15 @@ that are needed to know the connected components, exactly:
    whether it meets another group or not; in a large one a few more sets are
    first paired with all others, so that few components are left to pair.
 
-Whole sets are built again only for documents that meet another in a list.
+The counters of step 1 have a fixed size, so on a large corpus a shingle that
+many documents share may look rare and bring unlike documents together.  This
+shows before step 4, as lists whose sets lie in many components.  Where such
+lists would emit more pairs than there are postings, their shingles are put
+behind all others, by the length of their lists, and steps 2 and 3 are
+repeated with that order; digests, and so the links found, stay valid.
+
+Whole sets are built again only for documents that meet another in a list,
+once for each digest however many rows have it.
 """
 
 from __future__ import annotations
@@ -40,7 +48,7 @@ from pyspark.sql import Window
 
 from feedlens.llm import text
 from feedlens.llm.components import connected_components
-from feedlens.llm.tables import bounded, materialize, prepare_tasks
+from feedlens.llm.tables import bounded, materialize, prepare_tasks, recorded, remove
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -53,6 +61,11 @@ LIST_ROWS = 200_000
 #: In a group with more sets in open components, so many further sets are
 #: paired with the whole group before the rest is paired.
 HEAD_SETS, HEAD_ROUNDS = 16, 3
+#: A shingle is common if its list would emit more than so many pairs for each
+#: entry.  At most so many common shingles are broadcast (16 MB), the longest
+#: lists first, and the order is mended at most so often; pairs that are left
+#: are then emitted as they are.
+COMMON_PAIRS, COMMON_SHINGLES, ORDER_ROUNDS = 16, 1_000_000, 3
 
 
 def _shingles(batches: Iterator[pa.RecordBatch], k: int):
@@ -102,16 +115,34 @@ def _prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
-def document_sets(docs: DataFrame, counts: np.ndarray, k: int = SHINGLE_WORDS,
-                  percent: int = SIMILARITY_PERCENT) -> DataFrame:
+def _frequencies(own: np.ndarray, counts: np.ndarray, shift: np.uint64,
+                 common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Per shingle its place in the order and the expected entries of its list."""
+    expected = counts[(own >> shift).astype(np.int64)].astype(np.int64)
+    shingles, entries = common
+    if not len(shingles):
+        return expected, expected
+    at = np.minimum(np.searchsorted(shingles, own), len(shingles) - 1)
+    known = shingles[at] == own
+    return np.where(known, 2**31 + entries[at], expected), np.where(known, entries[at], expected)
+
+
+NONE_COMMON = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+
+def document_sets(docs: DataFrame, counts: np.ndarray, k: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT,
+                  common: tuple[np.ndarray, np.ndarray] = NONE_COMMON) -> DataFrame:
     """Per document ``(doc_id, n, sig, grp, prefix, part)``.
 
+    ``common``: shingles, ascending, that come last in the order, and the
+    entries of their lists.
+
     ``sig`` is a 128-bit digest of the whole set, ``grp`` of size and prefix.
     A task sends a group's prefix once, with its first document; ``part`` says
     which part of a long posting list the group is in, of how many
     (``part * 2**16 + parts``).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    shared = docs.sparkSession.sparkContext.broadcast((counts, common))
     shift = np.uint64(64 - int(np.log2(len(counts))))
     schema = "doc_id long, n int, sig binary, grp long, prefix array<long>, part array<int>"
 
@@ -126,8 +157,8 @@ def document_sets(docs: DataFrame, counts: np.ndarray, k: int = SHINGLE_WORDS,
                 if not n:
                     sig.append(None), grp.append(None), prefix.append(None), part.append(None)
                     continue
-                common = shared.value[(own >> shift).astype(np.int64)]
-                order = np.lexsort((own, common))[:_prefix_length(n, percent)]
+                place, expected = _frequencies(own, shared.value[0], shift, shared.value[1])
+                order = np.lexsort((own, place))[:_prefix_length(n, percent)]
                 first = own[order].view(np.int64)
                 sig.append(xxhash.xxh3_128_digest(own.tobytes()))
                 g = xxhash.xxh3_64_intdigest(first.tobytes(), seed=n) - 2**63
@@ -136,7 +167,7 @@ def document_sets(docs: DataFrame, counts: np.ndarray, k: int = SHINGLE_WORDS,
                     prefix.append(None), part.append(None)
                 else:
                     seen.add(g)
-                    parts = np.minimum(1 + common[order].astype(np.int64) // LIST_ROWS, 2**14)
+                    parts = np.minimum(1 + expected[order] // LIST_ROWS, 2**14)
                     prefix.append(first), part.append(((g % parts) << 16) + parts)
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).cast(pa.int64()), pa.array(size, pa.int32()), pa.array(sig, pa.binary()),
@@ -201,15 +232,21 @@ def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``(sig, size, shingles)`` of the documents in ``wanted(doc)``."""
+    """``(sig, size, shingles)`` of the documents in ``wanted(doc)``, one row
+    for each digest and task (rows may repeat an id)."""
     def build(batches):
+        seen: set[bytes] = set()
         for _, hashes, ranges in _shingles(batches, k):
-            own = [np.unique(hashes[a:b]) for a, b in zip(ranges[:-1], ranges[1:])]
-            own = [x for x in own if len(x)]
+            sigs, sets = [], []
+            for a, b in zip(ranges[:-1], ranges[1:]):
+                own = np.unique(hashes[a:b])
+                sig = xxhash.xxh3_128_digest(own.tobytes())
+                if len(own) and sig not in seen:
+                    seen.add(sig)
+                    sigs.append(sig), sets.append(own.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in own], pa.binary()),
-                 pa.array([len(x) for x in own], pa.int32()),
-                 pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))],
+                [pa.array(sigs, pa.binary()), pa.array([len(x) for x in sets], pa.int32()),
+                 pa.array(sets, pa.list_(pa.int64()))],
                 names=["sig", "size", "shingles"])
 
     ids = bounded(wanted)
@@ -217,11 +254,23 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(build, "sig binary, size int, shingles array<long>")
 
 
+def _one_of_each(sets: DataFrame) -> DataFrame:
+    """One row for each digest of the written ``sets``.  Only digests that
+    several tasks sent are compared, so only their sets move."""
+    repeated = materialize(sets.groupBy("sig").agg(F.count("*").alias("rows")).where("rows > 1").select("sig"),
+                           "jaccard-repeated")
+    if repeated.isEmpty():
+        return sets
+    repeated = bounded(repeated)
+    return (sets.join(repeated, "sig", "left_anti")
+            .unionByName(sets.join(repeated, "sig", "left_semi").dropDuplicates(["sig"])))
+
+
 def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of set digests whose whole sets link."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    wanted = materialize(nodes.join(ends, "sig", "left_semi").select("doc"), "jaccard-wanted")
-    sets = materialize(_whole_sets(docs, wanted, k), "jaccard-whole")
+    wanted = materialize(nodes.join(ends, "sig", "left_semi").select("doc").distinct(), "jaccard-wanted")
+    sets = _one_of_each(materialize(_whole_sets(docs, wanted, k), "jaccard-whole"))
     left = sets.select(F.col("sig").alias("a"), F.col("size").alias("a_size"), F.col("shingles").alias("a_set"))
     right = sets.select(F.col("sig").alias("b"), F.col("size").alias("b_size"), F.col("shingles").alias("b_set"))
     return (pairs.join(right, "b").join(left, "a")
@@ -251,10 +300,9 @@ def _head_pairs(several: DataFrame, heads: DataFrame, components: DataFrame) ->
     return heads.select("grp", "head"), pairs
 
 
-def _cross_pairs(lists: DataFrame, nodes: DataFrame, several: DataFrame, components: DataFrame, done: DataFrame,
-                 percent: int) -> DataFrame:
-    """Pairs of sets that meet in a list or a group, may link, lie in
-    different components and were not verified before."""
+def _open_members(lists: DataFrame, nodes: DataFrame, several: DataFrame, components: DataFrame) -> DataFrame:
+    """``(token, grp, n, pos, inner, sig, component)``: the sets of lists, and
+    of groups (``inner``), that lie in several components."""
     # A list of two groups is settled by its one pair, unless a group holds
     # several sets; other lists are settled where all sets are in one component.
     groups = materialize(several.groupBy("grp").agg(F.first("n").alias("n")), "jaccard-several")
@@ -262,14 +310,44 @@ def _cross_pairs(lists: DataFrame, nodes: DataFrame, several: DataFrame, compone
     with_several = materialize(lists.join(bounded(several), "grp", "left_semi").select("token").distinct(), "jaccard-tokens")
     rest = lists.where("entries <= 2 and parts = 1").join(bounded(with_several), "token", "left_semi")
     open_lists = lists.where("entries > 2 or parts > 1").unionByName(rest).select("token", "grp", "n", "pos").distinct()
-    open_lists = open_lists.unionByName(groups.select(F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos")))
+    open_lists = open_lists.withColumn("inner", F.lit(False))
+    open_lists = open_lists.unionByName(groups.select(F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos"), F.lit(True).alias("inner")))
     members = (open_lists.join(nodes.select("grp", "sig"), "grp")
                .join(components.select(F.col("node").alias("sig"), "component"), "sig", "left")
                .withColumn("component", F.coalesce("component", "sig")))
     members = materialize(members, "jaccard-members")
     mixed = (members.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
              .where("x <> y").select("token"))
-    members = members.join(mixed, "token", "left_semi")
+    return members.join(mixed, "token", "left_semi")
+
+
+def _common_shingles(members: DataFrame, postings: int,
+                     common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray] | None:
+    """``common`` and the shingles whose lists would emit most pairs of sets in
+    different components, or None where all pairs are no more than
+    ``postings`` or no shingle is left to add."""
+    sizes = members.where("not inner").groupBy("token", "component").agg(F.count("*").alias("m"))
+    lists = (sizes.groupBy("token").agg(F.sum("m").alias("entries"), F.sum(F.expr("double(m) * m")).alias("same"))
+             .withColumn("pairs", F.expr("(double(entries) * entries - same) / 2"))
+             .where(F.col("pairs") > COMMON_PAIRS * F.col("entries")).drop("same"))
+    lists = materialize(lists, "jaccard-common")
+    if (lists.agg(F.sum("pairs")).first()[0] or 0) <= postings:
+        return None
+    shingles, entries = common
+    found = lists.orderBy(F.desc("pairs"), "token").select("token", "entries").limit(COMMON_SHINGLES).toPandas()
+    token = found["token"].to_numpy(np.int64).view(np.uint64)
+    new = np.flatnonzero(~np.isin(token, shingles))[:COMMON_SHINGLES - len(shingles)]
+    if not len(new):
+        return None
+    shingles = np.concatenate([shingles, token[new]])
+    entries = np.concatenate([entries, found["entries"].to_numpy(np.int64)[new]])
+    order = np.argsort(shingles)
+    return shingles[order], entries[order]
+
+
+def _cross_pairs(members: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets that meet in a list or a group, may link, lie in
+    different components and were not verified before."""
     a = members.select("token", *(F.col(c).alias(f"a_{c}") for c in ("sig", "n", "pos", "component")))
     b = members.select("token", *(F.col(c).alias(f"b_{c}") for c in ("sig", "n", "pos", "component")))
     return _new_pairs(a.join(b, "token")
@@ -278,35 +356,21 @@ def _cross_pairs(lists: DataFrame, nodes: DataFrame, several: DataFrame, compone
                       .select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")), done)
 
 
-def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS,
-                             percent: int = SIMILARITY_PERCENT) -> DataFrame:
-    """``documents(doc_id, text)`` -> ``(doc_id, n_shingles, component_id)``,
-    one row per input row.
-
-    * Null, empty or word-free text: ``n_shingles`` 0, a component of its own.
-    * One to four words: the whole sequence is the only shingle.
-    * Repeated rows: each is returned; equal texts are in one component.
-    * ``component_id`` is the smallest non-null ``doc_id`` of the component
-      (null where all are null).  An empty table gives an empty result.
-    * Only ``doc_id`` and ``text`` are read; other columns may have any name.
-    """
-    spark = docs.sparkSession
-    prepare_tasks(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = materialize(document_sets(docs, shingle_counts(docs, k), k, percent), "jaccard-sets")
-    nodes = materialize(sets.where("n > 0").groupBy("grp", "sig").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")), "jaccard-nodes")
-    lists = materialize(posting_lists(sets, percent), "jaccard-lists")
-
+def _first_components(docs: DataFrame, nodes: DataFrame, lists: DataFrame, pairs: DataFrame, links: DataFrame,
+                      k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Pairs verified so far, their links and components, and the sets of
+    groups that hold several: step 3, added to the ``pairs`` and ``links`` of
+    an earlier order."""
     first = nodes.groupBy("grp").agg(F.min("sig").alias("head"), F.max("sig").alias("tail"))
-    star = _star_pairs(lists, percent)
     heads_a = first.select(F.col("grp").alias("a"), F.col("head").alias("a_sig"))
     heads_b = first.select(F.col("grp").alias("b"), F.col("head").alias("b_sig"))
-    pairs = (star.join(heads_a, "a").join(heads_b, "b").select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")))
+    star = (_star_pairs(lists, percent).join(heads_a, "a").join(heads_b, "b")
+            .select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")))
     inside = (nodes.join(first.where("head <> tail"), "grp").where("sig <> head")
               .select(F.col("head").alias("a"), F.col("sig").alias("b")))
-    pairs = materialize(pairs.union(inside), "jaccard-star")
-
-    links = materialize(_verify(docs, nodes, pairs, k, percent), "jaccard-links")
+    star = materialize(_new_pairs(star.union(inside), pairs), "jaccard-star")
+    pairs = pairs.union(star)
+    links = materialize(links.union(_verify(docs, nodes, star, k, percent)), "jaccard-links")
     components = connected_components(links)
     several = first.where("head <> tail")
     heads = several.select("grp", "head")
@@ -319,7 +383,40 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS,
         links = materialize(links.union(_verify(docs, nodes, more, k, percent)), "jaccard-links")
         pairs = pairs.union(more)
         components = connected_components(links)
-    cross = materialize(_cross_pairs(lists, nodes, several, components, pairs, percent), "jaccard-cross")
+    return pairs, links, components, several
+
+
+def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT,
+                             bits: int = COUNT_BITS) -> DataFrame:
+    """``documents(doc_id, text)`` -> ``(doc_id, n_shingles, component_id)``,
+    one row per input row.
+
+    * Null, empty or word-free text: ``n_shingles`` 0, a component of its own.
+    * One to four words: the whole sequence is the only shingle.
+    * Repeated rows: each is returned; equal texts are in one component.
+    * ``component_id`` is the smallest non-null ``doc_id`` of the component
+      (null where all are null).  An empty table gives an empty result.
+    * Only ``doc_id`` and ``text`` are read; other columns may have any name.
+    """
+    spark = docs.sparkSession
+    prepare_tasks(spark)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    counts, common = shingle_counts(docs, k, bits), NONE_COMMON
+    pairs = links = spark.sql("select binary(null) as a, binary(null) as b where false")
+    for order in range(ORDER_ROUNDS + 1):
+        with recorded() as written:
+            sets = materialize(document_sets(docs, counts, k, percent, common), "jaccard-sets")
+            nodes = materialize(sets.where("n > 0").groupBy("grp", "sig").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")), "jaccard-nodes")
+            lists = materialize(posting_lists(sets, percent), "jaccard-lists")
+        pairs, links, components, several = _first_components(docs, nodes, lists, pairs, links, k, percent)
+        with recorded() as opened:
+            members = materialize(_open_members(lists, nodes, several, components), "jaccard-mixed")
+        more = _common_shingles(members, lists.count(), common) if order < ORDER_ROUNDS else None
+        if more is None:
+            break
+        common = more
+        remove(spark, written + opened)
+    cross = materialize(_cross_pairs(members, pairs, percent), "jaccard-cross")
     links = links.union(_verify(docs, nodes, cross, k, percent))
     components = connected_components(links)
 
