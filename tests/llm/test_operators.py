@@ -170,6 +170,45 @@ def test_jaccard_links_inside_a_lone_group(spark, monkeypatch, head_sets):
     assert found == base_of
 
 
+def count_verified(monkeypatch):
+    """Rows that go into and come out of each verification."""
+    seen, verify = [], jaccard._verify
+
+    def counted(docs, nodes, pairs, k, percent):
+        links = materialize(verify(docs, nodes, pairs, k, percent), "jaccard-counted")
+        seen.append((pairs.count(), links.count()))
+        return links
+
+    monkeypatch.setattr(jaccard, "_verify", counted)
+    return seen
+
+
+def test_jaccard_repeated_rows_of_one_id_make_one_link(spark, monkeypatch):
+    base = [f"w{i}" for i in range(60)]
+    near, lone = base[:-1] + ["other"], [f"v{i}" for i in range(30)]
+    rows = [(i, " ".join(words)) for i, words in ((1, base), (2, near), (None, lone), (None, near)) for _ in range(2500)]
+    seen = count_verified(monkeypatch)
+    found = jaccard.ngram_jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(16))
+    counts = {tuple(r)[:3]: r["count"] for r in found.groupBy("doc_id", "n_shingles", "component_id").count().collect()}
+    assert counts == {(1, 56, 1): 2500, (2, 56, 1): 2500, (None, 26, None): 2500, (None, 56, 1): 2500}
+    assert sum(links for _, links in seen) == 1
+
+
+@pytest.mark.parametrize("documents", [100, 300])
+def test_jaccard_boilerplate_pairs_are_linear(spark, monkeypatch, documents):
+    # With two counters nothing tells the shared half from the own words at first.
+    boiler = " ".join(f"b{i}" for i in range(60))
+    own = [[f"d{d}w{i}" for i in range(60)] for d in range(documents)]
+    rows = [(d, boiler + " " + " ".join(words)) for d, words in enumerate(own)]
+    rows += [(documents + d, boiler + " " + " ".join(own[d][:-2] + ["x", "y"])) for d in range(0, documents, 10)]
+    seen = count_verified(monkeypatch)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.ngram_jaccard_components(df, bits=1).collect()}
+    assert found == {d: d - documents if d >= documents else d for d, _ in rows}
+    # A set posts 24 shingles; all pairs of a list would be len(rows) ** 2 / 2.
+    assert sum(pairs for pairs, _ in seen) <= 24 * len(rows)
+
+
 def test_jaccard_empty_table_and_stage(spark, empty, edge):
     assert jaccard.ngram_jaccard_components(empty).count() == 0
     kept = jaccard.keep_one_of_each(edge)
@@ -333,6 +372,46 @@ def test_quality_held_out_accuracy(spark):
     assert sum(bad) <= 0.3 * len(bad)
 
 
+def test_quality_thresholds_equal_a_direct_version(spark):
+    import zlib
+
+    import numpy as np
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    scores = quality.document_perplexity(docs, labels).toPandas()
+    scores["lang"] = scores["lang"].fillna("")
+    held = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in scores["doc_id"]])
+    assert (held == scores["held"]).all()
+    train, setting = scores[scores.trusted & ~held], scores[scores.trusted & held]
+    assert set(scores[scores.trusted].doc_id) == {r.doc_id for r in labels.where("quality = 1").collect()}
+
+    def weighed(own, known, overall):
+        return (known * own + quality.POOLED_WEIGHT * overall) / (known + quality.POOLED_WEIGHT)
+
+    overall = train.total.sum() / train.grams.sum()
+    pulled = {}
+    for lang, rows in scores.groupby("lang"):
+        own = train[train.lang == lang]
+        mean = weighed(own.total.sum() / own.grams.sum(), len(own), overall) if len(own) else overall
+        pulled.update(zip(rows.index, -(rows.total + 200 * mean) / (rows.grams + 200)))
+    scores["pulled"] = [pulled[i] for i in scores.index]
+
+    def quantile(values):  # the least value that at least 99.9 % do not exceed
+        return np.sort(values)[int(np.ceil(0.999 * len(values))) - 1]
+
+    setting = scores.loc[setting.index]
+    limits = {lang: quantile(setting.pulled) for lang in set(scores.lang)}
+    for lang, rows in setting.groupby("lang"):
+        limits[lang] = weighed(quantile(rows.pulled), len(rows), quantile(setting.pulled))
+    found = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    assert len(found) == len(scores)
+    for r in scores.itertuples():
+        assert np.isclose(np.log(found[r.doc_id].perplexity), r.pulled, rtol=1e-5)
+        assert np.isclose(np.log(found[r.doc_id].threshold), limits[r.lang], rtol=1e-5)
+        assert found[r.doc_id].kept == (found[r.doc_id].perplexity <= found[r.doc_id].threshold)
+
+
 def test_quality_edges(spark, edge, empty):
     labels = spark.createDataFrame([(1, 1), (1, 1), (8, 1), (None, 1), (10, None), (14, 0)], "doc_id long, quality int")
     assert quality.classify(edge, labels).count() == edge.count()
