@@ -144,21 +144,25 @@ def dense(values: DataFrame) -> np.ndarray:
     return table
 
 
-def gram_scores(spark, table: np.ndarray, caseless: bool = False, column: str = "text") -> Column:
+def gram_scores(spark, table: np.ndarray, caseless: bool = False, column: str = "text",
+                model: Column | None = None) -> Column:
     """Struct of the sum of the table's values over a text's n-grams and their
-    number."""
+    number.  ``table`` may hold the tables of several models, one after another;
+    ``model`` then says which of them scores a row."""
     shared = spark.sparkContext.broadcast(table)
 
     @F.arrow_udf("total double, grams long")
-    def score(values: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([values], names=["text"])
+    def score(values: pa.Array, models: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([values, models], names=["text", "model"])
         totals, sizes = [np.zeros(0)], [np.zeros(0, np.int64)]
-        for _, data, offsets in text.text_chunks(batch):
+        for rows, data, offsets in text.text_chunks(batch):
             grams, ranges = text_grams(data, offsets, caseless)
+            if len(shared.value) > GRAMS:
+                grams = grams + np.repeat(rows.column(1).to_numpy() * GRAMS, np.diff(ranges))
             totals.append(text.row_sums(shared.value[grams], ranges))
             sizes.append(np.diff(ranges))
         text.release_memory()
         return pa.StructArray.from_arrays([pa.array(np.concatenate(totals)), pa.array(np.concatenate(sizes))],
                                           names=["total", "grams"])
 
-    return score(F.col(column))
+    return score(F.col(column), F.lit(0) if model is None else model.cast("int"))
