@@ -304,10 +304,11 @@ def _batched(spark, sf) -> DataFrame:
     return prompts.assign_batches(prompts.number_reviews(_clean(spark, sf)))
 
 
-def _reply_texts(spark, sf) -> DataFrame:
+def _reply_texts(spark, sf, readable: bool = False) -> DataFrame:
     """``source, batch, response``: what the reviews of a batch are answered with,
     put together from their themes; by its number a batch's reply comes
-    inside a code fence, cut off, or as a refusal, as models send them."""
+    inside a code fence, cut off, or as a refusal, as models send them.  With
+    ``readable`` none is cut off or refused, as after asking again."""
     from feedlens.functions.lexicon import FALLBACK_THEME_ID, QUESTIONS
     keys = ["source", "batch"]
     themed = themes.assign_themes(_clean(spark, sf), THEME_TERMS, THEME_NAMES, questions=QUESTION_TERMS)
@@ -339,15 +340,17 @@ def _reply_texts(spark, sf) -> DataFrame:
     sent = batch.select(*keys, reply.alias("reply"))
     fenced = F.concat(F.lit("Here is the analysis:\n```json\n"), "reply", F.lit("\n```\nAnything else?"))
     cut = F.substring("reply", F.lit(1), F.floor(F.length("reply") / 2).cast("int"))
-    return sent.select(*keys, F.when(F.col("batch") % REPLY_CYCLE == FENCED_REPLY, fenced)
-                       .when(F.col("batch") % REPLY_CYCLE == REFUSED_REPLY, F.lit(REFUSAL))
-                       .when(F.col("batch") % REPLY_CYCLE == CUT_REPLY, cut).otherwise(F.col("reply")).alias("response"))
+    place = F.col("batch") % REPLY_CYCLE
+    faulty = F.lit(not readable)
+    return sent.select(*keys, F.when(place == FENCED_REPLY, fenced)
+                       .when(faulty & (place == REFUSED_REPLY), F.lit(REFUSAL))
+                       .when(faulty & (place == CUT_REPLY), cut).otherwise(F.col("reply")).alias("response"))
 
 
-def _parsed(spark, sf) -> DataFrame:
+def _parsed(spark, sf, readable: bool = False) -> DataFrame:
     """The replies as they land (JSON lines), read and parsed."""
     path = scratch_path(spark, "replies")
-    _reply_texts(spark, sf).write.json(path)
+    _reply_texts(spark, sf, readable).write.json(path)
     return replies.parse_responses(readers.scan_replies(spark, path))
 
 
@@ -405,7 +408,8 @@ def q_reply_quarantine(spark, sf):
 
 @register("explode_payload")
 def q_explode_payload(spark, sf):
-    return prompts.payload_rows(prompts.explode_payload(_parsed(spark, sf)))
+    # Every batch's payload: those of refused and cut replies, too.
+    return prompts.payload_rows(prompts.explode_payload(_parsed(spark, sf, readable=True)))
 
 
 @register("theme_back_join")

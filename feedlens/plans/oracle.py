@@ -338,9 +338,9 @@ FROM sent"""
 # answers and note per (source, batch) whose reply can be read.
 _PLACE = f"batch % {REPLY_CYCLE}"
 READABLE = f"{_PLACE} NOT IN ({REFUSED_REPLY}, {CUT_REPLY})"
-BATCH_THEMES = f"""bt AS (
+ALL_BATCH_THEMES = f"""bt AS (
   SELECT b.source, b.batch, b.review_index, b.text, t.theme_id, {_name_case('t.theme_id')} AS theme_name
-  FROM batched b JOIN themed t USING (review_id) WHERE b.{READABLE}),
+  FROM batched b JOIN themed t USING (review_id)),
 bn AS (SELECT source, batch, count(*) AS n FROM bt GROUP BY ALL),
 bc AS (
   SELECT source, batch, theme_id, any_value(theme_name) AS theme_name, count(*) AS c,
@@ -354,10 +354,13 @@ bq AS (
   FROM (SELECT source, batch, review_index, unnest({_TOKS}) AS term FROM batched) b
   JOIN {lexicon_values(QUESTION_TERMS, 'question_key')} USING (term)
   GROUP BY ALL)"""
+BATCH_THEMES = ALL_BATCH_THEMES.replace("USING (review_id))", f"USING (review_id) WHERE b.{READABLE})", 1)
 
 _QKEYS = ", ".join(f"({q(k)})" for k, _ in QUESTIONS)
 
 PARSED_CTES = with_(REVIEWS, CLEAN, THEMED, NUMBERED, BATCHED, BATCH_THEMES)
+# The payloads of all batches.
+PAYLOAD_CTES = with_(REVIEWS, CLEAN, THEMED, NUMBERED, BATCHED, ALL_BATCH_THEMES)
 
 SQL["parse_responses"] = PARSED_CTES + f"""
 SELECT bn.source, bn.batch, CASE WHEN bn.{_PLACE} = {FENCED_REPLY} THEN 'recovered' ELSE 'ok' END AS status,
@@ -373,7 +376,7 @@ SELECT DISTINCT source, batch, CASE WHEN {_PLACE} = {CUT_REPLY} THEN 'broken JSO
   CASE WHEN {_PLACE} = {CUT_REPLY} THEN '{{"themes":' ELSE {q(REFUSAL[:10])} END AS starts_with
 FROM batched WHERE NOT ({READABLE})"""
 
-SQL["explode_payload"] = PARSED_CTES + f"""
+SQL["explode_payload"] = PAYLOAD_CTES + f"""
 SELECT 'theme' AS kind, source, batch,
        CAST(row_number() OVER (PARTITION BY source, batch ORDER BY theme_id) - 1 AS BIGINT) AS pos,
        theme_id AS key, theme_name AS value
