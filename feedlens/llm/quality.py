@@ -3,7 +3,8 @@
 Interpolated modified Kneser-Ney models are trained on documents that the
 labels call good: one on each half of them, dealt by the text.  N-grams are
 counted in shards, and the n-grams of all documents are joined with those
-counts, their histories and their suffixes to give each its probability; a
+counts, their histories and their suffixes to give each its probability; the
+documents' n-grams are joined with these (frequent ones by broadcast); a
 document's perplexity is the mean over its own n-grams under the model of the
 other half, so no text is scored by a model that has seen it.  The trusted
 documents' perplexities give each language's quantile, and a document above
@@ -12,7 +13,6 @@ its language's quantile is rejected.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +41,17 @@ def document_perplexity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id", "text", "lang", F.col("good_id").isNotNull().alias("trusted"), F.lit(True).alias("any"),
         F.coalesce(F.crc32("text") % 2, F.lit(0)).cast("int").alias("half"))
     classes = rows.withColumns({f"half{h}": F.col("trusted") & (F.col("half") == h) for h in (0, 1)})
-    counts = materialize(lm.count_grams(classes, ["half0", "half1", "any"]), "quality-counts")
-    tables = []
-    for half in (1, 0):  # the first table scores half 0
-        trained = counts.select("gram", F.col(f"half{half}").alias("a"))
-        lower = lm.backoff_probabilities(trained, counts)
-        tables.append(lm.dense(lm.top_probabilities(trained, counts, lower).select("gram", F.log("p").alias("value"))))
-    scored = rows.withColumn("s", lm.gram_scores(spark, np.concatenate(tables), model=F.col("half")))
-    return materialize(scored.select("doc_id", "lang", "trusted", "half", "s.total", "s.grams"), "quality-scores")
+    counts = materialize(lm.count_grams(classes, ["half0", "half1", "any"], order=lm.LONG), "quality-counts")
+    values = counts.select("gram", F.col("any").alias("n"))
+    for half in (0, 1):  # scored by the model of the other half
+        trained = counts.select("gram", F.col(f"half{1 - half}").alias("a"))
+        lower = lm.backoff_probabilities(trained, counts, lm.LONG)
+        top = lm.top_probabilities(trained, counts, lower, lm.LONG)
+        values = values.join(top.select("gram", F.log("p").alias(f"of{half}")), "gram")
+    values = materialize(values, "quality-model")
+    scored = lm.score_texts(rows.drop("any"), values, ["of0", "of1"])
+    total = F.when(F.col("half") == 0, F.col("of0")).otherwise(F.col("of1")).alias("total")
+    return materialize(scored.select("doc_id", "lang", "trusted", "half", total, "grams"), "quality-scores")
 
 
 def _weighed(own: str, overall: float | None) -> F.Column:
