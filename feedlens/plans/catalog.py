@@ -463,7 +463,7 @@ def q_review_identity(spark, sf):
     twice = F.when(F.col("rating") == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     rows = _dump(spark, sf).withColumn("copy", F.explode(twice)).select(
         native.alias("review_id"), "source", F.col("date_raw").alias("date"), "title", "text")
-    return identity.with_review_key(rows).select("review_key", "review_id", "source")
+    return identity.with_review_key(rows, keep=("review_id", "source")).select("review_key", "review_id", "source")
 
 
 def _feed_pages(spark, sf, faulty: bool = False) -> DataFrame:

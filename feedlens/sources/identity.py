@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.operators.ordering import number_within
-from feedlens.session import checkpoint_root
+from feedlens.session import scratch_path
 
 CONTENT = ("date", "title", "text")
 #: A key is hot when it holds more than one in so many of all rows: there are
@@ -34,7 +34,8 @@ def base_key(native: str = "review_id", content: tuple = CONTENT) -> Column:
     return F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce(native_id, hashed))
 
 
-def with_review_key(df: DataFrame, native: str = "review_id", content: tuple = CONTENT) -> DataFrame:
+def with_review_key(df: DataFrame, native: str = "review_id", content: tuple = CONTENT,
+                    keep: tuple | None = None) -> DataFrame:
     """``df`` with ``review_key``: the base key, ``#`` and the occurrence 1, 2, ...
 
     n rows give n different keys, and the same rows give the same keys however
@@ -43,11 +44,23 @@ def with_review_key(df: DataFrame, native: str = "review_id", content: tuple = C
     empty ids count as none.  Base keys are counted first, with map-side sums; only rows
     whose base key is repeated are sorted, and a base key with a third of all
     rows is spread over many tasks by a further random part of the sort key.
+
+    ``keep`` names the columns of ``df`` that the result has (default: all).  The keys
+    are of all columns either way, but no other column is written or moved.
     """
-    checkpoint_root(df.sparkSession)
-    keyed = df.withColumn("_base", base_key(native, content))
-    repeated = (keyed.groupBy("_base").agg(F.count("*").alias("_rows")).where("_rows > 1")
-                .select(F.col("_base").alias("_again"), "_rows").checkpoint(eager=True))
+    spark = df.sparkSession
+    kept = list(keep or df.columns)
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    # Read and hashed once; all that follows reads the written rows.
+    keyed = written(df.select(*kept, base_key(native, content).alias("_base"), F.xxhash64(*df.columns).alias("_content")),
+                    "review-keys")
+    repeated = written(keyed.groupBy("_base").agg(F.count("*").alias("_rows")).where("_rows > 1")
+                       .select(F.col("_base").alias("_again"), "_rows"), "repeated-keys")
     total = keyed.count()
     is_hot = F.col("_rows") * HOT_KEYS > total
     hot, cold = repeated.where(is_hot), repeated.where(~is_hot)
@@ -56,7 +69,7 @@ def with_review_key(df: DataFrame, native: str = "review_id", content: tuple = C
     single = others.where("_again is null").withColumn("_n", F.lit(1).cast("long"))
     many = keyed.join(F.broadcast(hot), same, "left_semi").unionByName(
         others.where("_again is not null").select(keyed.columns))
-    many = many.withColumns({"_content": F.xxhash64(*df.columns), "_spread": F.xxhash64(F.monotonically_increasing_id())})
+    many = many.withColumn("_spread", F.xxhash64(F.monotonically_increasing_id()))
     numbered = number_within(many, ["_base"], ["_content", "_spread"], name="_n")
-    cols = [*df.columns, F.concat("_base", F.lit("#"), F.col("_n").cast("string")).alias("review_key")]
+    cols = [*kept, F.concat("_base", F.lit("#"), F.col("_n").cast("string")).alias("review_key")]
     return single.select(*cols).unionByName(numbered.select(*cols))
