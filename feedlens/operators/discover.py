@@ -14,8 +14,6 @@ therefore do not depend on how the input is partitioned.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
@@ -24,7 +22,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.text import TOKEN_SPLIT
 from feedlens.operators.ordering import top_k_within
-from feedlens.session import checkpoint_root, scratch_path, ship_package
+from feedlens.session import scratch_path, ship_package
 
 K_RANGE = (3, 4, 5)
 #: Cells into which terms are hashed; two terms in one cell count as one.
@@ -37,7 +35,6 @@ UNIT = 2**20
 
 SCHEMA = "review_id long, theme_id string, theme string, description string"
 _CELLS = "_cells"
-_VECTORS = "review_id long, _terms array<string>, _vector array<int>, _values array<long>"
 
 
 def default_stop_words() -> list[str]:
@@ -56,34 +53,36 @@ def discover_themes(df: DataFrame, text_col: str = "text", seed: int = 42, k_ran
     stop = StopWordsRemover(inputCol="_words", outputCol="_terms",
                             stopWords=default_stop_words() if stop_words is None else stop_words)
     # Masking and tokenising is the expensive part: it runs once, and the term
-    # arrays are written to the shared checkpoint folder.
-    checkpoint_root(spark)
+    # arrays are written to the shared folder, as columns: what follows reads the
+    # columns that it needs.
     ship_package(spark)
     cells = F.array_sort(F.transform("_terms", lambda t: F.pmod(F.xxhash64(t), F.lit(FEATURES)).cast("int")))
-    terms = (stop.transform(df.select("review_id", words.alias("_words")))
-             .select("review_id", "_terms", cells.alias(_CELLS)).checkpoint(eager=True))
+    terms = _written(stop.transform(df.select("review_id", words.alias("_words")))
+                     .select("review_id", "_terms", cells.alias(_CELLS)), "theme-terms")
     n = terms.count()
     if not n:
         return spark.createDataFrame([], SCHEMA)
     idf = np.log((n + 1) / (_document_frequencies(terms) + 1.0))
-    # Written as columns: the passes read the vectors and no terms.
-    path = scratch_path(spark, "theme-vectors")
-    _with_vectors(terms, idf).write.parquet(path)
-    vectors = spark.read.schema(_VECTORS).parquet(path)
+    # The passes read the vectors and no terms.
+    vectors = _written(_with_vectors(terms, idf), "theme-vectors")
     model = _best_model(vectors.select("_vector", "_values"), _first_centres(terms, idf, seed, max(k_range)), k_range, max_iter)
-    schema = "review_id long, _terms array<string>, prediction int"
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nearest = _nearest(*_read(batch.column(2), batch.column(3)), model)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nearest.astype(np.int32))],
-                                             names=["review_id", "_terms", "prediction"])
+    @F.arrow_udf("int")
+    def prediction(vector: pa.Array, values: pa.Array) -> pa.Array:
+        return pa.array(_nearest(*_read(vector, values), model).astype(np.int32))
 
-    rows = vectors.mapInArrow(assign, schema).checkpoint(eager=True)
+    # Python sees the vectors alone; the terms stay where they are.
+    rows = _written(vectors.select("review_id", "_terms", prediction("_vector", "_values").alias("prediction")), "theme-rows")
     named = _names(rows)
     return rows.join(F.broadcast(named), "prediction").select("review_id", "theme_id", "theme", "description")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # ---------------------------------------------------------------- vectors
 
 def _counts(cells: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -106,15 +105,14 @@ def _weighed(cells: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _with_vectors(terms: DataFrame, idf: np.ndarray) -> DataFrame:
     """``review_id, _terms, _vector, _values``: the sparse vectors, computed once."""
-    def weigh(batches):
-        for batch in batches:
-            row, cell, value, rows = _weighed(batch.column(2), idf)
-            ends = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (cell.astype(np.int32), value)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *lists], names=["review_id", "_terms", "_vector", "_values"])
+    @F.arrow_udf("_vector array<int>, _values array<long>")
+    def weigh(cells: pa.Array) -> pa.Array:
+        row, cell, value, rows = _weighed(cells, idf)
+        ends = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (cell.astype(np.int32), value)]
+        return pa.StructArray.from_arrays(lists, names=["_vector", "_values"])
 
-    return terms.select("review_id", "_terms", _CELLS).mapInArrow(
-        weigh, _VECTORS)
+    return terms.select("review_id", "_terms", weigh(_CELLS).alias("_v")).select("review_id", "_terms", "_v._vector", "_v._values")
 
 
 def _read(vector: pa.Array, values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -126,7 +124,8 @@ def _read(vector: pa.Array, values: pa.Array) -> tuple[np.ndarray, np.ndarray, n
 
 def _dots(row: np.ndarray, cell: np.ndarray, value: np.ndarray, rows: int, vectors: np.ndarray) -> np.ndarray:
     """Product of each row with each of ``vectors``, added in the order of the cells."""
-    return np.stack([np.bincount(row, weights=value.astype(np.float64) * v[cell], minlength=rows) for v in vectors], axis=1)
+    value = value.astype(np.float64)
+    return np.stack([np.bincount(row, weights=value * v[cell], minlength=rows) for v in vectors], axis=1)
 
 
 def _nearest(row, cell, value, rows, centres: np.ndarray) -> np.ndarray:
@@ -172,9 +171,11 @@ def _added(blocks: DataFrame, parts: int) -> np.ndarray:
 def _first_centres(terms: DataFrame, idf: np.ndarray, seed: int, k: int) -> np.ndarray:
     """Up to ``k`` rows far from each other among those of smallest hash: the
     first of them, and each time the one whose nearest chosen row is farthest."""
-    draw = F.xxhash64(F.lit(seed), _CELLS)
-    some = (terms.select(_CELLS, draw.alias("_draw")).groupBy("_draw").agg(F.first(_CELLS).alias(_CELLS))
-            .orderBy("_draw").limit(CANDIDATES).collect())
+    drawn = terms.select(_CELLS, F.xxhash64(F.lit(seed), _CELLS).alias("_draw"))
+    # The draws first, which are narrow; then the cells of the chosen ones alone.
+    draws = [r[0] for r in drawn.select("_draw").distinct().orderBy("_draw").limit(CANDIDATES).collect()]
+    some = (drawn.where(F.col("_draw") <= draws[-1]).groupBy("_draw").agg(F.first(_CELLS).alias(_CELLS))
+            .orderBy("_draw").collect())
     row, cell, value, rows = _weighed(pa.array([list(r[_CELLS]) for r in some], pa.list_(pa.int32())), idf)
     dense = np.zeros((rows, FEATURES), np.int64)
     dense[row, cell] = value
