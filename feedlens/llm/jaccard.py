@@ -361,10 +361,10 @@ def _first_components(docs: DataFrame, nodes: DataFrame, lists: DataFrame, pairs
     """Pairs verified so far, their links and components, and the sets of
     groups that hold several: step 3, added to the ``pairs`` and ``links`` of
     an earlier order."""
-    first = nodes.groupBy("grp").agg(F.min("sig").alias("head"), F.max("sig").alias("tail"))
+    first = materialize(nodes.groupBy("grp").agg(F.min("sig").alias("head"), F.max("sig").alias("tail")), "jaccard-first")
     heads_a = first.select(F.col("grp").alias("a"), F.col("head").alias("a_sig"))
     heads_b = first.select(F.col("grp").alias("b"), F.col("head").alias("b_sig"))
-    star = (_star_pairs(lists, percent).join(heads_a, "a").join(heads_b, "b")
+    star = (materialize(_star_pairs(lists, percent), "jaccard-leaders").join(heads_a, "a").join(heads_b, "b")
             .select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")))
     inside = (nodes.join(first.where("head <> tail"), "grp").where("sig <> head")
               .select(F.col("head").alias("a"), F.col("sig").alias("b")))
@@ -420,11 +420,10 @@ def ngram_jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: i
     links = links.union(_verify(docs, nodes, cross, k, percent))
     components = connected_components(links)
 
-    linked = components.join(nodes.select(F.col("sig").alias("node"), "doc"), "node")
-    smallest = linked.groupBy("component").agg(F.min("doc").alias("component_id"))
-    of_set = nodes.select("sig", "doc").join(
-        linked.join(smallest, "component").select(F.col("node").alias("sig"), "component_id"), "sig", "left")
-    of_set = of_set.select("sig", F.coalesce("component_id", "doc").alias("component_id"))
+    of_set = nodes.select("sig", "doc").join(components.withColumnRenamed("node", "sig"), "sig", "left")
+    of_set = materialize(of_set, "jaccard-components-of-sets")
+    smallest = of_set.where("component is not null").groupBy("component").agg(F.min("doc").alias("component_id"))
+    of_set = of_set.join(smallest, "component", "left").select("sig", F.coalesce("component_id", "doc").alias("component_id"))
     return (sets.select("doc_id", "n", "sig").join(of_set, "sig", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))

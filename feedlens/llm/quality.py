@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm import ngram_lm as lm
-from feedlens.llm.tables import bounded, drop_ids, materialize, prepare_tasks
+from feedlens.llm.tables import bounded, drop_ids, materialize, prepare_tasks, recorded, remove
 
 #: Quantile of the trusted documents' perplexity in each language.
 QUANTILE = 0.999
@@ -42,13 +42,15 @@ def document_perplexity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.coalesce(F.crc32("text") % 2, F.lit(0)).cast("int").alias("half"))
     classes = rows.withColumns({f"half{h}": F.col("trusted") & (F.col("half") == h) for h in (0, 1)})
     counts = materialize(lm.count_grams(classes, ["half0", "half1", "any"], order=lm.LONG), "quality-counts")
-    values = counts.select("gram", F.col("any").alias("n"))
+    values, old = counts.select("gram", F.col("any").alias("n")), []
     for half in (0, 1):  # scored by the model of the other half
         trained = counts.select("gram", F.col(f"half{1 - half}").alias("a"))
         lower = lm.backoff_probabilities(trained, counts, lm.LONG)
         top = lm.top_probabilities(trained, counts, lower, lm.LONG)
-        values = values.join(top.select("gram", F.log("p").alias(f"of{half}")), "gram")
-    values = materialize(values, "quality-model")
+        with recorded() as written:
+            values = materialize(values.join(top.select("gram", F.log("p").alias(f"of{half}")), "gram"), "quality-model")
+        remove(spark, old)
+        old = written
     scored = lm.score_texts(rows.drop("any"), values, ["of0", "of1"])
     total = F.when(F.col("half") == 0, F.col("of0")).otherwise(F.col("of1")).alias("total")
     return materialize(scored.select("doc_id", "lang", "trusted", "half", total, "grams"), "quality-scores")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _recorded: list[list[str]] = []
 
+#: After so many written tables the driver drops what finished jobs left on it.
+WRITES_BETWEEN_CLEANING = 4
+_writes = count(1)
+
+
+def clean_driver(spark: SparkSession) -> None:
+    """Collect the driver's garbage.  Every stage, file scan and broadcast takes
+    a block of 4 MB of the driver's heap, which grows when many short jobs follow
+    each other; Spark's cleaner also removes broadcasts and shuffle files of
+    finished jobs only after a collection."""
+    gc.collect()  # frames in Python hold their plans on the driver
+    spark.sparkContext._jvm.System.gc()
+
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
@@ -46,6 +61,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     for paths in _recorded:
         paths.append(path)
+    if next(_writes) % WRITES_BETWEEN_CLEANING == 0:
+        clean_driver(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

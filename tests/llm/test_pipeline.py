@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedlens.llm import mixing, queries, tables
+from feedlens.llm import components, jaccard, mixing, ngram_lm, quality, queries, tables
 from feedlens.llm.tables import materialize
 
 from .conftest import SF001
@@ -83,6 +83,32 @@ def test_run_leaves_its_result_alone(spark):
     assert [p for p in paths if os.path.exists(p)] == [p for p in paths if "pipeline-best_fit_packing" in p]
 
 
+def test_the_driver_holds_small_plans_and_drops_them(spark, monkeypatch):
+    """No plan that near_dedup or quality_classifier writes has many exchanges, and
+    the driver is cleaned after every few of them (pipeline on a viewfs path took
+    more than 1500 MB of the driver's memory)."""
+    exchanges, cleaned = [], []
+
+    def counted(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges.append((plan.count("Exchange hashpartitioning"), name))
+        return materialize(df, name)
+
+    for module in (components, jaccard, ngram_lm, quality):
+        monkeypatch.setattr(module, "materialize", counted)
+    monkeypatch.setattr(tables, "clean_driver", lambda spark: cleaned.append(1))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        for name in ("near_dedup", "quality_classifier"):
+            dict(corpus_pipeline.STAGES)[name](spark, docs, SF001)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert max(exchanges)[0] <= 12, sorted(exchanges)[-5:]
+    assert len(cleaned) >= len(exchanges) // tables.WRITES_BETWEEN_CLEANING
+
+
 @pytest.mark.parametrize("key", sorted(queries.SQL))
 def test_oracle(spark, key):
     con = duckdb.connect()
