@@ -27,7 +27,7 @@ LONG = 6
 #: N-grams that scoring tasks get by broadcast, the most frequent ones.
 HOT = 1 << 18
 #: Different n-grams that a counting task holds before it hands them on.
-HELD = 1 << 20
+HELD = 1 << 18
 #: Sums over joined n-grams are made in whole numbers of which this is one, so
 #: they are the same in any order.
 UNIT = 1 << 24
